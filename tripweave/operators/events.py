@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from tripweave import profiles as P
 from tripweave.functions.expressions import trip_id
-from tripweave.operators.segment import HEAD, ROW, TAIL, is_row, timeline
+from tripweave.operators.segment import HEAD, is_row, timeline
 
+PAIRED = (P.VIN, "event", "trip", "start_t", "start_lon", "start_lat", "end_t", "end_lon", "end_lat")
 BEFORE = 1 << P.BEFORE_BIT
 AFTER = 1 << P.AFTER_BIT
 
@@ -165,10 +166,10 @@ def explode_edges(marked: DataFrame, profile: P.Profile, keys: Sequence[str]) ->
     )
 
 
-def pair_edges(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
+def pair_edges(edges: DataFrame, keys: Sequence[str], first: Sequence[str] = ()) -> DataFrame:
     """Ends with the start before them, plus starts that nothing ends (``end_t`` null)."""
     order = ["pos", "t", "tie"] if "pos" in edges.columns else ["t", "tie"]
-    w = Window.partitionBy(*keys, "event").orderBy(*order)
+    w = Window.partitionBy(*keys, "event").orderBy(*first, *order)
     opened = F.lag(F.when(F.col("is_start"), F.struct("start_t", "start_lon", "start_lat"))).over(w)
     paired = edges.withColumns({"opened": opened, "n_end": F.lead("end_t").over(w)})
     return paired.withColumns(

@@ -2,51 +2,115 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripweave import profiles as P
 from tripweave.functions.expressions import trip_id
-from tripweave.operators.segment import HEAD
+from tripweave.operators.pieces import PIECE, mark_pieces
+from tripweave.operators.segment import label
+
+
+def _own(rows: DataFrame, value: Column, seed: str) -> Column:
+    """The value on an active row, or what a head row carries from an earlier run."""
+    mine = F.when(F.col("active"), value)
+    if not _carried(rows):
+        return mine
+    return mine.when(F.col("h_speed_weight").isNotNull(), F.col(seed))
+
+
+def _carried(rows: DataFrame) -> bool:
+    return "h_speed_weight" in rows.columns
+
+
+def _totals(rows: DataFrame) -> dict[str, Column]:
+    speed, weight = F.col("speed"), F.col("weight")
+    return {
+        "end_t": F.max(_own(rows, F.col("t"), "h_last_active")),
+        "max_speed": F.max(_own(rows, speed, "h_speed_max")),
+        "speed_sum": F.sum(_own(rows, speed * weight, "h_speed_sum")),
+        "speed_weight": F.sum(_own(rows, weight.cast("long"), "h_speed_weight")),
+    }
+
+
+def _outlook(rows: DataFrame) -> dict[str, Column]:
+    """What tells whether a trip is still open, and what its carried state needs."""
+    order = F.struct(*(["pos"] if "pos" in rows.columns else []), "t", "tie")
+    spoken, hangs = F.col("active"), F.col("off")
+    if _carried(rows):
+        spoken = spoken | F.col("h_speed_weight").isNotNull()
+        hangs = F.coalesce(F.col("h_hanging"), hangs)
+    last = F.when(spoken, F.struct(hangs.alias("hanging"), "lon", "lat"))
+    return {
+        "shut": F.max(F.when(F.col("closes") & ~F.col("active"), 1).otherwise(0)),
+        "last_t": F.max("t"),
+        "last_moved": F.max(_own(rows, F.when(F.col("speed") > 0, F.col("t")), "h_moved")),
+        "last": F.max_by(last, F.when(spoken, order)),
+    }
 
 
-def _or_head(rows: DataFrame, value: Column, seed: str) -> Column:
-    own = F.when(F.col("active"), value)
-    return F.coalesce(own, F.col(seed)) if seed in rows.columns else own
+def split(labelled: DataFrame, profile: P.Profile, keys=(P.VIN,)) -> DataFrame:
+    """Rows with the start (and key) of the trip, or piece of a trip, that they belong to."""
+    if profile.idle_split_seconds is None:
+        return labelled
+    return mark_pieces(labelled, profile, keys)
 
 
-def trip_totals(labelled: DataFrame, piece: Sequence[str] = ("trip",)) -> DataFrame:
-    """One row per vehicle and trip: start, end and speed totals.
+def measure(rows: DataFrame, profile: P.Profile, outlook: bool = False) -> DataFrame:
+    """One row per trip (or piece): ``start_t``, ``end_t``, speed totals.
 
     A trip ends at its last active row: a hanging vehicle ends where it was switched off, and
     that row is the last active one. The aggregate is partial before any exchange, and needs
-    none when the rows already lie by vehicle.
+    none when the rows already lie by vehicle. With ``outlook`` a column ``last_of_vehicle``
+    and the columns for carried state are added.
     """
-    rows = labelled
-    kept = F.col("active")
-    if "h_speed_weight" in rows.columns:
-        kept = kept | F.col("h_speed_weight").isNotNull()
-    speed = F.col("speed")
-    return (
-        rows.filter(kept)
-        .groupBy(P.VIN, *piece)
-        .agg(
-            F.max(_or_head(rows, F.col("t"), "h_last_active")).alias("end_t"),
-            F.max(_or_head(rows, speed, "h_speed_max")).alias("max_speed"),
-            F.sum(_or_head(rows, speed * F.col("weight"), "h_speed_sum")).alias("speed_sum"),
-            F.sum(_or_head(rows, F.col("weight").cast("long"), "h_speed_weight")).alias("speed_weight"),
-        )
+    pieced = PIECE in rows.columns
+    by = ["trip", PIECE, "start_t"] if pieced else ["trip"]
+    if not outlook:
+        kept = F.col("active")
+        if _carried(rows):
+            kept = kept | F.col("h_speed_weight").isNotNull()
+        rows = rows.filter(kept)
+    rows = rows.filter(F.col("trip").isNotNull())
+    aggregates = _totals(rows) | (_outlook(rows) if outlook else {})
+    if pieced:
+        aggregates["left_sample"] = F.max("left_sample")
+    totals = rows.groupBy(P.VIN, *by).agg(*[c.alias(n) for n, c in aggregates.items()])
+    by_vehicle = Window.partitionBy(P.VIN).orderBy(PIECE if pieced else "trip")
+    if outlook:
+        totals = totals.withColumn("last_of_vehicle", F.lead("trip").over(by_vehicle).isNull())
+    if not pieced:
+        return totals.withColumn("start_t", F.col("trip"))
+    # A piece ends where the next piece of its trip starts.
+    totals = totals.withColumns(
+        {
+            "n_start": F.when(F.lead("trip").over(by_vehicle) == F.col("trip"), F.lead("start_t").over(by_vehicle)),
+            "n_left": F.lead("left_sample").over(by_vehicle),
+        }
     )
-
-
-def trip_rows(totals: DataFrame, profile: P.Profile) -> DataFrame:
-    """Trip totals as trips, those without duration left out unless the profile keeps them."""
-    start, end = F.col("trip"), F.col("end_t")
-    lasting = start <= end if profile.keep_zero_length else start < end
+    return totals.withColumns(
+        {
+            "speed_weight": F.col("speed_weight")
+            + F.when(F.col("n_start").isNotNull(), F.col("n_left")).otherwise(0),
+            "end_t": F.coalesce("n_start", "end_t"),
+        }
+    ).drop("n_start", "n_left", "left_sample")
+
+
+def still_open(profile: P.Profile, now: Column | None) -> Column:
+    """Condition on measured trips (with outlook): neither the data nor ``now`` ends it."""
+    alive = (F.col("shut") == 0) & F.col("last_of_vehicle")
+    if now is None:
+        return alive
+    limit = F.when(F.col("last.hanging"), F.lit(profile.hang_us)).otherwise(F.lit(profile.gap_us))
+    return alive & (F.unix_micros(now) <= F.col("end_t") + limit)
+
+
+def trip_rows(measured: DataFrame, profile: P.Profile) -> DataFrame:
+    """Measured trips as trips, those without duration left out unless the profile keeps them."""
+    start, end = F.col("start_t"), F.col("end_t")
     start_time = F.timestamp_micros(start)
-    return totals.filter(lasting).select(
+    return measured.filter(start <= end if profile.keep_zero_length else start < end).select(
         trip_id(F.col(P.VIN), start_time).alias("trip_id"),
         P.VIN,
         F.when(F.col("max_speed") > 0, "DRIVING").otherwise("PARKING").alias("trip_type"),
@@ -58,37 +122,7 @@ def trip_rows(totals: DataFrame, profile: P.Profile) -> DataFrame:
     )
 
 
-def open_flag(labelled: DataFrame, profile: P.Profile, now: Column | None) -> DataFrame:
-    """Totals per trip with ``open``: nothing in the data, nor ``now``, ends the trip yet.
-
-    Also gives what the carried state needs: phase, last row and last moving row.
-    """
-    rows = labelled.filter(F.col("trip").isNotNull())
-    seeds = set(rows.columns)
-
-    def own(value: Column, seed: str) -> Column:
-        mine = F.when(F.col("active"), value)
-        return F.coalesce(mine, F.col(seed)) if seed in seeds else mine
-
-    order = F.struct(*([F.col("pos")] if "pos" in seeds else []), "t", "tie")
-    on_stage = F.col("active") | (F.col("pos") == HEAD) if "pos" in seeds else F.col("active")
-    hangs = F.col("off")
-    if "h_hanging" in seeds:
-        hangs = F.coalesce(F.col("h_hanging"), hangs)
-    totals = rows.groupBy(P.VIN, "trip").agg(
-        F.max(own(F.col("t"), "h_last_active")).alias("end_t"),
-        F.max(own(F.col("speed"), "h_speed_max")).alias("max_speed"),
-        F.sum(own(F.col("speed") * F.col("weight"), "h_speed_sum")).alias("speed_sum"),
-        F.sum(own(F.col("weight").cast("long"), "h_speed_weight")).alias("speed_weight"),
-        F.max(F.when(F.col("closes") & ~F.col("active"), 1).otherwise(0)).alias("shut"),
-        F.max("t").alias("last_t"),
-        F.max(own(F.when(F.col("speed") > 0, F.col("t")), "h_moved")).alias("last_moved"),
-        F.max_by(F.when(on_stage, hangs), F.when(on_stage, order)).alias("hanging"),
-        F.max_by(F.when(on_stage, F.struct("lon", "lat")), F.when(on_stage, order)).alias("end_at"),
-    )
-    by_vehicle = Window.partitionBy(P.VIN).orderBy("trip")
-    alive = (F.col("shut") == 0) & F.lead("trip").over(by_vehicle).isNull()
-    if now is not None:
-        limit = F.when(F.col("hanging"), F.lit(profile.hang_us)).otherwise(F.lit(profile.gap_us))
-        alive = alive & ~(F.unix_micros(now) > F.col("end_t") + limit)
-    return totals.withColumn("open", alive)
+def measured_trips(rows: DataFrame, profile: P.Profile, outlook: bool = False) -> DataFrame:
+    """From lane rows of whole vehicles to measured trips."""
+    labelled = label(rows, profile)
+    return measure(split(labelled, profile), profile, outlook)
