@@ -28,10 +28,14 @@ HEAD, ROW, TAIL = 0, 1, 2
 NEVER = -(2**63)
 
 
-def lanes(telemetry: DataFrame) -> DataFrame:
-    """Canonical telemetry reduced to what the windows need, times in microseconds."""
+def lanes(telemetry: DataFrame, keep_time: bool = False) -> DataFrame:
+    """Canonical telemetry reduced to what the windows need, times in microseconds.
+
+    ``keep_time`` keeps the timestamp too, whose watermark a stream needs.
+    """
     return telemetry.select(
         P.VIN,
+        *([P.TIMESTAMP] if keep_time else []),
         F.unix_micros(P.TIMESTAMP).alias("t"),
         F.col(TIE).alias("tie"),
         powered_on().alias("on"),

@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
-SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
+STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    **STATE_STORE,
+}
 
 
 def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
@@ -38,3 +42,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
             spark.conf.set("tripweave.local.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A new folder name under the shared folder, for tables that one run writes and reads."""
+    return f"{checkpoint_dir(spark)}/tripweave/{uuid.uuid4().hex}"
+
+
+def use_state_store(spark: SparkSession) -> None:
+    """State on local disk with incremental checkpoints, which keyed timers need."""
+    for key, value in STATE_STORE.items():
+        spark.conf.set(key, value)

@@ -11,9 +11,19 @@ from pyspark.sql import types as T
 from tripweave import schemas
 
 
-def table_stream(spark: SparkSession, table: str, fmt: str = "paimon", options: Mapping[str, str] | None = None) -> DataFrame:
-    """A lake table as a stream; the format's connector must be on the class path."""
-    return spark.readStream.format(fmt).options(**(options or {})).load(table)
+def table_stream(
+    spark: SparkSession,
+    table: str,
+    fmt: str = "paimon",
+    schema: T.StructType | str | None = None,
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """A lake table as a stream; the format's connector must be on the class path.
+
+    Formats that know no schema of their own (files) need ``schema``.
+    """
+    reader = spark.readStream.format(fmt).options(**(options or {}))
+    return (reader.schema(schema) if schema else reader).load(table)
 
 
 def kafka_stream(
