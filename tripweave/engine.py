@@ -5,10 +5,9 @@ Every function takes canonical telemetry (see ``sources.telemetry.normalize``).
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tripweave import profiles as P
 from tripweave import schemas
@@ -23,10 +22,13 @@ from tripweave.operators.trips import still_open, trip_rows
 _RESULT = schemas.RESULT.fieldNames()
 
 
-def _moment(now: datetime | str | Column | None) -> Column | None:
-    if now is None or isinstance(now, Column):
-        return now
-    return F.lit(now).cast("timestamp")
+def _micros(now: datetime | str | None) -> int | None:
+    """A moment as microseconds; without a zone it is UTC."""
+    if now is None:
+        return None
+    at = datetime.fromisoformat(now) if isinstance(now, str) else now
+    at = at.replace(tzinfo=timezone.utc) if at.tzinfo is None else at
+    return (at - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)
 
 
 def trips(telemetry: DataFrame, profile: P.Profile = P.UNIFIED, hot_rows: int | None = skew.HOT_ROWS) -> DataFrame:
@@ -44,7 +46,7 @@ def events(telemetry: DataFrame, profile: P.Profile = P.UNIFIED, hot_rows: int |
 def step(
     carry: DataFrame | None,
     telemetry: DataFrame,
-    now: datetime | str | Column | None = None,
+    now: datetime | str | None = None,
     profile: P.Profile = P.UNIFIED,
     with_events: bool = True,
     hot_rows: int | None = skew.HOT_ROWS,
@@ -53,41 +55,40 @@ def step(
 
     ``now`` ends open trips that have been silent, or switched off, beyond the limit.
     """
-    moment = _moment(now)
+    now_us = _micros(now)
     heads = None if carry is None else state.heads(carry)
     work = skew.plan(lanes(telemetry), heads, hot_rows)
     measured = work.measured(profile, outlook=True)
-    paired = work.paired(profile, end_open=False, now=moment) if with_events else None
-    closed = trip_rows(measured.filter(~still_open(profile, moment)), profile)
+    paired = work.paired(profile, end_open=False, now_us=now_us) if with_events else None
+    closed = trip_rows(measured.filter(f"NOT {still_open(profile, now_us)}"), profile)
     return Step(
         closed,
         None if paired is None else event_rows(paired),
-        state.snapshot(measured, paired, profile, moment),
+        state.snapshot(measured, paired, profile, now_us),
     )
 
 
 def result_rows(trips: DataFrame, events: DataFrame | None = None) -> DataFrame:
     """Trips and events in one row shape, told apart by ``row_type``."""
-    nothing = {"phase": "string", "last_speed_ts": "timestamp", "state_speeds": "string"}
-    blank = {n: F.lit(None).cast(t) for n, t in nothing.items()}
+    blank = "CAST(null AS STRING) AS phase", "CAST(null AS TIMESTAMP) AS last_speed_ts", "CAST(null AS STRING) AS state_speeds"
     place = ("start_lon", "start_lat", "end_lon", "end_lat")
-    rows = trips.withColumns(
-        blank
-        | {"row_type": F.lit("TRIP"), "last_ts": F.col("end_time")}
-        | {c: F.lit(None).cast("double") for c in place}
+    rows = trips.selectExpr(
+        "*",
+        "'TRIP' AS row_type",
+        "end_time AS last_ts",
+        *blank,
+        *[f"CAST(null AS DOUBLE) AS {c}" for c in place],
     ).select(*_RESULT)
     if events is None:
         return rows
     return rows.unionByName(
-        events.withColumns(
-            blank
-            | {
-                "row_type": F.lit("EVENT"),
-                "trip_type": F.col("event_name"),
-                "last_ts": F.col("end_time"),
-                "max_speed": F.lit(0.0),
-                "avg_speed": F.lit(0.0),
-            }
+        events.selectExpr(
+            "*",
+            "'EVENT' AS row_type",
+            "event_name AS trip_type",
+            "end_time AS last_ts",
+            "0.0D AS max_speed",
+            "0.0D AS avg_speed",
+            *blank,
         ).select(*_RESULT)
     )
-

@@ -1,55 +1,62 @@
-"""Column expressions used by several operators."""
+"""SQL expressions used by several operators.
+
+They are texts, for ``selectExpr`` and ``F.expr``: one call per expression, however long.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripweave import profiles as P
 
 
-def filled(name: str) -> Column:
-    """A measurement where null and NaN count as 0.0."""
-    value = F.col(name).cast("double")
-    return F.coalesce(F.nanvl(value, F.lit(0.0)), F.lit(0.0))
-
-
-def flag_set(name: str) -> Column:
-    return F.coalesce(F.col(name) == 1, F.lit(False))
+def add(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Adds (or replaces) columns given as SQL texts."""
+    return df.withColumns({name: F.expr(text) for name, text in columns.items()})
 
 
-def powered_on() -> Column:
-    return F.coalesce(F.col(P.POWER) == P.POWER_ON, F.lit(False)) | (F.col(P.SPEED) > 0)
+def filled(name: str) -> str:
+    """A measurement where null and NaN count as 0.0."""
+    return f"coalesce(nanvl(CAST({name} AS DOUBLE), 0.0D), 0.0D)"
 
 
-def powered_off() -> Column:
-    return F.coalesce(F.col(P.POWER) == P.POWER_OFF, F.lit(False))
+POWERED_ON = f"(coalesce({P.POWER} = {P.POWER_ON}, false) OR {P.SPEED} > 0)"
+POWERED_OFF = f"coalesce({P.POWER} = {P.POWER_OFF}, false)"
 
 
-def rule_holds(rule: P.EventRule) -> Column:
+def rule_holds(rule: P.EventRule) -> str:
     if rule.flag:
-        return flag_set(rule.flag)
-    speed = F.col(P.SPEED)
+        return f"{rule.flag} = 1"
     if rule.low == rule.high:
-        return speed == rule.low
-    held = speed > rule.low
-    return held if rule.high is None else held & (speed <= rule.high)
+        return f"{P.SPEED} = {rule.low}"
+    upper = "" if rule.high is None else f" AND {P.SPEED} <= {rule.high}"
+    return f"{P.SPEED} > {rule.low}{upper}"
+
 
+# All event conditions of a row, one bit per tracked event.
+EVENT_MASK = " + ".join(f"IF({rule_holds(rule)}, {1 << bit}, 0)" for bit, rule in enumerate(P.TRACKED_EVENTS))
 
-def event_mask() -> Column:
-    """All event conditions of a row, one bit per tracked event."""
-    mask = F.lit(0)
-    for bit, rule in enumerate(P.TRACKED_EVENTS):
-        mask = mask + F.when(rule_holds(rule), F.lit(1 << bit)).otherwise(F.lit(0))
-    return mask
+# Tables by event number.
+EVENT_NAME = f"array({', '.join(repr(n) for n in P.EVENT_NAMES)})[event]"
+EVENT_MINIMUM_US = f"array({', '.join(f'{s * 1_000_000}L' for s in P.EVENT_MIN_SECONDS)})[event]"
 
 
-def moment_text(moment: Column) -> Column:
+def moment_text(moment: str) -> str:
     """Timestamp text with no fraction, or with exactly six digits of it."""
-    whole = F.date_format(moment, "yyyy-MM-dd HH:mm:ss")
-    exact = F.date_format(moment, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    return F.when(F.unix_micros(moment) % 1_000_000 == 0, whole).otherwise(exact)
+    return (
+        f"IF(unix_micros({moment}) % 1000000 = 0, date_format({moment}, 'yyyy-MM-dd HH:mm:ss'),"
+        f" date_format({moment}, 'yyyy-MM-dd HH:mm:ss.SSSSSS'))"
+    )
+
+
+def trip_id(vin: str, trip_start: str) -> str:
+    return f"md5(concat_ws('_', {vin}, {moment_text(trip_start)}))"
 
 
-def trip_id(vin: Column, trip_start: Column) -> Column:
-    return F.md5(F.concat_ws("_", vin, moment_text(trip_start)))
+def over(keys: Sequence[str], order: Sequence[str], frame: str = "") -> str:
+    rows = {"so far": "UNBOUNDED PRECEDING AND CURRENT ROW", "before": "UNBOUNDED PRECEDING AND 1 PRECEDING"}
+    bounds = f" ROWS BETWEEN {rows[frame]}" if frame else ""
+    return f"OVER (PARTITION BY {', '.join(keys)} ORDER BY {', '.join(order)}{bounds})"

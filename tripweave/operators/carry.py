@@ -9,88 +9,82 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tripweave import profiles as P
 from tripweave import schemas
+from tripweave.functions.expressions import EVENT_NAME
 from tripweave.operators.segment import HEAD, NEVER
+from tripweave.operators.trips import still_open
+
+OPEN_EVENTS = schemas.CARRY["open_events"].dataType.simpleString()
 
 def heads(carry: DataFrame) -> DataFrame:
     """Carried state as head rows, one per vehicle with an open trip."""
-    start, hung = F.unix_micros("trip_start"), F.unix_micros("hang_start")
-    hanging = F.col("phase") == "HANG_OFF"
-    last_active = F.when(hanging, hung).otherwise(F.unix_micros("last_ts"))
-    mask = F.lit(0)
-    for bit, name in enumerate(P.EVENT_NAMES[: len(P.TRACKED_EVENTS)]):
-        mask = mask + F.when(F.col("open_events")[name].isNotNull(), F.lit(1 << bit)).otherwise(F.lit(0))
-    return carry.filter(F.col("phase").isin("ACTIVE", "HANG_OFF")).select(
+    hanging = "phase = 'HANG_OFF'"
+    last_active = f"unix_micros(IF({hanging}, hang_start, last_ts))"
+    mask = " + ".join(
+        f"IF(open_events['{rule.name}'] IS NOT NULL, {1 << bit}, 0)" for bit, rule in enumerate(P.TRACKED_EVENTS)
+    )
+    return carry.filter("phase IN ('ACTIVE', 'HANG_OFF')").selectExpr(
         P.VIN,
-        F.lit(HEAD).alias("pos"),
-        F.unix_micros("last_ts").alias("t"),
-        F.lit(0).cast("long").alias("tie"),
-        F.col("end_lon").alias("lon"),
-        F.col("end_lat").alias("lat"),
-        F.when(hanging, F.lit(NEVER)).otherwise(last_active).alias("h_live"),
-        last_active.alias("h_island"),
-        last_active.alias("h_last_active"),
-        start.alias("h_trip"),
-        (start * 4).alias("h_piece"),
-        start.alias("h_start"),
-        F.unix_micros("last_speed_ts").alias("h_moved"),
-        hanging.alias("h_hanging"),
-        F.col("speed_sum").alias("h_speed_sum"),
-        F.col("speed_weight").alias("h_speed_weight"),
-        F.col("speed_max").alias("h_speed_max"),
-        mask.alias("h_mask"),
-        F.coalesce("open_events", F.create_map().cast(schemas.CARRY["open_events"].dataType)).alias("h_open"),
+        f"{HEAD} AS pos",
+        "unix_micros(last_ts) AS t",
+        "0L AS tie",
+        "end_lon AS lon",
+        "end_lat AS lat",
+        f"IF({hanging}, {NEVER}, {last_active}) AS h_live",
+        f"{last_active} AS h_island",
+        f"{last_active} AS h_last_active",
+        "unix_micros(trip_start) AS h_trip",
+        "unix_micros(trip_start) * 4 AS h_piece",
+        "unix_micros(trip_start) AS h_start",
+        "unix_micros(last_speed_ts) AS h_moved",
+        f"{hanging} AS h_hanging",
+        "speed_sum AS h_speed_sum",
+        "speed_weight AS h_speed_weight",
+        "speed_max AS h_speed_max",
+        f"{mask} AS h_mask",
+        f"coalesce(open_events, CAST(map() AS {OPEN_EVENTS})) AS h_open",
     )
 
 
-def snapshot(measured: DataFrame, paired: DataFrame | None, profile: P.Profile, now: Column | None) -> DataFrame:
+def snapshot(measured: DataFrame, paired: DataFrame | None, profile: P.Profile, now_us: int | None) -> DataFrame:
     """State rows of the vehicles whose last trip is still open.
 
     ``measured`` needs its outlook columns; ``paired`` are the trips' events, of which the
     unfinished ones are carried (at most one per kind and vehicle).
     """
-    from tripweave.operators.trips import still_open
-
-    hanging = F.col("last.hanging")
-    state = measured.filter(still_open(profile, now)).select(
+    state = measured.filter(still_open(profile, now_us)).selectExpr(
         P.VIN,
-        F.when(hanging, "HANG_OFF").otherwise("ACTIVE").alias("phase"),
-        F.when(F.col("max_speed") > 0, "DRIVING").otherwise("PARKING").alias("trip_type"),
-        F.timestamp_micros("start_t").alias("trip_start"),
-        F.when(hanging, F.timestamp_micros("end_t")).alias("hang_start"),
-        F.timestamp_micros("last_t").alias("last_ts"),
-        F.timestamp_micros("last_moved").alias("last_speed_ts"),
+        "IF(last.hanging, 'HANG_OFF', 'ACTIVE') AS phase",
+        "IF(max_speed > 0, 'DRIVING', 'PARKING') AS trip_type",
+        "timestamp_micros(start_t) AS trip_start",
+        "IF(last.hanging, timestamp_micros(end_t), null) AS hang_start",
+        "timestamp_micros(last_t) AS last_ts",
+        "timestamp_micros(last_moved) AS last_speed_ts",
         "speed_sum",
         "speed_weight",
-        F.col("max_speed").alias("speed_max"),
-        F.col("last.lon").alias("end_lon"),
-        F.col("last.lat").alias("end_lat"),
+        "max_speed AS speed_max",
+        "last.lon AS end_lon",
+        "last.lat AS end_lat",
     )
-    kind = schemas.CARRY["open_events"].dataType
     if paired is None:
-        return state.withColumn("open_events", F.lit(None).cast(kind))
-    names = F.array(*[F.lit(n) for n in P.EVENT_NAMES])
-    entry = F.struct(
-        names[F.col("event")].alias("key"),
-        F.struct(
-            F.timestamp_micros("start_t").alias("start_time"),
-            F.col("start_lon").alias("lon"),
-            F.col("start_lat").alias("lat"),
-        ).alias("value"),
-    )
+        return state.selectExpr("*", f"CAST(null AS {OPEN_EVENTS}) AS open_events")
+    place = "struct(timestamp_micros(start_t) AS start_time, start_lon AS lon, start_lat AS lat)"
     unfinished = (
-        paired.filter(F.col("end_t").isNull())
+        paired.filter("end_t IS NULL")
+        .selectExpr(P.VIN, f"struct({EVENT_NAME} AS key, {place} AS value) AS entry")
         .groupBy(P.VIN)
-        .agg(F.map_from_entries(F.collect_list(entry)).cast(kind).alias("open_events"))
+        .agg({"entry": "collect_list"})
+        .selectExpr(P.VIN, f"CAST(map_from_entries(`collect_list(entry)`) AS {OPEN_EVENTS}) AS open_events")
     )
     return state.join(unfinished, P.VIN, "left")
 
 
 class Step(NamedTuple):
+    """Closed trips, closed events (if asked for) and the state for the next run."""
+
     trips: DataFrame
     events: DataFrame | None
     carry: DataFrame

@@ -10,187 +10,153 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripweave import profiles as P
-from tripweave.functions.expressions import trip_id
-from tripweave.operators.segment import HEAD, is_row, timeline
+from tripweave.functions.expressions import EVENT_MINIMUM_US, EVENT_NAME, add, over, trip_id
+from tripweave.operators.segment import HEAD, is_row, ordering
 
 PAIRED = (P.VIN, "event", "trip", "start_t", "start_lon", "start_lat", "end_t", "end_lon", "end_lat")
-BEFORE = 1 << P.BEFORE_BIT
-AFTER = 1 << P.AFTER_BIT
+BEFORE, AFTER = 1 << P.BEFORE_BIT, 1 << P.AFTER_BIT
 
 
 def kept_rows(labelled: DataFrame) -> DataFrame:
     """Active rows and rows that close a trip; the rest cannot start or end an event."""
-    return labelled.filter(F.col("active") | F.col("closes") | ~is_row(labelled))
-
-
-def _optional(rows: DataFrame, name: str, kind: str) -> Column:
-    return F.col(name) if name in rows.columns else F.lit(None).cast(kind)
+    return labelled.filter(f"active OR closes OR NOT ({is_row(labelled)})")
 
 
 def mark_edges(
-    labelled: DataFrame, profile: P.Profile, keys: Sequence[str], end_open: bool, now: Column | None
+    labelled: DataFrame, profile: P.Profile, keys: Sequence[str], end_open: bool, now_us: int | None
 ) -> DataFrame:
     """Rows with at least one edge, with ``starts``, ``ends``, ``flushes``, ``whole`` bits.
 
     ``end_open`` ends trips that nothing in the data closes; otherwise only those overdue at
-    ``now`` are ended.
+    ``now_us`` are ended.
     """
-    rows = kept_rows(labelled)
-    carried = "h_open" in rows.columns
-    head = (F.col("pos") == HEAD) if "pos" in rows.columns else F.lit(False)
-    bits = F.when(F.col("active"), F.col("mask")).otherwise(0)
-    running = F.when(head, _optional(rows, "h_mask", "int")).otherwise(bits)
-    rows = rows.withColumns({"bits": F.coalesce(running, F.lit(0)), "head": head})
-    w, _, _ = timeline(rows, keys)
-    rows = rows.withColumns(
+    have = set(labelled.columns)
+
+    def on_head(name: str, otherwise: str) -> str:
+        return f"IF(head, {name}, {otherwise})" if name in have else otherwise
+
+    rows = add(
+        kept_rows(labelled),
         {
-            "p_trip": F.lag("trip").over(w),
-            "p_bits": F.lag("bits").over(w),
-            "n_t": F.lead("t").over(w),
-            "n_trip": F.lead("trip").over(w),
-            "n_active": F.lead(_stays(rows)).over(w),
-            "n_lon": F.lead("lon").over(w),
-            "n_lat": F.lead("lat").over(w),
-        }
+            "head": f"pos = {HEAD}" if "pos" in have else "false",
+            # A tail row speaks for a row of a later chunk.
+            "stays": "coalesce(t_active, active)" if "t_active" in have else "active",
+        },
     )
-    speaks = F.col("active")
-    if carried:
-        speaks = speaks | (F.col("head") & F.col("h_open").isNotNull())
-    rows = rows.filter(speaks)
-
-    trip, t = F.col("trip"), F.col("t")
-    moves = F.col("active") & (F.col("speed") > 0)
-    moved = F.when(moves, t).otherwise(
-        F.when(F.col("head"), _optional(rows, "h_moved", "long")).otherwise(F.col("moved"))
+    rows = add(rows, {"bits": f"coalesce({on_head('h_mask', 'IF(active, mask, 0)')}, 0)"})
+    beside = over(keys, ordering(rows))
+    following = ("t", "trip", "stays", "lon", "lat")
+    rows = add(
+        rows,
+        {"p_trip": f"lag(trip) {beside}", "p_bits": f"lag(bits) {beside}"}
+        | {f"n_{c}": f"lead({c}) {beside}" for c in following},
     )
-    end_t = F.when(F.col("head"), _optional(rows, "h_last_active", "long")).otherwise(t)
-    hangs = F.when(F.col("head"), _optional(rows, "h_hanging", "boolean")).otherwise(F.col("off"))
-
-    unclosed = F.col("n_t").isNull()
-    last = unclosed | ~F.col("n_active") | (F.col("n_trip") != trip)
-    if not end_open:
-        if now is None:
-            last = last & ~unclosed
-        else:
-            limit = F.when(hangs, F.lit(profile.hang_us)).otherwise(F.lit(profile.gap_us))
-            last = last & ~(unclosed & (F.unix_micros(now) <= end_t + limit))
-    rows = rows.withColumns({"last": last, "moved_t": moved, "trip_end": end_t})
-
-    bits = F.col("bits")
-    before = F.when(F.col("p_trip") == trip, F.col("p_bits")).otherwise(0)
-    flushed = F.when(F.col("last"), bits).otherwise(0)
-    starts = F.when(F.col("head"), bits).otherwise(bits.bitwiseAND(F.bitwise_not(before)))
-    ends = F.when(F.col("head"), 0).otherwise(before.bitwiseAND(F.bitwise_not(bits)))
-    # An event that starts at the trip's last row has no duration; a carried one has.
-    both = F.when(F.col("head"), 0).otherwise(starts.bitwiseAND(flushed))
-    first_move = moves & (F.col("moved").isNull() | (F.col("moved") < trip)) & (t > trip)
-    rests = F.col("last") & (F.col("moved_t") >= trip) & (F.col("moved_t") < F.col("trip_end"))
-    whole = F.when(first_move, BEFORE).otherwise(0) + F.when(rests, AFTER).otherwise(0)
-    rows = rows.withColumns(
+    rows = rows.filter("active OR (head AND h_open IS NOT NULL)" if "h_open" in have else "active")
+    rows = add(
+        rows,
         {
-            "flushes": flushed.bitwiseAND(F.bitwise_not(both)),
-            "starts": F.when(F.col("head") & F.col("last"), 0).otherwise(
-                starts.bitwiseAND(F.bitwise_not(both))
-            ),
-            "ends": ends,
-            "whole": whole,
-        }
+            "moves": "active AND speed > 0",
+            "trip_end": on_head("h_last_active", "t"),
+            "hangs": on_head("h_hanging", "is_off"),
+        },
     )
-    any_bit = (
-        F.col("starts").bitwiseOR(F.col("ends")).bitwiseOR(F.col("flushes")).bitwiseOR(F.col("whole"))
+    last = "(n_t IS NULL OR NOT n_stays OR n_trip <> trip)"
+    if not end_open and now_us is None:
+        last += " AND n_t IS NOT NULL"
+    elif not end_open:
+        limit = f"IF(hangs, {profile.hang_us}, {profile.gap_us})"
+        last += f" AND (n_t IS NOT NULL OR {now_us} > trip_end + {limit})"
+    rows = add(
+        rows,
+        {
+            "last": last,
+            "moved_t": f"CASE WHEN moves THEN t WHEN head THEN {on_head('h_moved', 'moved')} ELSE moved END",
+            "ran": "IF(p_trip = trip, p_bits, 0)",
+        },
     )
-    return rows.withColumn("edges", any_bit).filter(F.col("edges") != 0)
-
-
-def _stays(rows: DataFrame) -> Column:
-    """Whether a kept row goes on with its trip; a tail row speaks for a row of a later chunk."""
-    if "t_active" in rows.columns:
-        return F.coalesce(F.col("t_active"), F.col("active"))
-    return F.col("active")
+    rows = add(
+        rows,
+        {
+            "starts": "IF(head, IF(last, 0, bits), bits & ~ran)",
+            "ends": "IF(head, 0, coalesce(ran, 0) & ~bits)",
+            "flushes": "IF(last, bits, 0)",
+            "whole": f"IF(moves AND (moved IS NULL OR moved < trip) AND t > trip, {BEFORE}, 0)"
+            f" + IF(last AND moved_t >= trip AND moved_t < trip_end, {AFTER}, 0)",
+        },
+    )
+    # An event that starts at the trip's last row has no duration.
+    rows = add(rows, {"starts": "starts & ~flushes", "flushes": "flushes & ~starts"})
+    return add(rows, {"edges": "starts | ends | flushes | whole"}).filter("edges <> 0")
 
 
-def _has(bits: str) -> Column:
-    return F.expr(f"(shiftright({bits}, event) & 1) = 1")
+def _has(bits: str) -> str:
+    return f"(shiftright({bits}, event) & 1) = 1"
 
 
 def explode_edges(marked: DataFrame, profile: P.Profile, keys: Sequence[str]) -> DataFrame:
     """One row per edge: where it lies and, for an end, where the event ends."""
     each = f"filter(sequence(0, {len(P.EVENT_NAMES) - 1}), i -> (shiftright(edges, i) & 1) = 1)"
-    edges = marked.withColumn("event", F.explode(F.expr(each)))
-    head, event = F.col("head"), F.col("event")
-    at_flush = _has("flushes") | (event == P.AFTER_BIT)
+    edges = add(marked.withColumn("event", F.explode(F.expr(each))), {"is_start": _has("starts")})
+    edges = add(edges, {"at_flush": f"{_has('flushes')} OR event = {P.AFTER_BIT}"})
     if profile.close_coords == "at_end":
-        flush_lon, flush_lat = F.col("lon"), F.col("lat")
+        edges = add(edges, {"e_lon": "lon", "e_lat": "lat"})
     else:
-        flush_lon = F.coalesce(F.col("n_lon"), F.lit(0.0))
-        flush_lat = F.coalesce(F.col("n_lat"), F.lit(0.0))
-    end_lon = F.when(at_flush, flush_lon).otherwise(F.col("lon"))
-    end_lat = F.when(at_flush, flush_lat).otherwise(F.col("lat"))
-    carried = marked.columns.count("h_open") == 1
-    names = F.array(*[F.lit(n) for n in P.EVENT_NAMES])
-    opened = F.col("h_open")[names[event]] if carried else None
-    start_t = F.when(event == P.BEFORE_BIT, F.col("trip")).when(event == P.AFTER_BIT, F.col("moved_t"))
-    start_lon = F.when(event.isin(P.BEFORE_BIT, P.AFTER_BIT), end_lon)
-    start_lat = F.when(event.isin(P.BEFORE_BIT, P.AFTER_BIT), end_lat)
-    if carried:
-        start_t = start_t.when(head, F.unix_micros(opened["start_time"]))
-        start_lon = start_lon.when(head, opened["lon"])
-        start_lat = start_lat.when(head, opened["lat"])
-    is_start = _has("starts")
-    # A start knows its own place, a whole event both ends, any other end only its own.
-    start_t = start_t.when(is_start, F.col("t"))
-    start_lon = start_lon.when(is_start, F.col("lon"))
-    start_lat = start_lat.when(is_start, F.col("lat"))
-    end_t = F.when(event == P.BEFORE_BIT, F.col("t")).otherwise(
-        F.when(at_flush, F.col("trip_end")).otherwise(F.col("t"))
-    )
-    order = ["pos"] if "pos" in marked.columns else []
-    return edges.select(
+        edges = add(
+            edges,
+            {c: f"IF(at_flush, coalesce(n_{c[2:]}, 0.0D), {c[2:]})" for c in ("e_lon", "e_lat")},
+        )
+
+    carried = f"h_open[{EVENT_NAME}]"
+
+    def start(before: str, after: str, on_head: str, own: str) -> str:
+        """A start knows its place, whole and carried events too, any other end does not."""
+        from_head = f" WHEN head THEN {on_head}" if "h_open" in marked.columns else ""
+        return (
+            f"CASE WHEN event = {P.BEFORE_BIT} THEN {before} WHEN event = {P.AFTER_BIT} THEN {after}{from_head}"
+            f" WHEN is_start THEN {own} END"
+        )
+
+    return edges.selectExpr(
         *keys,
         "event",
         "trip",
-        *order,
-        "t",
-        "tie",
-        is_start.alias("is_start"),
-        start_t.alias("start_t"),
-        start_lon.alias("start_lon"),
-        start_lat.alias("start_lat"),
-        F.when(~is_start, end_t).alias("end_t"),
-        F.when(~is_start, end_lon).alias("end_lon"),
-        F.when(~is_start, end_lat).alias("end_lat"),
+        *ordering(marked),
+        "is_start",
+        f"{start('trip', 'moved_t', f'unix_micros({carried}.start_time)', 't')} AS start_t",
+        f"{start('e_lon', 'e_lon', f'{carried}.lon', 'lon')} AS start_lon",
+        f"{start('e_lat', 'e_lat', f'{carried}.lat', 'lat')} AS start_lat",
+        "CASE WHEN is_start THEN null WHEN at_flush THEN trip_end ELSE t END AS end_t",
+        "IF(is_start, null, e_lon) AS end_lon",
+        "IF(is_start, null, e_lat) AS end_lat",
     )
 
 
 def pair_edges(edges: DataFrame, keys: Sequence[str], first: Sequence[str] = ()) -> DataFrame:
     """Ends with the start before them, plus starts that nothing ends (``end_t`` null)."""
-    order = ["pos", "t", "tie"] if "pos" in edges.columns else ["t", "tie"]
-    w = Window.partitionBy(*keys, "event").orderBy(*first, *order)
-    opened = F.lag(F.when(F.col("is_start"), F.struct("start_t", "start_lon", "start_lat"))).over(w)
-    paired = edges.withColumns({"opened": opened, "n_end": F.lead("end_t").over(w)})
-    return paired.withColumns(
-        {c: F.coalesce(F.col(c), F.col(f"opened.{c}")) for c in ("start_t", "start_lon", "start_lat")}
-    ).filter(~F.col("is_start") | F.col("n_end").isNull()).drop("opened", "n_end")
+    beside = over((*keys, "event"), (*first, *ordering(edges)))
+    place = ("start_t", "start_lon", "start_lat")
+    paired = add(
+        edges,
+        {f"p_{c}": f"lag(IF(is_start, {c}, null)) {beside}" for c in place} | {"n_end": f"lead(end_t) {beside}"},
+    )
+    kept = paired.filter("NOT is_start OR n_end IS NULL")
+    return add(kept, {c: f"coalesce({c}, p_{c})" for c in place}).drop("n_end", *[f"p_{c}" for c in place])
 
 
 def event_rows(paired: DataFrame) -> DataFrame:
     """Finished events that last as long as their kind demands, with their trip's id."""
-    names = F.array(*[F.lit(n) for n in P.EVENT_NAMES])
-    minimum = F.array(*[F.lit(s * 1_000_000) for s in P.EVENT_MIN_SECONDS])
-    lasting = (F.col("start_t") < F.col("end_t")) & (
-        F.col("end_t") - F.col("start_t") >= minimum[F.col("event")]
-    )
-    return paired.filter(F.col("end_t").isNotNull() & lasting).select(
-        trip_id(F.col(P.VIN), F.timestamp_micros("trip")).alias("trip_id"),
+    lasting = f"end_t IS NOT NULL AND start_t < end_t AND end_t - start_t >= {EVENT_MINIMUM_US}"
+    return paired.filter(lasting).selectExpr(
+        f"{trip_id(P.VIN, 'timestamp_micros(trip)')} AS trip_id",
         P.VIN,
-        names[F.col("event")].alias("event_name"),
-        F.timestamp_micros("trip").alias("trip_start"),
-        F.timestamp_micros("start_t").alias("start_time"),
-        F.timestamp_micros("end_t").alias("end_time"),
+        f"{EVENT_NAME} AS event_name",
+        "timestamp_micros(trip) AS trip_start",
+        "timestamp_micros(start_t) AS start_time",
+        "timestamp_micros(end_t) AS end_time",
         "start_lon",
         "start_lat",
         "end_lon",
@@ -203,7 +169,7 @@ def paired_events(
     profile: P.Profile,
     keys: Sequence[str] = (P.VIN,),
     end_open: bool = True,
-    now: Column | None = None,
+    now_us: int | None = None,
 ) -> DataFrame:
-    marked = mark_edges(labelled, profile, keys, end_open, now)
+    marked = mark_edges(labelled, profile, keys, end_open, now_us)
     return pair_edges(explode_edges(marked, profile, keys), keys)

@@ -11,10 +11,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tripweave import profiles as P
-from tripweave.operators.segment import seeded, timeline
+from tripweave.functions.expressions import add, over
+from tripweave.operators.segment import ordering, seeded
 
 PIECE = "piece"
 OPENED, STOPPED, LEFT = 0, 1, 2
@@ -22,49 +22,36 @@ OPENED, STOPPED, LEFT = 0, 1, 2
 
 def mark_late(rows: DataFrame, profile: P.Profile, keys: Sequence[str]) -> DataFrame:
     """Adds ``drove`` (last moving time in the trip), ``late`` and ``last_late``."""
-    _, _, before = timeline(rows, keys)
-    rows = rows.withColumn("drove", F.when(F.col("moved") >= F.col("trip"), F.col("moved")))
-    late = (
-        F.col("active")
-        & (F.col("speed") == 0)
-        & F.coalesce(F.col("t") - F.col("drove") > profile.idle_us, F.lit(False))
-    )
-    rows = rows.withColumn("late", late)
-    return rows.withColumn(
-        "last_late",
-        F.last(seeded(rows, "late", F.when(F.col("late"), F.col("t"))), ignorenulls=True).over(before),
-    )
+    rows = add(rows, {"drove": "IF(moved >= trip, moved, null)"})
+    rows = add(rows, {"late": f"active AND speed = 0 AND coalesce(t - drove > {profile.idle_us}, false)"})
+    late = seeded(rows, "late", "IF(late, t, null)")
+    return add(rows, {"last_late": f"last({late}, true) {over(keys, ordering(rows), 'before')}"})
 
 
 def mark_splits(rows: DataFrame, profile: P.Profile, keys: Sequence[str]) -> DataFrame:
     """Adds ``piece`` (a key), ``start_t`` of the piece, ``left_sample``; corrects ``weight``."""
-    _, so_far, _ = timeline(rows, keys)
-    t, drove, last_late = F.col("t"), F.col("drove"), F.col("last_late")
-    stops = F.col("late") & (last_late.isNull() | (last_late <= drove))
-    stood_since = F.when(drove.isNull(), F.col("trip")).when(last_late > drove, drove)
-    leaves = (
-        F.col("active")
-        & (F.col("speed") > 0)
-        & ~F.col("opens")
-        & ~F.col("resumes")
-        & F.coalesce(t - stood_since > profile.idle_us, F.lit(False))
-    )
-    rows = rows.withColumns({"stops": stops, "leaves": leaves})
-    key = (
-        F.when(F.col("opens"), t * 4 + OPENED)
-        .when(F.col("stops"), t * 4 + STOPPED)
-        .when(F.col("leaves"), t * 4 + LEFT)
+    stood_since = "CASE WHEN drove IS NULL THEN trip WHEN last_late > drove THEN drove END"
+    rows = add(
+        rows,
+        {
+            "stops": "late AND (last_late IS NULL OR last_late <= drove)",
+            "leaves": "active AND speed > 0 AND NOT opens AND NOT resumes"
+            f" AND coalesce(t - {stood_since} > {profile.idle_us}, false)",
+        },
     )
-    start = F.when(F.col("opens"), t).when(F.col("stops"), drove).when(F.col("leaves"), F.col("prev_t"))
-    rows = rows.withColumns({"piece_mark": seeded(rows, PIECE, key), "start_mark": seeded(rows, "start", start)})
-    return rows.withColumns(
+    key = f"CASE WHEN opens THEN t * 4 + {OPENED} WHEN stops THEN t * 4 + {STOPPED} WHEN leaves THEN t * 4 + {LEFT} END"
+    start = "CASE WHEN opens THEN t WHEN stops THEN drove WHEN leaves THEN prev_t END"
+    rows = add(rows, {"piece_mark": seeded(rows, PIECE, key), "start_mark": seeded(rows, "start", start)})
+    so_far = over(keys, ordering(rows), "so far")
+    return add(
+        rows,
         {
-            PIECE: F.last("piece_mark", ignorenulls=True).over(so_far),
-            "start_t": F.last("start_mark", ignorenulls=True).over(so_far),
+            PIECE: f"last(piece_mark, true) {so_far}",
+            "start_t": f"last(start_mark, true) {so_far}",
             # A row that resumes and splits leaves one sample in the piece it ends.
-            "left_sample": F.when(F.col("stops") & F.col("resumes"), 1).otherwise(0),
-            "weight": F.when(F.col("stops") | F.col("leaves"), 1).otherwise(F.col("weight")),
-        }
+            "left_sample": "IF(stops AND resumes, 1, 0)",
+            "weight": "IF(stops OR leaves, 1, weight)",
+        },
     )
 
 

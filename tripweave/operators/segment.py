@@ -9,23 +9,23 @@ phase before a row depends on three things only, each of which is "the last valu
 
 All windows share one partitioning and one order, so Spark needs one exchange and one sort.
 Rows may be preceded by a *head* row (``pos`` 0) that carries the state from before the first
-row, and followed by a *tail* row (``pos`` 2) that stands for what comes later. Plain input
-has neither and no ``pos`` column.
+row in ``h_`` columns, and followed by a *tail* row (``pos`` 2) that stands for what comes
+later. Plain input has neither and no ``pos`` column.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripweave import profiles as P
-from tripweave.functions.expressions import event_mask, powered_off, powered_on
+from tripweave.functions.expressions import EVENT_MASK, POWERED_OFF, POWERED_ON, add, over
 from tripweave.sources.telemetry import TIE
 
 HEAD, ROW, TAIL = 0, 1, 2
-NEVER = -(2**63)
+NEVER = "(-9223372036854775807L)"
 
 
 def lanes(telemetry: DataFrame, keep_time: bool = False) -> DataFrame:
@@ -33,17 +33,17 @@ def lanes(telemetry: DataFrame, keep_time: bool = False) -> DataFrame:
 
     ``keep_time`` keeps the timestamp too, whose watermark a stream needs.
     """
-    return telemetry.select(
+    return telemetry.selectExpr(
         P.VIN,
         *([P.TIMESTAMP] if keep_time else []),
-        F.unix_micros(P.TIMESTAMP).alias("t"),
-        F.col(TIE).alias("tie"),
-        powered_on().alias("on"),
-        powered_off().alias("off"),
-        F.col(P.SPEED).alias("speed"),
-        F.col(P.LON).alias("lon"),
-        F.col(P.LAT).alias("lat"),
-        event_mask().alias("mask"),
+        f"unix_micros({P.TIMESTAMP}) AS t",
+        f"{TIE} AS tie",
+        f"{POWERED_ON} AS is_on",
+        f"{POWERED_OFF} AS is_off",
+        f"{P.SPEED} AS speed",
+        f"{P.LON} AS lon",
+        f"{P.LAT} AS lat",
+        f"{EVENT_MASK} AS mask",
     )
 
 
@@ -51,14 +51,13 @@ def ordering(rows: DataFrame) -> list[str]:
     return ["pos", "t", "tie"] if "pos" in rows.columns else ["t", "tie"]
 
 
-def is_row(rows: DataFrame) -> Column:
-    return F.col("pos") == ROW if "pos" in rows.columns else F.lit(True)
+def is_row(rows: DataFrame) -> str:
+    return f"pos = {ROW}" if "pos" in rows.columns else "true"
 
 
-def seeded(rows: DataFrame, name: str, marker: Column) -> Column:
+def seeded(rows: DataFrame, name: str, marker: str) -> str:
     """The marker, or on a head row the value it carries."""
-    seed = f"h_{name}"
-    return F.coalesce(F.col(seed), marker) if seed in rows.columns else marker
+    return f"coalesce(h_{name}, {marker})" if f"h_{name}" in rows.columns else marker
 
 
 def with_heads(rows: DataFrame, heads: DataFrame) -> DataFrame:
@@ -68,50 +67,36 @@ def with_heads(rows: DataFrame, heads: DataFrame) -> DataFrame:
     return rows.unionByName(heads, allowMissingColumns=True)
 
 
-def timeline(rows: DataFrame, keys: Sequence[str]):
-    """(window, rows so far, rows before) of one vehicle."""
-    w = Window.partitionBy(*keys).orderBy(*ordering(rows))
-    first = Window.unboundedPreceding
-    return w, w.rowsBetween(first, Window.currentRow), w.rowsBetween(first, -1)
-
-
 def mark_islands(rows: DataFrame, profile: P.Profile, keys: Sequence[str] = (P.VIN,)) -> DataFrame:
     """Adds ``prev_t``, ``cut`` (a long gap before the row), ``island``, ``live``, ``moved``."""
-    w, so_far, before = timeline(rows, keys)
-    t, on, off = F.col("t"), F.col("on"), F.col("off")
-    live_marker = F.when(off, F.lit(NEVER)).when(on, t)
-    rows = rows.withColumns(
+    order = ordering(rows)
+    before = over(keys, order, "before")
+    live = seeded(rows, "live", f"CASE WHEN is_off THEN {NEVER} WHEN is_on THEN t END")
+    moved = seeded(rows, "moved", "IF(speed > 0, t, null)")
+    rows = add(
+        rows,
         {
-            "prev_t": F.lag("t").over(w),
-            "live": F.coalesce(
-                F.last(seeded(rows, "live", live_marker), ignorenulls=True).over(before), F.lit(NEVER)
-            ),
-            "moved": F.last(
-                seeded(rows, "moved", F.when(F.col("speed") > 0, t)), ignorenulls=True
-            ).over(before),
-        }
-    )
-    cut = F.col("prev_t").isNull() | (t - F.col("prev_t") > profile.gap_us)
-    rows = rows.withColumn("cut", cut)
-    return rows.withColumn(
-        "island",
-        F.last(seeded(rows, "island", F.when(F.col("cut"), t)), ignorenulls=True).over(so_far),
+            "prev_t": f"lag(t) {over(keys, order)}",
+            "live": f"coalesce(last({live}, true) {before}, {NEVER})",
+            "moved": f"last({moved}, true) {before}",
+        },
     )
+    rows = add(rows, {"cut": f"prev_t IS NULL OR t - prev_t > {profile.gap_us}"})
+    island = seeded(rows, "island", "IF(cut, t, null)")
+    return add(rows, {"island": f"last({island}, true) {over(keys, order, 'so far')}"})
 
 
 def mark_active(rows: DataFrame, profile: P.Profile, keys: Sequence[str] = (P.VIN,)) -> DataFrame:
     """Adds ``active``, ``last_active`` (before the row) and ``prev_island``."""
-    w, _, before = timeline(rows, keys)
-    rows = rows.withColumn(
-        "active", is_row(rows) & F.coalesce(F.col("on") | (F.col("live") >= F.col("island")), F.lit(False))
-    )
-    return rows.withColumns(
+    order = ordering(rows)
+    rows = add(rows, {"active": f"{is_row(rows)} AND coalesce(is_on OR live >= island, false)"})
+    last_active = seeded(rows, "last_active", "IF(active, t, null)")
+    return add(
+        rows,
         {
-            "last_active": F.last(
-                seeded(rows, "last_active", F.when(F.col("active"), F.col("t"))), ignorenulls=True
-            ).over(before),
-            "prev_island": F.lag("island").over(w),
-        }
+            "last_active": f"last({last_active}, true) {over(keys, order, 'before')}",
+            "prev_island": f"lag(island) {over(keys, order)}",
+        },
     )
 
 
@@ -120,35 +105,27 @@ def mark_trips(rows: DataFrame, profile: P.Profile, keys: Sequence[str] = (P.VIN
 
     ``closes`` is the row that ends the trip open before it; it may open the next one.
     """
-    _, so_far, _ = timeline(rows, keys)
-    t, last_active, live = F.col("t"), F.col("last_active"), F.col("live")
-    island, prev_island = F.col("island"), F.col("prev_island")
-    hanging = live < island
-    expired = hanging & (t - last_active > profile.hang_us)
-    opens = (
-        is_row(rows)
-        & F.coalesce(F.col("on"), F.lit(False))
-        & (last_active.isNull() | (last_active < island) | expired)
-    )
+    expired = f"(live < island AND t - last_active > {profile.hang_us})"
     open_before = (
-        last_active.isNotNull()
-        & (last_active >= prev_island)
-        & ((live >= prev_island) | (F.col("prev_t") - last_active <= profile.hang_us))
+        "last_active IS NOT NULL AND last_active >= prev_island"
+        f" AND (live >= prev_island OR prev_t - last_active <= {profile.hang_us})"
     )
-    closes = is_row(rows) & F.coalesce(open_before & (F.col("cut") | expired), F.lit(False))
-    rows = rows.withColumns(
+    rows = add(
+        rows,
         {
-            "opens": opens,
-            "closes": closes,
-            "resumes": F.col("active") & F.col("on") & hanging & ~opens,
-        }
+            "opens": f"{is_row(rows)} AND coalesce(is_on, false)"
+            f" AND (last_active IS NULL OR last_active < island OR {expired})",
+            "closes": f"{is_row(rows)} AND coalesce({open_before} AND (cut OR {expired}), false)",
+        },
     )
-    doubled = F.lit(False) if profile.dedupe_samples else F.col("opens") | F.col("resumes")
-    return rows.withColumns(
+    rows = add(rows, {"resumes": "active AND is_on AND live < island AND NOT opens"})
+    trip = seeded(rows, "trip", "IF(opens, t, null)")
+    return add(
+        rows,
         {
-            "trip": F.last(seeded(rows, "trip", F.when(F.col("opens"), t)), ignorenulls=True).over(so_far),
-            "weight": F.when(doubled, F.lit(2)).otherwise(F.lit(1)),
-        }
+            "trip": f"last({trip}, true) {over(keys, ordering(rows), 'so far')}",
+            "weight": "1" if profile.dedupe_samples else "IF(opens OR resumes, 2, 1)",
+        },
     )
 
 

@@ -14,10 +14,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripweave import profiles as P
+from tripweave.functions.expressions import add, over
 from tripweave.operators.events import PAIRED, explode_edges, kept_rows, mark_edges, pair_edges, paired_events
 from tripweave.operators.pieces import PIECE, mark_late, mark_splits
 from tripweave.operators.segment import (
@@ -77,11 +78,11 @@ class Work:
         cold = measured_trips(self._cold, profile, outlook)
         return cold if self._hot is None else cold.unionByName(self._hot.measured(profile, outlook))
 
-    def paired(self, profile: P.Profile, end_open: bool = True, now: Column | None = None) -> DataFrame:
-        cold = paired_events(label(self._cold, profile), profile, (P.VIN,), end_open, now).select(*PAIRED)
+    def paired(self, profile: P.Profile, end_open: bool = True, now_us: int | None = None) -> DataFrame:
+        cold = paired_events(label(self._cold, profile), profile, (P.VIN,), end_open, now_us).select(*PAIRED)
         if self._hot is None:
             return cold
-        return cold.unionByName(self._hot.paired(profile, end_open, now).select(*PAIRED))
+        return cold.unionByName(self._hot.paired(profile, end_open, now_us).select(*PAIRED))
 
 
 class HotVehicles:
@@ -108,39 +109,34 @@ class HotVehicles:
                 rows = with_heads(rows, front)
         return rows
 
-    def _pass_on(self, marked: DataFrame, have: list[str], new: dict[str, Column]) -> DataFrame:
+    def _pass_on(self, marked: DataFrame, have: list[str], new: dict[str, str]) -> DataFrame:
         """Head rows of every chunk but a vehicle's first, with the new last values."""
-        known = set(marked.columns)
-        sums = [F.max(F.when(F.col("pos") == HEAD, F.col(c))).alias(c) for c in have]
+        on_head = f"FILTER (WHERE pos = {HEAD})"
+        sums = [F.expr(f"max({c}) {on_head} AS {c}") for c in have]
         for name, last in new.items():
-            day = F.max(F.when(F.col("pos") == HEAD, F.col(name))) if name in known else F.lit(None)
-            sums.append(F.coalesce(last, day).alias(name))
-        by_chunk = Window.partitionBy(P.VIN).orderBy(CHUNK)
-        before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
-        passed = marked.groupBy(*KEYS).agg(*sums)
-        passed = passed.withColumns(
-            {n: F.last(n, ignorenulls=True).over(before) for n in new} | {"nth": F.row_number().over(by_chunk)}
+            day = f"max({name}) {on_head}" if name in marked.columns else "null"
+            sums.append(F.expr(f"coalesce({last}, {day}) AS {name}"))
+        before = over((P.VIN,), (CHUNK,), "before")
+        passed = add(
+            marked.groupBy(*KEYS).agg(*sums),
+            {n: f"last({n}, true) {before}" for n in new} | {"nth": f"row_number() {over((P.VIN,), (CHUNK,))}"},
         )
         heads = passed.filter("nth > 1").drop("nth")
-        if "h_t" in have or "h_t" in new:
-            heads = heads.withColumns({"t": F.col("h_t"), "tie": F.lit(0).cast("long"), "pos": F.lit(HEAD)})
-        return heads.checkpoint()
+        return add(heads, {"t": "h_t", "tie": "0L", "pos": str(HEAD)}).checkpoint()
 
     def heads(self, profile: P.Profile) -> tuple[DataFrame, list[str]]:
         """Head rows that make every mark right in every chunk."""
         if profile in self._heads:
             return self._heads[profile]
-        row = F.col("pos") == ROW
-        order = F.struct("t", "tie")
-        live = F.when(F.col("off"), F.lit(NEVER)).when(F.col("on"), F.col("t"))
+        row = f"pos = {ROW}"
 
-        def last(condition: Column, value: str = "t") -> Column:
-            return F.max(F.when(row & condition, F.col(value)))
+        def last(condition: str) -> str:
+            return f"max(t) FILTER (WHERE {row} AND {condition})"
 
         have: list[str] = []
         heads = None
 
-        def stage(mark, new: dict[str, Column]) -> None:
+        def stage(mark, new: dict[str, str]) -> None:
             nonlocal heads
             heads = self._pass_on(mark(self._fronted(heads)), have, new)
             have.extend(new)
@@ -157,27 +153,24 @@ class HotVehicles:
         stage(
             lambda r: r,
             {
-                "h_t": last(F.lit(True)),
-                "h_live": F.max_by(F.when(row, live), F.when(row & live.isNotNull(), order)),
-                "h_moved": last(F.col("speed") > 0),
+                "h_t": last("true"),
+                "h_live": f"max_by(IF(is_off, {NEVER}, t), struct(t, tie)) FILTER (WHERE {row} AND (is_on OR is_off))",
+                "h_moved": last("speed > 0"),
             },
         )
-        stage(islands, {"h_island": last(F.col("cut"))})
-        stage(active, {"h_last_active": last(F.col("active"))})
-        stage(trips, {"h_trip": last(F.col("opens"))})
+        stage(islands, {"h_island": last("cut")})
+        stage(active, {"h_last_active": last("active")})
+        stage(trips, {"h_trip": last("opens")})
         if profile.idle_us is not None:
 
             def late(r):
                 return mark_late(trips(r), profile, KEYS)
 
-            stage(late, {"h_late": last(F.col("late"))})
-            at_split = F.col("piece_mark").isNotNull() & row
+            stage(late, {"h_late": last("late")})
+            split = f"FILTER (WHERE {row} AND piece_mark IS NOT NULL)"
             stage(
                 lambda r: mark_splits(late(r), profile, KEYS),
-                {
-                    "h_piece": F.max(F.when(at_split, F.col("piece_mark"))),
-                    "h_start": F.max_by("start_mark", F.when(at_split, F.col("piece_mark"))),
-                },
+                {"h_piece": f"max(piece_mark) {split}", "h_start": f"max_by(start_mark, piece_mark) {split}"},
             )
         self._heads[profile] = heads, have
         return heads, have
@@ -189,39 +182,37 @@ class HotVehicles:
             labelled = mark_splits(mark_late(labelled, profile, KEYS), profile, KEYS)
         return measure(labelled, profile, outlook)
 
-    def paired(self, profile: P.Profile, end_open: bool, now: Column | None) -> DataFrame:
+    def paired(self, profile: P.Profile, end_open: bool, now_us: int | None) -> DataFrame:
         heads, have = self.heads(profile)
         labelled = label(self._fronted(heads), profile, KEYS)
-        kept = F.when(F.col("pos") == ROW, F.struct("t", "tie"))
-        bits = F.when(F.col("active"), F.col("mask")).otherwise(0)
-        fronts = self._pass_on(kept_rows(labelled), have, {"h_mask": F.max_by(bits, kept)})
-        tails = self._tails(kept_rows(labelled), kept)
+        kept = kept_rows(labelled)
+        bits = f"max_by(IF(active, mask, 0), struct(t, tie)) FILTER (WHERE pos = {ROW})"
+        fronts = self._pass_on(kept, have, {"h_mask": bits})
+        tails = self._tails(kept)
         labelled = label(with_heads(self._fronted(fronts), tails), profile, KEYS)
-        edges = explode_edges(mark_edges(labelled, profile, KEYS, end_open, now), profile, KEYS)
+        edges = explode_edges(mark_edges(labelled, profile, KEYS, end_open, now_us), profile, KEYS)
         inside = pair_edges(edges, KEYS).checkpoint()
         # Events that cross chunks: at most one loose end and one loose start per chunk and kind.
-        loose = F.col("is_start") | F.col("start_t").isNull()
+        loose = F.expr("is_start OR start_t IS NULL")
         across = pair_edges(inside.filter(loose), (P.VIN,), first=(CHUNK,))
         return inside.filter(~loose).unionByName(across)
 
-    def _tails(self, kept: DataFrame, order: Column) -> DataFrame:
+    def _tails(self, kept: DataFrame) -> DataFrame:
         """For each chunk the first kept row of the chunks after it."""
-        backwards = Window.partitionBy(P.VIN).orderBy(F.desc(CHUNK))
-        later = backwards.rowsBetween(Window.unboundedPreceding, -1)
-        first = F.struct("t", "trip", "active", "lon", "lat")
+        first = f"min_by(struct(t, trip, active, lon, lat), struct(t, tie)) FILTER (WHERE pos = {ROW})"
+        firsts = kept.groupBy(*KEYS).agg(F.expr(f"{first} AS first"))
+        later = over((P.VIN,), (f"{CHUNK} DESC",), "before")
         return (
-            kept.groupBy(*KEYS)
-            .agg(F.min_by(first, order).alias("first"))
-            .withColumn("next", F.last("first", ignorenulls=True).over(later))
-            .filter(F.col("next").isNotNull())
-            .select(
+            add(firsts, {"next": f"last(first, true) {later}"})
+            .filter("next IS NOT NULL")
+            .selectExpr(
                 *KEYS,
-                F.lit(TAIL).alias("pos"),
-                F.col("next.t").alias("t"),
-                F.lit(0).cast("long").alias("tie"),
-                F.col("next.lon").alias("lon"),
-                F.col("next.lat").alias("lat"),
-                F.col("next.trip").alias("h_trip"),
-                F.col("next.active").alias("t_active"),
+                f"{TAIL} AS pos",
+                "next.t AS t",
+                "0L AS tie",
+                "next.lon AS lon",
+                "next.lat AS lat",
+                "next.trip AS h_trip",
+                "next.active AS t_active",
             )
         )

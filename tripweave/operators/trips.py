@@ -2,50 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripweave import profiles as P
-from tripweave.functions.expressions import trip_id
+from tripweave.functions.expressions import add, over, trip_id
 from tripweave.operators.pieces import PIECE, mark_pieces
 from tripweave.operators.segment import label
 
 
-def _own(rows: DataFrame, value: Column, seed: str) -> Column:
-    """The value on an active row, or what a head row carries from an earlier run."""
-    mine = F.when(F.col("active"), value)
-    if not _carried(rows):
-        return mine
-    return mine.when(F.col("h_speed_weight").isNotNull(), F.col(seed))
-
-
 def _carried(rows: DataFrame) -> bool:
     return "h_speed_weight" in rows.columns
 
 
-def _totals(rows: DataFrame) -> dict[str, Column]:
-    speed, weight = F.col("speed"), F.col("weight")
+def _own(rows: DataFrame, value: str, seed: str) -> str:
+    """The value on an active row, or what a head row carries from an earlier run."""
+    carried = f" WHEN h_speed_weight IS NOT NULL THEN {seed}" if _carried(rows) else ""
+    return f"CASE WHEN active THEN {value}{carried} END"
+
+
+def _totals(rows: DataFrame) -> dict[str, str]:
     return {
-        "end_t": F.max(_own(rows, F.col("t"), "h_last_active")),
-        "max_speed": F.max(_own(rows, speed, "h_speed_max")),
-        "speed_sum": F.sum(_own(rows, speed * weight, "h_speed_sum")),
-        "speed_weight": F.sum(_own(rows, weight.cast("long"), "h_speed_weight")),
+        "end_t": f"max({_own(rows, 't', 'h_last_active')})",
+        "max_speed": f"max({_own(rows, 'speed', 'h_speed_max')})",
+        "speed_sum": f"sum({_own(rows, 'speed * weight', 'h_speed_sum')})",
+        "speed_weight": f"sum({_own(rows, 'CAST(weight AS BIGINT)', 'h_speed_weight')})",
     }
 
 
-def _outlook(rows: DataFrame) -> dict[str, Column]:
+def _outlook(rows: DataFrame) -> dict[str, str]:
     """What tells whether a trip is still open, and what its carried state needs."""
-    order = F.struct(*(["pos"] if "pos" in rows.columns else []), "t", "tie")
-    spoken, hangs = F.col("active"), F.col("off")
+    order = "struct(pos, t, tie)" if "pos" in rows.columns else "struct(t, tie)"
+    spoken, hangs = "active", "is_off"
     if _carried(rows):
-        spoken = spoken | F.col("h_speed_weight").isNotNull()
-        hangs = F.coalesce(F.col("h_hanging"), hangs)
-    last = F.when(spoken, F.struct(hangs.alias("hanging"), "lon", "lat"))
+        spoken, hangs = "(active OR h_speed_weight IS NOT NULL)", "coalesce(h_hanging, is_off)"
+    last_moved = _own(rows, "IF(speed > 0, t, null)", "h_moved")
     return {
-        "shut": F.max(F.when(F.col("closes") & ~F.col("active"), 1).otherwise(0)),
-        "last_t": F.max("t"),
-        "last_moved": F.max(_own(rows, F.when(F.col("speed") > 0, F.col("t")), "h_moved")),
-        "last": F.max_by(last, F.when(spoken, order)),
+        "shut": "max(IF(closes AND NOT active, 1, 0))",
+        "last_t": "max(t)",
+        "last_moved": f"max({last_moved})",
+        "last": f"max_by(struct({hangs} AS hanging, lon, lat), {order}) FILTER (WHERE {spoken})",
     }
 
 
@@ -65,60 +61,56 @@ def measure(rows: DataFrame, profile: P.Profile, outlook: bool = False) -> DataF
     and the columns for carried state are added.
     """
     pieced = PIECE in rows.columns
-    by = ["trip", PIECE, "start_t"] if pieced else ["trip"]
+    by = [P.VIN, "trip", PIECE, "start_t"] if pieced else [P.VIN, "trip"]
+    kept = "trip IS NOT NULL"
     if not outlook:
-        kept = F.col("active")
-        if _carried(rows):
-            kept = kept | F.col("h_speed_weight").isNotNull()
-        rows = rows.filter(kept)
-    rows = rows.filter(F.col("trip").isNotNull())
+        kept += " AND (active OR h_speed_weight IS NOT NULL)" if _carried(rows) else " AND active"
     aggregates = _totals(rows) | (_outlook(rows) if outlook else {})
     if pieced:
-        aggregates["left_sample"] = F.max("left_sample")
-    totals = rows.groupBy(P.VIN, *by).agg(*[c.alias(n) for n, c in aggregates.items()])
-    by_vehicle = Window.partitionBy(P.VIN).orderBy(PIECE if pieced else "trip")
+        aggregates["left_sample"] = "max(left_sample)"
+    totals = rows.filter(kept).groupBy(*by).agg(*[F.expr(f"{text} AS {n}") for n, text in aggregates.items()])
+    following = over((P.VIN,), (PIECE if pieced else "trip",))
     if outlook:
-        totals = totals.withColumn("last_of_vehicle", F.lead("trip").over(by_vehicle).isNull())
+        totals = add(totals, {"last_of_vehicle": f"lead(trip) {following} IS NULL"})
     if not pieced:
-        return totals.withColumn("start_t", F.col("trip"))
+        return add(totals, {"start_t": "trip"})
     # A piece ends where the next piece of its trip starts.
-    totals = totals.withColumns(
+    totals = add(
+        totals,
         {
-            "n_start": F.when(F.lead("trip").over(by_vehicle) == F.col("trip"), F.lead("start_t").over(by_vehicle)),
-            "n_left": F.lead("left_sample").over(by_vehicle),
-        }
+            "n_start": f"IF(lead(trip) {following} = trip, lead(start_t) {following}, null)",
+            "n_left": f"lead(left_sample) {following}",
+        },
     )
-    return totals.withColumns(
+    return add(
+        totals,
         {
-            "speed_weight": F.col("speed_weight")
-            + F.when(F.col("n_start").isNotNull(), F.col("n_left")).otherwise(0),
-            "end_t": F.coalesce("n_start", "end_t"),
-        }
+            "speed_weight": "speed_weight + IF(n_start IS NOT NULL, n_left, 0)",
+            "end_t": "coalesce(n_start, end_t)",
+        },
     ).drop("n_start", "n_left", "left_sample")
 
 
-def still_open(profile: P.Profile, now: Column | None) -> Column:
-    """Condition on measured trips (with outlook): neither the data nor ``now`` ends it."""
-    alive = (F.col("shut") == 0) & F.col("last_of_vehicle")
-    if now is None:
+def still_open(profile: P.Profile, now_us: int | None) -> str:
+    """Condition on measured trips (with outlook): neither the data nor ``now_us`` ends it."""
+    alive = "(shut = 0 AND last_of_vehicle)"
+    if now_us is None:
         return alive
-    limit = F.when(F.col("last.hanging"), F.lit(profile.hang_us)).otherwise(F.lit(profile.gap_us))
-    return alive & (F.unix_micros(now) <= F.col("end_t") + limit)
+    return f"({alive} AND {now_us} <= end_t + IF(last.hanging, {profile.hang_us}, {profile.gap_us}))"
 
 
 def trip_rows(measured: DataFrame, profile: P.Profile) -> DataFrame:
     """Measured trips as trips, those without duration left out unless the profile keeps them."""
-    start, end = F.col("start_t"), F.col("end_t")
-    start_time = F.timestamp_micros(start)
-    return measured.filter(start <= end if profile.keep_zero_length else start < end).select(
-        trip_id(F.col(P.VIN), start_time).alias("trip_id"),
+    start = "timestamp_micros(start_t)"
+    return measured.filter("start_t <= end_t" if profile.keep_zero_length else "start_t < end_t").selectExpr(
+        f"{trip_id(P.VIN, start)} AS trip_id",
         P.VIN,
-        F.when(F.col("max_speed") > 0, "DRIVING").otherwise("PARKING").alias("trip_type"),
-        start_time.alias("start_time"),
-        F.timestamp_micros(end).alias("end_time"),
+        "IF(max_speed > 0, 'DRIVING', 'PARKING') AS trip_type",
+        f"{start} AS start_time",
+        "timestamp_micros(end_t) AS end_time",
         "max_speed",
-        (F.col("speed_sum") / F.col("speed_weight")).alias("avg_speed"),
-        F.col("speed_weight").alias("samples"),
+        "speed_sum / speed_weight AS avg_speed",
+        "speed_weight AS samples",
     )
 
 

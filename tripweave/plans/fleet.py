@@ -8,7 +8,6 @@ limits, and floored to whole seconds, which leaves some rows of a vehicle at equ
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripweave import profiles as P
 from tripweave.sources.telemetry import normalize
@@ -35,19 +34,18 @@ def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_raw(events: DataFrame) -> DataFrame:
     """Telemetry columns, not yet normalised."""
-    since = F.unix_micros(F.col("ts").cast("timestamp")) - EPOCH_US
-    seconds = F.floor(since / SQUEEZE_US)
-    k = F.regexp_extract("props", r"(\d+)", 1).cast("int")
-    return events.withColumn("k", k).select(
-        "event_id",
-        F.concat(F.lit("V"), F.col("user_id").cast("string")).alias(P.VIN),
-        F.timestamp_micros(F.lit(EPOCH_US) + seconds * 1_000_000).alias(P.TIMESTAMP),
-        F.expr(POWER_RULE).alias(P.POWER),
-        F.expr(SPEED_RULE).alias(P.SPEED),
-        (F.lit(120.0) + F.col("k") / 100.0).alias(P.LON),
-        (F.lit(30.0) + F.col("user_id") / 1000.0).alias(P.LAT),
-        *[F.expr(rule).alias(flag) for flag, rule in FLAG_RULES.items()],
-    )
+    seconds = f"floor((unix_micros(CAST(ts AS TIMESTAMP)) - {EPOCH_US}) / {SQUEEZE_US})"
+    columns = {
+        "event_id": "event_id",
+        P.VIN: "'V' || user_id",
+        P.TIMESTAMP: f"timestamp_micros({EPOCH_US} + {seconds} * 1000000)",
+        P.POWER: POWER_RULE,
+        P.SPEED: SPEED_RULE,
+        P.LON: "120.0D + k / 100.0D",
+        P.LAT: "30.0D + user_id / 1000.0D",
+    } | FLAG_RULES
+    numbered = events.selectExpr("*", r"CAST(regexp_extract(props, r'(\d+)', 1) AS INT) AS k")
+    return numbered.selectExpr(*[f"{text} AS {name}" for name, text in columns.items()])
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:

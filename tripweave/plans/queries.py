@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tripweave import engine
 from tripweave import profiles as P
 from tripweave import schemas
-from tripweave.functions.expressions import moment_text, powered_off, powered_on, trip_id
+from tripweave.functions.expressions import POWERED_OFF, POWERED_ON, moment_text, trip_id
 from tripweave.operators import report
 from tripweave.operators.carry import heads
 from tripweave.operators.segment import label, lanes, with_heads
@@ -95,7 +95,7 @@ SELECT coalesce(power = 2, false) OR speed > 0 AS is_on, coalesce(power = 0, fal
 FROM tel GROUP BY 1, 2""",
 )
 def power_flags(spark, sf_dir):
-    flags = fleet.telemetry(spark, sf_dir).select(powered_on().alias("is_on"), powered_off().alias("is_off"))
+    flags = fleet.telemetry(spark, sf_dir).selectExpr(f"{POWERED_ON} AS is_on", f"{POWERED_OFF} AS is_off")
     return flags.groupBy("is_on", "is_off").agg(F.count("*").alias("n_rows"))
 
 
@@ -201,10 +201,9 @@ SELECT event_id, CASE WHEN start_t % 1000000 = 0 THEN strftime(moment_ts, '%Y-%m
 )
 def trip_id_text(spark, sf_dir):
     """The id of a trip at uncompressed times, whose fractions often end in zeros."""
-    at = F.col("ts").cast("timestamp")
-    vin = F.concat(F.lit("V"), F.col("user_id").cast("string"))
-    return fleet.events_table(spark, sf_dir).select(
-        "event_id", moment_text(at).alias("moment"), trip_id(vin, at).alias("id")
+    at = "CAST(ts AS TIMESTAMP)"
+    return fleet.events_table(spark, sf_dir).selectExpr(
+        "event_id", f"{moment_text(at)} AS moment", f"{trip_id("'V' || user_id", at)} AS id"
     )
 
 
@@ -232,7 +231,7 @@ register("active_sample", _row_rule_sql("acts", "true"))(_row_rule("active"))
 def power_off(spark, sf_dir):
     return (
         _labelled(spark, sf_dir)
-        .filter(F.col("active") & F.col("off"))
+        .filter("active AND is_off")
         .select(P.VIN, F.col("tie").alias("event_id"), F.timestamp_micros("t").alias("at"))
     )
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tripweave import profiles as P
 from tripweave.functions.expressions import filled
@@ -31,18 +30,15 @@ def normalize(raw: DataFrame, tie: str | None = None, require: tuple[str, ...] =
     if absent:
         raise ValueError(f"telemetry lacks {', '.join(absent)}")
     columns = {
-        P.VIN: F.col(P.VIN),
-        P.TIMESTAMP: F.col(P.TIMESTAMP).cast("timestamp"),
-        P.POWER: F.col(P.POWER) if P.POWER in present else F.lit(P.POWER_OFF),
+        P.VIN: P.VIN,
+        P.TIMESTAMP: f"CAST({P.TIMESTAMP} AS TIMESTAMP)",
+        P.POWER: P.POWER if P.POWER in present else str(P.POWER_OFF),
     }
     for name in (P.SPEED, P.LON, P.LAT):
-        columns[name] = filled(name) if name in present else F.lit(0.0)
+        columns[name] = filled(name) if name in present else "0.0D"
     for name in P.FLAGS:
-        columns[name] = F.col(name).cast("int") if name in present else F.lit(0)
-    placed = raw.filter(F.col(P.VIN).isNotNull() & F.col(P.TIMESTAMP).isNotNull())
-    if tie:
-        order = F.col(tie).cast("long")
-    else:
-        given = sorted(present & {P.POWER, P.SPEED, P.LON, P.LAT, *P.FLAGS})
-        order = F.xxhash64(F.col(P.TIMESTAMP), *[F.col(c) for c in given])
-    return placed.select(*[c.alias(n) for n, c in columns.items()], order.alias(TIE))
+        columns[name] = f"CAST({name} AS INT)" if name in present else "0"
+    given = sorted(present & {P.POWER, P.SPEED, P.LON, P.LAT, *P.FLAGS})
+    columns[TIE] = f"CAST({tie} AS BIGINT)" if tie else f"xxhash64({', '.join([P.TIMESTAMP, *given])})"
+    placed = raw.filter(f"{P.VIN} IS NOT NULL AND {P.TIMESTAMP} IS NOT NULL")
+    return placed.selectExpr(*[f"{text} AS {name}" for name, text in columns.items()])

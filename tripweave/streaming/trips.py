@@ -12,12 +12,11 @@ from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tripweave import profiles as P
-from tripweave.functions.expressions import trip_id
+from tripweave.functions.expressions import EVENT_NAME, trip_id
 from tripweave.operators.segment import lanes
 from tripweave.session import use_state_store
 from tripweave.streaming.machine import OpenTrip, VehicleFold
@@ -30,8 +29,8 @@ _ROW = T.StructType(
     [
         T.StructField("t", T.LongType()),
         T.StructField("tie", T.LongType()),
-        T.StructField("on", T.BooleanType()),
-        T.StructField("off", T.BooleanType()),
+        T.StructField("is_on", T.BooleanType()),
+        T.StructField("is_off", T.BooleanType()),
         T.StructField("speed", T.DoubleType()),
         T.StructField("lon", T.DoubleType()),
         T.StructField("lat", T.DoubleType()),
@@ -206,24 +205,21 @@ def trip_stream(
 
 
 def _as_results(found: DataFrame) -> DataFrame:
-    names = F.array(*[F.lit(n) for n in P.EVENT_NAMES])
-    whole = F.col("event") == _WHOLE_TRIP
-    kind = F.when(F.col("max_speed") > 0, "DRIVING").otherwise("PARKING")
-    return found.select(
-        trip_id(F.col(P.VIN), F.timestamp_micros("trip")).alias("trip_id"),
+    return found.selectExpr(
+        f"{trip_id(P.VIN, 'timestamp_micros(trip)')} AS trip_id",
         P.VIN,
-        F.when(whole, "TRIP").otherwise("EVENT").alias("row_type"),
-        F.when(whole, kind).otherwise(names[F.greatest("event", F.lit(0))]).alias("trip_type"),
-        F.lit(None).cast("string").alias("phase"),
-        F.timestamp_micros("start_t").alias("start_time"),
-        F.timestamp_micros("end_t").alias("end_time"),
+        f"IF(event = {_WHOLE_TRIP}, 'TRIP', 'EVENT') AS row_type",
+        f"IF(event = {_WHOLE_TRIP}, IF(max_speed > 0, 'DRIVING', 'PARKING'), {EVENT_NAME}) AS trip_type",
+        "CAST(null AS STRING) AS phase",
+        "timestamp_micros(start_t) AS start_time",
+        "timestamp_micros(end_t) AS end_time",
         "max_speed",
         "avg_speed",
         "start_lon",
         "start_lat",
         "end_lon",
         "end_lat",
-        F.timestamp_micros("end_t").alias("last_ts"),
-        F.lit(None).cast("timestamp").alias("last_speed_ts"),
-        F.lit(None).cast("string").alias("state_speeds"),
+        "timestamp_micros(end_t) AS last_ts",
+        "CAST(null AS TIMESTAMP) AS last_speed_ts",
+        "CAST(null AS STRING) AS state_speeds",
     )
