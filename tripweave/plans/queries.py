@@ -616,6 +616,10 @@ def st_gap_session(spark, sf_dir):
 # --- streaming ----------------------------------------------------------------------------
 
 
+# The fleet sends a row in some ten minutes, so a slice of waiting rows may span hours.
+SLICE_SECONDS = 21_600
+
+
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole ``events`` file as a stream of telemetry."""
     schema = fleet.events_table(spark, sf_dir).schema
@@ -662,7 +666,7 @@ _EVENT_SHAPE = ("trip_id", "vin", "event_name", "start_time", "end_time", "start
 def st_trips(spark, sf_dir):
     """Trips of the keyed stateful stream, by an append file sink."""
     folder = scratch_dir(spark)
-    results = trip_stream(_event_stream(spark, sf_dir))
+    results = trip_stream(_event_stream(spark, sf_dir), slice_seconds=SLICE_SECONDS)
     query = (
         results.writeStream.format("parquet")
         .option("path", f"{folder}/rows")
@@ -677,7 +681,9 @@ def st_trips(spark, sf_dir):
 
 def _job(spark, sf_dir) -> str:
     folder = scratch_dir(spark)
-    config = JobConfig(checkpoint_root=f"{folder}/checkpoints", write=file_writer(folder))
+    config = JobConfig(
+        checkpoint_root=f"{folder}/checkpoints", write=file_writer(folder), slice_seconds=SLICE_SECONDS
+    )
     start(_event_stream(spark, sf_dir), "offline", config).awaitTermination()
     return folder
 

@@ -13,7 +13,7 @@ from tripweave import schemas
 from tripweave.sinks.tables import Writer, split_tables
 from tripweave.sources import streams
 from tripweave.sources.telemetry import normalize, renamed
-from tripweave.streaming.trips import trip_stream
+from tripweave.streaming.trips import SLICE_SECONDS, trip_stream
 
 # Trigger of each mode: run to the end of what is there, or look every ten seconds.
 TRIGGERS = {"offline": {"availableNow": True}, "realtime": {"processingTime": "10 seconds"}}
@@ -27,6 +27,7 @@ class JobConfig:
     write: Writer
     profile: P.Profile = P.UNIFIED
     delay: str = "10 minutes"
+    slice_seconds: int = SLICE_SECONDS
     table: str = ""
     table_format: str = "paimon"
     servers: str = ""
@@ -65,7 +66,7 @@ def start(
     """Starts the query that writes trips and events of streaming telemetry."""
     callback = on_batch or split_tables(config.write, config.trips_table, config.events_table)
     return (
-        trip_stream(telemetry, config.profile, config.delay)
+        trip_stream(telemetry, config.profile, config.delay, config.slice_seconds)
         .writeStream.foreachBatch(callback)
         .option("checkpointLocation", checkpoint_path(config, mode))
         .trigger(**TRIGGERS[mode])

@@ -21,9 +21,9 @@ from tripweave.operators.segment import lanes
 from tripweave.session import use_state_store
 from tripweave.streaming.machine import OpenTrip, VehicleFold
 
-# Waiting rows are stored by slice of event time, so that no more than one slice is read or
-# rewritten at a time.
-SLICE_US = 60_000_000
+# Waiting rows are stored by slice of event time, so that no more than one slice of a vehicle is
+# read, rewritten or held in memory at a time. Dense fleets want short slices, sparse ones long.
+SLICE_SECONDS = 300
 
 _ROW = T.StructType(
     [
@@ -102,8 +102,9 @@ def _restored(value: tuple) -> OpenTrip:
 
 
 class TripProcessor(StatefulProcessor):
-    def __init__(self, profile: P.Profile):
+    def __init__(self, profile: P.Profile, slice_seconds: int = SLICE_SECONDS):
         self._profile = profile
+        self._slice_us = slice_seconds * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
@@ -112,31 +113,56 @@ class TripProcessor(StatefulProcessor):
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         names = _ROW.fieldNames()
+        slices = set(self._slices())
+        first = None
         for batch in rows:
-            for number, part in batch.groupby(batch["t"] // SLICE_US):
-                new = list(part[names].itertuples(index=False, name=None))
-                self._put(int(number), self._get(int(number)) + [_plain(r) for r in new])
-        self._set_timer(self._open_trip(), timerValues.getCurrentWatermarkInMs() * 1000)
+            earliest = int(batch["t"].min())
+            first = earliest if first is None else min(first, earliest)
+            for number, part in batch.groupby(batch["t"] // self._slice_us):
+                new = [_plain(r) for r in part[names].itertuples(index=False, name=None)]
+                self._put(int(number), (self._get(number) if number in slices else []) + new)
+                slices.add(int(number))
+        # Waiting rows and the open trip already have their timer; only an earlier one is new.
+        timers = list(self._handle.listTimers())
+        due = max(_ceil_ms(first), timerValues.getCurrentWatermarkInMs() + 1)
+        if not timers or due < min(timers):
+            self._set_timer(timers, due)
         return iter(())
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        watermark = timerValues.getCurrentWatermarkInMs() * 1000
+        now = timerValues.getCurrentWatermarkInMs()
+        watermark = now * 1000
         fold = VehicleFold(self._profile, self._open_trip())
+        done, later = [], []
         for number in self._slices():
-            if number * SLICE_US > watermark:
-                break
+            if number * self._slice_us > watermark:
+                later.append(number)
+                continue
             rows = sorted(self._get(number), key=lambda r: (r[0], r[1]))
             due = [r for r in rows if r[0] <= watermark]
             for t, _, on, off, speed, lon, lat, mask in due:
                 fold.feed(t, on, off, speed, lon, lat, mask)
-            self._put(number, rows[len(due):])
+            if len(due) < len(rows):
+                later.append(number)
+                self._put(number, rows[len(due):])
+            else:
+                done.append(number)
+        if not later:
+            self._waiting.clear()
+        else:
+            for number in done:
+                self._waiting.removeKey((number,))
         if fold.trip is not None and watermark > fold.trip.alarm(self._profile):
             fold.close()
-        if fold.trip is None:
-            self._trip.clear()
-        else:
+        if fold.trip is not None:
             self._trip.update(_stored(fold.trip))
-        self._set_timer(fold.trip, watermark)
+        else:
+            self._trip.clear()
+        moments = [fold.trip.alarm(self._profile) // 1000 + 1] if fold.trip else []
+        if later:
+            moments.append(_ceil_ms(min(r[0] for r in self._get(later[0]))))
+        if moments:
+            self._handle.registerTimer(max(min(moments), now + 1))
         found = _output(key[0], fold)
         return iter([pd.DataFrame(found, columns=_OUT.fieldNames())] if found else ())
 
@@ -150,27 +176,20 @@ class TripProcessor(StatefulProcessor):
         return sorted(k[0] for k in self._waiting.keys())
 
     def _get(self, number: int) -> list[tuple]:
-        if not self._waiting.containsKey((number,)):
-            return []
-        return [tuple(r) for r in self._waiting.getValue((number,))[0]]
+        return [tuple(r) for r in self._waiting.getValue((int(number),))[0]]
 
     def _put(self, number: int, rows: list[tuple]) -> None:
-        if rows:
-            self._waiting.updateValue((number,), (rows,))
-        elif self._waiting.containsKey((number,)):
-            self._waiting.removeKey((number,))
+        self._waiting.updateValue((number,), (rows,))
 
-    def _set_timer(self, trip: OpenTrip | None, watermark: int) -> None:
+    def _set_timer(self, timers: list[int], moment: int) -> None:
         """One timer per vehicle: the next waiting row, or just after the trip's alarm."""
-        moments = [trip.alarm(self._profile) // 1000 + 1] if trip else []
-        slices = self._slices()
-        if slices:
-            first = min(r[0] for r in self._get(slices[0]))
-            moments.append(-(-first // 1000))
-        for timer in list(self._handle.listTimers()):
+        for timer in timers:
             self._handle.deleteTimer(timer)
-        if moments:
-            self._handle.registerTimer(max(min(moments), watermark // 1000 + 1))
+        self._handle.registerTimer(moment)
+
+
+def _ceil_ms(t: int) -> int:
+    return -(-t // 1000)
 
 
 def _plain(row: tuple) -> tuple:
@@ -186,7 +205,10 @@ def _output(vin: str, fold: VehicleFold) -> list[tuple]:
 
 
 def trip_stream(
-    telemetry: DataFrame, profile: P.Profile = P.UNIFIED, delay: str = "10 minutes"
+    telemetry: DataFrame,
+    profile: P.Profile = P.UNIFIED,
+    delay: str = "10 minutes",
+    slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
     """Result rows (trips and events) of canonical streaming telemetry, in append mode.
 
@@ -198,7 +220,7 @@ def trip_stream(
         lanes(rows, keep_time=True)
         .groupBy(P.VIN)
         .transformWithStateInPandas(
-            TripProcessor(profile), outputStructType=_OUT, outputMode="Append", timeMode="EventTime"
+            TripProcessor(profile, slice_seconds), outputStructType=_OUT, outputMode="Append", timeMode="EventTime"
         )
     )
     return _as_results(found)
