@@ -112,3 +112,20 @@ def test_now_ends_overdue_trips_only(spark):
     assert over.carry.isEmpty()
     ends = {r.event_name: r.end_lon for r in over.events.collect()}
     assert ends == {"CREEP_RUN_EVENT": 7.0, "LOW_SPEED_EVENT": 7.0, "PARK_AFTER_RUN_EVENT": 0.0}
+
+
+def test_daily_runs_can_be_repeated(spark, random_rows):
+    from tripweave.plans import daily
+    from tripweave.session import scratch_dir
+
+    df, rows = random_rows
+    root = scratch_dir(spark)
+    low = df.filter(F.col(P.TIMESTAMP) < F.lit(CUTS[0]))
+    high = df.filter(F.col(P.TIMESTAMP) >= F.lit(CUTS[0]))
+    for _ in range(2):
+        daily.run_day(spark, low, root, "d1", None)
+    for _ in range(2):
+        daily.run_day(spark, high, root, "d2", "d1", now=LATER)
+    trips, events = folded(rows, P.UNIFIED)
+    assert trip_tuples(spark.read.parquet(f"{root}/trips")) == trips
+    assert event_tuples(spark.read.parquet(f"{root}/events")) == events

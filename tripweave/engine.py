@@ -7,10 +7,12 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from tripweave import profiles as P
 from tripweave import schemas
+from tripweave.functions.expressions import trip_id
 from tripweave.operators import carry as state
 from tripweave.operators import skew
 from tripweave.operators.carry import Step
@@ -50,21 +52,26 @@ def step(
     profile: P.Profile = P.UNIFIED,
     with_events: bool = True,
     hot_rows: int | None = skew.HOT_ROWS,
+    keep: bool = False,
 ) -> Step:
     """One incremental run: state and new rows in; closed trips, closed events, new state out.
 
-    ``now`` ends open trips that have been silent, or switched off, beyond the limit.
+    ``now`` ends open trips that have been silent, or switched off, beyond the limit. The
+    results share two intermediate tables (trips and events, both far smaller than the rows);
+    ``keep`` persists these, for callers that write more than one result. ``release`` them then.
     """
     now_us = _micros(now)
     heads = None if carry is None else state.heads(carry)
     work = skew.plan(lanes(telemetry), heads, hot_rows)
     measured = work.measured(profile, outlook=True)
     paired = work.paired(profile, end_open=False, now_us=now_us) if with_events else None
+    kept = tuple(df.persist(StorageLevel.DISK_ONLY) for df in (measured, paired) if df is not None) if keep else ()
     closed = trip_rows(measured.filter(f"NOT {still_open(profile, now_us)}"), profile)
     return Step(
         closed,
         None if paired is None else event_rows(paired),
         state.snapshot(measured, paired, profile, now_us),
+        kept,
     )
 
 
@@ -92,3 +99,29 @@ def result_rows(trips: DataFrame, events: DataFrame | None = None) -> DataFrame:
             *blank,
         ).select(*_RESULT)
     )
+
+
+def state_rows(carry: DataFrame) -> DataFrame:
+    """Carried state in the result row shape, as ``STATE`` rows.
+
+    The trip's start and the switch-off stand in ``start_time`` and ``end_time``. The speed
+    samples are not listed: the carry table holds their sum, weight and maximum.
+    """
+    return carry.selectExpr(
+        f"{trip_id(P.VIN, 'trip_start')} AS trip_id",
+        P.VIN,
+        "'STATE' AS row_type",
+        "trip_type",
+        "phase",
+        "trip_start AS start_time",
+        "hang_start AS end_time",
+        *[f"CAST(null AS DOUBLE) AS {c}" for c in _RESULT[7:13]],
+        "last_ts",
+        "last_speed_ts",
+        "CAST(null AS STRING) AS state_speeds",
+    ).select(*_RESULT)
+
+
+def short_rows(results: DataFrame) -> DataFrame:
+    """The 11 columns of the profiles that have no trip id and no positions."""
+    return results.select(*schemas.SHORT_RESULT.fieldNames())

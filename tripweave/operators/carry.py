@@ -88,3 +88,8 @@ class Step(NamedTuple):
     trips: DataFrame
     events: DataFrame | None
     carry: DataFrame
+    kept: tuple[DataFrame, ...] = ()
+
+    def release(self) -> None:
+        for df in self.kept:
+            df.unpersist()

@@ -207,11 +207,12 @@ p7 AS (
     SELECT vin, trip, piece_no, any_value(trip_t) AS trip_t, any_value(trip_end) AS trip_end,
       max(speed) AS max_speed, sum(speed * pw) AS speed_sum, sum(pw) AS weight,
       max(CASE WHEN stops THEN psp WHEN leaves THEN prev_t END) AS cut_t,
-      max(CASE WHEN stops AND resuming THEN 1 ELSE 0 END) AS stray
+      max(CASE WHEN stops AND resuming THEN 1 ELSE 0 END) AS stray,
+      max(CASE WHEN speed > 0 THEN t END) AS last_moved
     FROM p6 GROUP BY vin, trip, piece_no
 ),
 piece AS (
-    SELECT vin, coalesce(cut_t, trip_t) AS start_t,
+    SELECT vin, trip, last_moved, lead(piece_no) OVER w IS NULL AS is_last, coalesce(cut_t, trip_t) AS start_t,
       coalesce(lead(cut_t) OVER w, trip_end) AS end_t,
       max_speed, speed_sum, weight + coalesce(lead(stray) OVER w, 0) AS weight
     FROM p7 WINDOW w AS (PARTITION BY vin, trip ORDER BY piece_no)

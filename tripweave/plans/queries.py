@@ -17,7 +17,7 @@ from tripweave.functions.expressions import POWERED_OFF, POWERED_ON, moment_text
 from tripweave.operators import report
 from tripweave.operators.carry import heads
 from tripweave.operators.segment import label, lanes, with_heads
-from tripweave.plans import fleet, oracle
+from tripweave.plans import daily, fleet, oracle
 from tripweave.session import scratch_dir
 from tripweave.sinks.tables import csv_stream, file_writer
 from tripweave.sources import streams
@@ -274,7 +274,7 @@ def trip_flush_timeout(spark, sf_dir):
     """Trips that only a timeout ends: run once without, then empty input past the alarms."""
     tel = fleet.telemetry(spark, sf_dir)
     first = engine.step(None, tel, with_events=False)
-    later = engine.step(first.carry, tel.limit(0), now="2030-01-01 00:00:00", with_events=False)
+    later = engine.step(first.carry, tel.filter("false"), now="2030-01-01 00:00:00", with_events=False)
     return _rounded(later.trips, "avg_speed")
 
 
@@ -464,22 +464,11 @@ def present_trip(spark, sf_dir):
     return report.presented(report.of_day(_trips(spark, sf_dir, P.LEGACY_FLUSH), CUT_TEXT)).drop("avg_speed")
 
 
-@register("sort_trip", f"SELECT row_number() OVER (ORDER BY vin, start_text, end_text) AS place, vin, start_text, end_text FROM ({_PRESENT_SQL})")
+@register("sort_trip", f"SELECT vin, start_text, end_text FROM ({_PRESENT_SQL}) ORDER BY vin, start_text")
 def sort_trip(spark, sf_dir):
-    """Place of each trip in the sorted report, from counts per vehicle (no global window)."""
+    """The report's order; a range-partitioned sort."""
     shown = report.presented(report.of_day(_trips(spark, sf_dir, P.LEGACY_FLUSH), CUT_TEXT))
-    from pyspark.sql import Window
-
-    per_vin = shown.groupBy(P.VIN).agg(F.count("*").alias("n"))
-    ahead = per_vin.select(
-        P.VIN, (F.sum("n").over(Window.orderBy(P.VIN).rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("ahead")
-    )
-    inside = F.row_number().over(Window.partitionBy(P.VIN).orderBy("start_text", "end_text"))
-    return (
-        shown.withColumn("nth", inside)
-        .join(ahead, P.VIN)
-        .select((F.col("ahead") + F.col("nth")).alias("place"), P.VIN, "start_text", "end_text")
-    )
+    return shown.select(P.VIN, "start_text", "end_text")
 
 
 @register("count_by_type", f"SELECT trip_type, count(*) AS count FROM ({TRIPS_SQL}) GROUP BY trip_type")
@@ -490,9 +479,9 @@ def count_by_type(spark, sf_dir):
 # --- carried state ------------------------------------------------------------------------
 
 
-def _snapshot_sql(profile: P.Profile) -> str:
+def _snapshot_sql(profile: P.Profile, until: int | None = None) -> str:
     hang = profile.hang_seconds
-    return f"""{oracle.trips(hang, until=CUT_US)},
+    return f"""{oracle.trips(hang, until=until)},
 {oracle.closing(hang)},
 state AS (
   SELECT x.*, (x.last_hang IS NOT NULL AND x.end_t = x.last_hang) AS hanging, (SELECT max(t) FROM tel r WHERE r.vin = x.vin) AS last_t
@@ -510,20 +499,74 @@ _STATE_COLUMNS = ("vin", "phase", "trip_type", "trip_start", "hang_start", "last
 
 @register("carry_snapshot", _snapshot_sql(P.UNIFIED))
 def carry_snapshot(spark, sf_dir):
-    """State of the open trips at the day boundary."""
-    carry = engine.step(None, _before(fleet.telemetry(spark, sf_dir)), with_events=False).carry
+    """State of the trips still open after the last row."""
+    carry = engine.step(None, fleet.telemetry(spark, sf_dir), with_events=False).carry
     return carry.select(*_STATE_COLUMNS).withColumn("speed_sum", F.round("speed_sum", 6))
 
 
+_LEGACY_STATE = f"""{oracle.pieces()},
+{oracle.closing(300)},
+open_piece AS (
+  SELECT p.*, (x.last_hang IS NOT NULL AND x.end_t = x.last_hang) AS hanging, r.last_t
+  FROM piece p JOIN bounds x USING (vin, trip) JOIN closed d USING (vin, trip)
+  JOIN (SELECT vin, max(t) AS last_t FROM tel GROUP BY vin) r USING (vin) WHERE d.close_rn IS NULL AND p.is_last
+)"""
+
+
+@register(
+    "t_plus_1",
+    f"""{_LEGACY_STATE},
+done AS (SELECT * FROM piece p WHERE NOT EXISTS (SELECT 1 FROM open_piece o WHERE o.vin = p.vin AND o.trip = p.trip AND p.is_last))
+SELECT vin, 'TRIP' AS row_type, CASE WHEN max_speed > 0 THEN 'DRIVING' ELSE 'PARKING' END AS trip_type,
+  CAST(NULL AS VARCHAR) AS phase, make_timestamp(start_t) AS start_time, make_timestamp(end_t) AS end_time, max_speed,
+  round(speed_sum / weight, 7) AS avg_speed, make_timestamp(end_t) AS last_ts, CAST(NULL AS TIMESTAMP) AS last_speed_ts,
+  CAST(NULL AS VARCHAR) AS state_speeds FROM done
+UNION ALL
+SELECT vin, 'STATE', CASE WHEN max_speed > 0 THEN 'DRIVING' ELSE 'PARKING' END,
+  CASE WHEN hanging THEN 'HANG_OFF' ELSE 'ACTIVE' END, make_timestamp(start_t),
+  CASE WHEN hanging THEN make_timestamp(end_t) END, NULL, NULL, make_timestamp(last_t), make_timestamp(last_moved), NULL
+FROM open_piece""",
+)
+def t_plus_1(spark, sf_dir):
+    """A run of the older profile: its trips and its state rows, in one row shape."""
+    step = engine.step(None, fleet.telemetry(spark, sf_dir), profile=P.LEGACY, with_events=False)
+    rows = engine.result_rows(_rounded(step.trips, "avg_speed")).unionByName(engine.state_rows(step.carry))
+    return engine.short_rows(rows)
+
+
+@register(
+    "carry_snapshot_legacy",
+    f"""{_LEGACY_STATE}
+SELECT vin, round(speed_sum, 6) AS speed_sum, CAST(weight AS BIGINT) AS speed_weight, max_speed AS speed_max FROM open_piece""",
+)
+def carry_snapshot_legacy(spark, sf_dir):
+    """Speed totals of the pieces still open after the last row."""
+    carry = engine.step(None, fleet.telemetry(spark, sf_dir), profile=P.LEGACY, with_events=False).carry
+    return carry.select(P.VIN, F.round("speed_sum", 6).alias("speed_sum"), "speed_weight", "speed_max")
+
+
+@register("daily_runs", f"SELECT vin, start_time, end_time, event_name AS what FROM ({EVENTS_SQL}) UNION ALL SELECT vin, start_time, end_time, trip_type FROM ({TRIPS_SQL})")
+def daily_runs(spark, sf_dir):
+    """Two T+1 runs with tables on disk: their trips and events."""
+    root = f"{scratch_dir(spark)}/warehouse"
+    tel = fleet.telemetry(spark, sf_dir)
+    daily.run_day(spark, _before(tel), root, "d1", None)
+    daily.run_day(spark, _after(tel), root, "d2", "d1", now="2030-01-01 00:00:00")
+    shape = (P.VIN, "start_time", "end_time")
+    trips = spark.read.parquet(f"{root}/{daily.TRIPS}").select(*shape, F.col("trip_type").alias("what"))
+    events = spark.read.parquet(f"{root}/{daily.EVENTS}").select(*shape, F.col("event_name").alias("what"))
+    return trips.unionByName(events)
+
+
 @register(
     "state_remove",
-    f"""{oracle.trips(until=CUT_US)},
+    f"""{oracle.trips()},
 {oracle.closing()}
 SELECT DISTINCT vin FROM tel WHERE vin NOT IN (SELECT vin FROM closed WHERE close_rn IS NULL)""",
 )
 def state_remove(spark, sf_dir):
     """Vehicles seen that keep no state, because they have no open trip."""
-    tel = _before(fleet.telemetry(spark, sf_dir))
+    tel = fleet.telemetry(spark, sf_dir)
     carry = engine.step(None, tel, with_events=False).carry
     return tel.select(P.VIN).distinct().join(carry, P.VIN, "left_anti")
 
@@ -535,7 +578,7 @@ FROM ({_snapshot_sql(P.UNIFIED)})""",
 )
 def state_timeout(spark, sf_dir):
     """The moment after which each open trip ends by itself."""
-    carry = engine.step(None, _before(fleet.telemetry(spark, sf_dir)), with_events=False).carry
+    carry = engine.step(None, fleet.telemetry(spark, sf_dir), with_events=False).carry
     since = F.when(F.col("phase") == "HANG_OFF", F.col("hang_start")).otherwise(F.col("last_ts"))
     return carry.select(P.VIN, (since + F.expr("INTERVAL 15 MINUTES")).alias("alarm"))
 
@@ -571,7 +614,7 @@ def carry_restore_events(spark, sf_dir):
 
 @register(
     "union_state_raw",
-    f"""WITH st AS ({_snapshot_sql(P.LEGACY)}),
+    f"""WITH st AS ({_snapshot_sql(P.LEGACY, until=CUT_US)}),
 {oracle.telemetry()}
 SELECT CAST(is_state AS INTEGER) AS is_state, count(*) AS n_rows, count(DISTINCT vin) AS n_vehicles, make_timestamp(min(t)) AS first_ts
 FROM (SELECT 1 AS is_state, vin, epoch_us(last_ts) AS t FROM st UNION ALL SELECT 0, vin, t FROM tel WHERE t >= {CUT_US})
@@ -596,7 +639,7 @@ def union_state_raw(spark, sf_dir):
 def src_state_table(spark, sf_dir):
     """State written by one run and read back by the next."""
     path = f"{scratch_dir(spark)}/carry"
-    tel = _before(fleet.telemetry(spark, sf_dir))
+    tel = fleet.telemetry(spark, sf_dir)
     engine.step(None, tel, with_events=False).carry.write.mode("overwrite").parquet(path)
     return streams.state_table(spark, path).select(*_STATE_COLUMNS).withColumn("speed_sum", F.round("speed_sum", 6))
 
