@@ -5,8 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
+import tripweave
+
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -53,3 +56,8 @@ def use_state_store(spark: SparkSession) -> None:
     """State on local disk with incremental checkpoints, which keyed timers need."""
     for key, value in STATE_STORE.items():
         spark.conf.set(key, value)
+
+
+def ship_helpers() -> None:
+    """Sends the package's functions with the tasks, so that executors need no copy of it."""
+    cloudpickle.register_pickle_by_value(tripweave)

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tripweave import profiles as P
 from tripweave.functions.expressions import EVENT_NAME, trip_id
 from tripweave.operators.segment import lanes
-from tripweave.session import use_state_store
+from tripweave.session import ship_helpers, use_state_store
 from tripweave.streaming.machine import OpenTrip, VehicleFold
 
 # Waiting rows are stored by slice of event time, so that no more than one slice of a vehicle is
@@ -215,6 +215,7 @@ def trip_stream(
     Rows later than ``delay`` behind the newest are dropped by Spark.
     """
     use_state_store(telemetry.sparkSession)
+    ship_helpers()
     rows = telemetry.withWatermark(P.TIMESTAMP, delay)
     found = (
         lanes(rows, keep_time=True)
