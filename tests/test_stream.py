@@ -13,7 +13,7 @@ from tripweave.session import scratch_dir
 from tripweave.sinks.tables import csv_stream, file_writer, split_tables
 from tripweave.sources import streams
 from tripweave.sources.telemetry import normalize
-from tripweave.streaming.job import JobConfig, checkpoint_path, run_trip_job, start
+from tripweave.streaming.job import TRIGGERS, JobConfig, checkpoint_path, run_trip_job, start
 from tripweave.streaming.trips import trip_stream
 
 SHAPE = ("trip_id", "row_type", "trip_type", "unix_micros(start_time)", "unix_micros(end_time)", "max_speed",
@@ -100,6 +100,48 @@ def test_two_tables_late_rows_and_timeouts(spark):
     assert events.join(trips, "trip_id", "left_anti").isEmpty()
 
 
+def test_state_lives_on_between_bounded_runs(spark):
+    """Each run reads the new files only and goes on from the checkpoint."""
+    base = datetime(2026, 10, 1, 8)
+
+    def put(folder, n, *rows):
+        data = [(n, vin, (base + timedelta(minutes=m)).replace(tzinfo=timezone.utc), p, float(v), 1.0, 1.0, 0, 0, 0)
+                for vin, m, p, v in rows]
+        spark.createDataFrame(data, DDL).coalesce(1).write.mode("append").parquet(folder)
+
+    folder, out = f"{scratch_dir(spark)}/in", scratch_dir(spark)
+    config = JobConfig(checkpoint_root=f"{out}/checkpoints", write=file_writer(out))
+
+    def run():
+        raw = streams.table_stream(spark, folder, "parquet", DDL)
+        query = start(normalize(raw, tie="n"), "offline", config)
+        query.awaitTermination()
+        return sum(p["numInputRows"] for p in query.recentProgress)
+
+    put(folder, 0, ("A", 0, 2, 30), ("A", 10, 2, 20), ("PUSH", 40, 2, 1))
+    assert run() == 3
+    put(folder, 1, ("PUSH", 41, 2, 1), ("A", 33, 0, 0), ("PUSH", 300, 0, 0))
+    assert run() == 3
+    trips = spark.read.parquet(f"{out}/ads_trip_summary").filter("vin = 'A'").collect()
+    assert [(t.start_time.minute, t.end_time.minute, t.max_speed) for t in trips] == [(0, 10, 30.0)]
+    pushed = spark.read.parquet(f"{out}/ads_trip_summary").filter("vin = 'PUSH'").collect()
+    assert [(t.start_time.minute, t.end_time.minute) for t in pushed] == [(40, 41)]
+
+
+def test_realtime_trigger_runs_on_a_clock(spark):
+    rows = fleet(seed=9, vehicles=2, rows=10)
+    raw = streams.parquet_stream(spark, files(spark, rows, 1, 1), DDL)
+    out = scratch_dir(spark)
+    config = JobConfig(checkpoint_root=f"{out}/checkpoints", write=file_writer(out))
+    query = start(normalize(raw, tie="n"), "realtime", config)
+    try:
+        query.processAllAvailable()
+        assert query.isActive and "processing" in str(TRIGGERS["realtime"]).lower()
+        assert sum(p["numInputRows"] for p in query.recentProgress) == len(rows)
+    finally:
+        query.stop()
+
+
 def results(spark):
     df = telemetry(spark, fleet(seed=2, vehicles=4, rows=30))
     return engine.result_rows(engine.trips(df), engine.events(df))

@@ -635,6 +635,25 @@ def union_state_raw(spark, sf_dir):
     )
 
 
+@register(
+    "align_state_raw",
+    f"""SELECT vin, 1 AS is_state, last_ts AS timestamp, trip_start, phase = 'HANG_OFF' AS hanging, last_speed_ts, speed_weight
+FROM ({_snapshot_sql(P.LEGACY)})""",
+)
+def align_state_raw(spark, sf_dir):
+    """State rows in the column layout of the rows that they precede."""
+    carry = engine.step(None, fleet.telemetry(spark, sf_dir), profile=P.LEGACY.but(idle_split_seconds=None), with_events=False).carry
+    return with_heads(lanes(fleet.telemetry(spark, sf_dir)), heads(carry)).filter("pos = 0").selectExpr(
+        P.VIN,
+        "1 AS is_state",
+        "timestamp_micros(t) AS timestamp",
+        "timestamp_micros(h_trip) AS trip_start",
+        "h_hanging AS hanging",
+        "timestamp_micros(h_moved) AS last_speed_ts",
+        "h_speed_weight AS speed_weight",
+    )
+
+
 @register("src_state_table", _snapshot_sql(P.UNIFIED))
 def src_state_table(spark, sf_dir):
     """State written by one run and read back by the next."""
@@ -745,6 +764,68 @@ def st_two_sinks(spark, sf_dir):
     return rows.withColumnRenamed("trip_type", "event_name").select(*_EVENT_SHAPE)
 
 
+@register(
+    "st_timeout",
+    f"""{oracle.trips(until=f"{oracle.WATERMARK} + 1")},
+{oracle.closing()}
+SELECT vin, make_timestamp(d.end_t) AS end_time FROM closed d JOIN trip x USING (vin, trip)
+WHERE d.close_rn IS NULL AND {oracle.WATERMARK} > d.end_t + {900 * US} AND x.last_moved < d.end_t""",
+)
+def st_timeout(spark, sf_dir):
+    """Vehicles whose trip a timer ended, seen by the rest after driving that ends at 0/0."""
+    rows = spark.read.parquet(f"{_job(spark, sf_dir)}/ads_trip_event_detail")
+    ended = rows.filter((F.col("trip_type") == P.AFTER_EVENT) & (F.col("end_lon") == 0) & (F.col("end_lat") == 0))
+    return ended.select(P.VIN, "end_time")
+
+
+@register(
+    "st_watermark",
+    f"""WITH {oracle.telemetry()}, g AS (
+  SELECT vin, t, tie, CASE WHEN t - lag(t) OVER w > {900 * US} THEN 1 ELSE 0 END AS cut
+  FROM tel WINDOW w AS (PARTITION BY vin ORDER BY t, tie)),
+i AS (SELECT *, sum(cut) OVER (PARTITION BY vin ORDER BY t, tie ROWS UNBOUNDED PRECEDING) AS isl FROM g)
+SELECT vin, make_timestamp(min(t)) AS first_ts, make_timestamp(max(t)) AS last_ts, count(*) AS n_rows FROM i GROUP BY vin, isl
+HAVING max(t) + {900 * US} <= {oracle.WATERMARK}""",
+)
+def st_watermark(spark, sf_dir):
+    """Stretches without a long gap that the watermark has made final, from the stream."""
+    folder = scratch_dir(spark)
+    late = _event_stream(spark, sf_dir).withWatermark(P.TIMESTAMP, "10 minutes")
+    query = (
+        report.gap_sessions(late)
+        .writeStream.format("parquet")
+        .option("path", f"{folder}/rows")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.parquet(f"{folder}/rows")
+
+
+@register(
+    "src_table_stream",
+    f"""WITH {oracle.telemetry()} SELECT vin, count(*) AS n_rows, sum(CASE WHEN speed > 0 THEN 1 ELSE 0 END) AS n_moving FROM tel GROUP BY vin""",
+)
+def src_table_stream(spark, sf_dir):
+    """A table written once, read as a bounded stream, its rows per vehicle."""
+    folder = scratch_dir(spark)
+    tel = fleet.telemetry(spark, sf_dir)
+    tel.write.parquet(f"{folder}/table")
+    rows = streams.table_stream(spark, f"{folder}/table", "parquet", tel.schema)
+    query = (
+        rows.select(P.VIN, P.SPEED)
+        .writeStream.format("parquet")
+        .option("path", f"{folder}/rows")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    read = spark.read.parquet(f"{folder}/rows")
+    return read.groupBy(P.VIN).agg(F.count("*").alias("n_rows"), F.expr(f"count_if({P.SPEED} > 0)").alias("n_moving"))
+
+
 @register(
     "src_parquet_stream",
     f"""WITH {oracle.telemetry()} SELECT vin, tie AS event_id, make_timestamp(t) AS timestamp, speed AS {P.SPEED} FROM tel""",
