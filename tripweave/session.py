@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rows of one vehicle that a window keeps as they are before it moves them to spillable pages.
+    "spark.sql.windowExec.buffer.in.memory.threshold": "32768",
     **STATE_STORE,
 }
 
