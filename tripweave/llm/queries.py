@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import packing, token_store
+from tripweave.llm import exact_dedup, mixing, packing, token_store
 from tripweave.llm.common import read_table
 from tripweave.session import scratch_dir
 
@@ -32,13 +32,23 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(F.col("key").cast("long").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op2_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     _, places = packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"), capacity=2048, end_id=0)
     return places.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.mark_copies(read_table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op1_token_store": (op1_token_store, None),
+    "op2_poisson_mix": (op2_poisson_mix, mixing.MIX_SQL.format(docs="documents")),
     "op4_best_fit_packing": (op4_best_fit_packing, None),
+    "op5_exact_dedup": (op5_exact_dedup, exact_dedup.DEDUP_SQL),
 }
