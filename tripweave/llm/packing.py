@@ -79,43 +79,34 @@ def sum_of_squares(lengths: np.ndarray, capacity: int, order: np.ndarray) -> tup
     return bins, offsets
 
 
-def tokenised(docs: DataFrame, tokenizer: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", dtype: str = "<u2") -> DataFrame:
-    """(doc_id, ids) of every whole text; ids as little-endian bytes of `dtype`, the end id last. Null text: empty."""
-    tail = np.array([end_id], dtype).tobytes()
+def cut_into_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", dtype: str = "<u2") -> DataFrame:
+    """Tokenises whole texts (null: empty), adds the end id and cuts what is longer than `capacity`.
 
-    def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = [x + tail for x in encoder(tokenizer, True, dtype).encode_all(batch.column("text").to_pylist())]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), blank(F.col(text_col)).alias("text"))
-    return rows.mapInArrow(text_batches(encode), "doc_id long, ids binary")
-
-
-def cut(tokens: DataFrame, capacity: int, dtype: str = "<u2") -> DataFrame:
-    """Pieces of at most `capacity` ids, all full but perhaps a document's first; `uid` tells them apart.
-
-    (uid, doc_id, piece, start, length, ids, ids_crc32): the checksum is of unsigned little-endian 32-bit ids.
+    (uid, doc_id, piece, start, length, ids, ids_crc32): all pieces are full but perhaps a document's first; ids are
+    little-endian bytes of `dtype`, the checksum is of unsigned 32-bit ids; `uid` tells pieces apart.
     """
-    width = np.dtype(dtype).itemsize
-
-    def pieces(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out: list[list] = [[] for _ in range(6)]
-        for doc_id, raw in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()):
-            n = len(raw) // width
-            at, number = 0, 0
-            while at < n:
-                end = at + ((n - at - 1) % capacity + 1 if not number else capacity)
-                ids = raw[at * width : end * width]
-                crc = zlib.crc32(np.frombuffer(ids, dtype).astype("<u4").tobytes())
-                for column, value in zip(out, (doc_id, number, at, end - at, ids, crc)):
-                    column.append(value)
-                at, number = end, number + 1
-        types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64())
-        names = ("doc_id", "piece", "start", "length", "ids", "ids_crc32")
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=list(names))
+    names = ("doc_id", "piece", "start", "length", "ids", "ids_crc32")
+    types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64())
+    tail = np.array([end_id], dtype)
+
+    def pieces(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
+        found, keys, at = [], batch.column("doc_id").to_pylist(), 0
+        for flat, borders in encoder(tokenizer, True, dtype).encode_all(batch.column("text")):
+            out: list[list] = [[] for _ in names]
+            for low, high in zip(borders[:-1].tolist(), borders[1:].tolist()):
+                ids = np.append(flat[low:high], tail)
+                cuts = [0, *range((len(ids) - 1) % capacity + 1, len(ids) + 1, capacity)]
+                for number, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                    piece = ids[a:b]
+                    for column, value in zip(out, (keys[at], number, a, b - a, piece.tobytes(), zlib.crc32(piece.astype("<u4").tobytes()))):
+                        column.append(value)
+                at += 1
+            found.append(pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=list(names)))
+        return found
 
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), blank(F.col(text_col)).alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids binary, ids_crc32 long"
-    return tokens.mapInArrow(text_batches(pieces), schema).withColumn("uid", F.monotonically_increasing_id())
+    return rows.mapInArrow(text_batches(pieces), schema).withColumn("uid", F.monotonically_increasing_id())
 
 
 def place(pieces: DataFrame, capacity: int, group_pieces: int = GROUP_PIECES) -> DataFrame:
@@ -148,7 +139,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id
     offset). A null or empty text is one piece, its end id. Each of several rows with one id is packed. Null ids stay
     null. Other columns of `docs` are not looked at. A table without rows gives no pieces.
     """
-    pieces = staged(cut(tokenised(docs, tokenizer, end_id, id_col, text_col), capacity))
+    pieces = staged(cut_into_pieces(docs, tokenizer, capacity, end_id, id_col, text_col))
     return pieces, place(pieces.drop("ids"), capacity, group_pieces)
 
 

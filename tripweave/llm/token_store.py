@@ -107,7 +107,10 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int | None =
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, words = _ShardWriter(f"{path}/shards", dtype, shard_ids), encoder(tokenizer, spaced, dtype)
         for batch in batches:
-            rows = [writer.add(x + tail) for x in words.encode_all(batch.column("text").to_pylist())]
+            rows = []
+            for ids, borders in words.encode_all(batch.column("text")):
+                for low, high in zip(borders[:-1].tolist(), borders[1:].tolist()):
+                    rows.append(writer.add(ids[low:high].tobytes() + tail))
             names, places, counts = zip(*rows) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), pa.array(names, pa.string()), pa.array(places, pa.int64()), pa.array(counts, pa.int64())],
