@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import exact_dedup, mixing, packing, token_store
+from tripweave.llm import exact_dedup, language, mixing, packing, token_store
 from tripweave.llm.common import read_table
 from tripweave.session import scratch_dir
 
@@ -46,9 +46,16 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(read_table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    models = language.fit(docs, ~language.held_out("doc_id", 4, 2))
+    return language.identify(docs, models).withColumn("held_out", language.held_out("doc_id", 4, 2))
+
+
 REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op1_token_store": (op1_token_store, None),
     "op2_poisson_mix": (op2_poisson_mix, mixing.MIX_SQL.format(docs="documents")),
     "op4_best_fit_packing": (op4_best_fit_packing, None),
     "op5_exact_dedup": (op5_exact_dedup, exact_dedup.DEDUP_SQL),
+    "op7_language_id": (op7_language_id, None),
 }
