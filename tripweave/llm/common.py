@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -16,7 +17,26 @@ from tripweave.session import scratch_dir
 SPACES = " \t-\r"
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once for each application, so that they need no copy of it."""
+    context = spark.sparkContext
+    if getattr(context, "_tripweave_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    # The driver serves the file as long as the application lives.
+    archive = os.path.join(context._temp_dir, "tripweave_package.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for base, _, names in os.walk(os.path.join(top, "tripweave")):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(base, name)
+                    out.write(path, os.path.relpath(path, top))
+    context.addPyFile(archive)
+    context._tripweave_shipped = True
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

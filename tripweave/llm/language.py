@@ -223,7 +223,7 @@ def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
     sizes = labelled.groupBy("lang").agg(F.sum(F.char_length("text")).alias("chars"))
     n_langs = max(1, sizes.count())
     bound = min(sample_chars, SAMPLE_CHARS_ALL // n_langs)
-    share = F.lit(float(bound)) / F.greatest("chars", F.lit(1))
+    share = F.least(F.lit(1.0), F.lit(float(bound)) / F.greatest("chars", F.lit(1)))
     draw = unit_hash(F.lit("language"), F.coalesce(F.col("id").cast("string"), F.lit("null")))
     sample = labelled.join(F.broadcast(sizes), "lang").withColumn("draw", draw / share).filter("draw < 1")
     counting, calibrating = sample.filter(F.col("draw") >= CALIBRATION), sample.filter(F.col("draw") < CALIBRATION)
@@ -271,8 +271,8 @@ def _calibrated(calibrating: DataFrame, models: LanguageModels) -> np.ndarray:
         r = by.get(lang)
         mean = r.hn / r.n if r else 3.0
         between = max(r.hhn / r.n - mean * mean, 0.0) if r and r.docs > 1 else 0.0
-        # Between texts, not less than a hundredth of a nat squared; within a text, about one nat squared a symbol.
-        out[i] = mean, max(between, 0.01), 1.0
+        # Between texts, a deviation of 0.2 nats at least; within a text, about one nat squared a symbol.
+        out[i] = mean, max(between, 0.04), 1.0
     return out
 
 

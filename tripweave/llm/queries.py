@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import exact_dedup, language, mixing, packing, token_store
+from tripweave.llm import exact_dedup, language, mixing, packing, token_store, toxicity
 from tripweave.llm.common import read_table
 from tripweave.session import scratch_dir
 
@@ -52,10 +52,17 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, models).withColumn("held_out", language.held_out("doc_id", 4, 2))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels, ~language.held_out("doc_id", 5, 0))
+    return toxicity.score(docs, model).withColumn("held_out", language.held_out("doc_id", 5, 0))
+
+
 REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op1_token_store": (op1_token_store, None),
     "op2_poisson_mix": (op2_poisson_mix, mixing.MIX_SQL.format(docs="documents")),
     "op4_best_fit_packing": (op4_best_fit_packing, None),
     "op5_exact_dedup": (op5_exact_dedup, exact_dedup.DEDUP_SQL),
     "op7_language_id": (op7_language_id, None),
+    "op8_toxicity": (op8_toxicity, None),
 }
