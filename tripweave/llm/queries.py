@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import exact_dedup, language, mixing, packing, token_store, toxicity
+from tripweave.llm import exact_dedup, fertility, language, mixing, packing, token_store, toxicity
 from tripweave.llm.common import read_table
 from tripweave.session import scratch_dir
 
@@ -36,6 +36,11 @@ def op2_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op3_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = fertility.Vocabularies(vocabulary("piece_bpe_32k.model"), vocabulary("byte_bpe_50k.json"))
+    return fertility.judge(read_table(spark, sf_dir, "documents"), files)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     _, places = packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"), capacity=2048, end_id=0)
@@ -61,6 +66,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op1_token_store": (op1_token_store, None),
     "op2_poisson_mix": (op2_poisson_mix, mixing.MIX_SQL.format(docs="documents")),
+    "op3_fertility": (op3_fertility, None),
     "op4_best_fit_packing": (op4_best_fit_packing, None),
     "op5_exact_dedup": (op5_exact_dedup, exact_dedup.DEDUP_SQL),
     "op7_language_id": (op7_language_id, None),

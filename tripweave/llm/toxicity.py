@@ -26,7 +26,7 @@ SAMPLE_DOCS, SAMPLE_CHARS = 10_000, 16_000_000
 BITS = 22
 #: Distances between the two words of a feature: neighbours, and pairs that skip one or two words.
 SKIPS = (1, 2, 3)
-ALPHA, BETA, L1, L2, EPOCHS = 0.1, 1.0, 1.0, 0.1, 3
+ALPHA, BETA, L1, L2, EPOCHS = 2.0, 1.0, 12.0, 0.1, 6
 WORD = re.compile(r"[^\W_]+")
 MASK = np.uint64((1 << BITS) - 1)
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
