@@ -136,7 +136,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_id
     share = {k: min(1.0, SAMPLE_DOCS / r.n, SAMPLE_CHARS / max(1, r.chars)) for k, r in totals.items()}
     draw = unit_hash(F.lit("toxicity"), F.col("id").cast("string"))
     chosen = wanted.filter(draw < F.when(F.col("label") == 1, share.get(1, 0.0)).otherwise(share.get(0, 0.0)))
-    sample = rows.join(chosen, "id").select("id", "text", "label")
+    # At most SAMPLE_DOCS ids and labels of each class, but for the draw's spread: some 20 bytes each.
+    sample = rows.join(F.broadcast(chosen), "id").select("id", "text", "label")
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
         features = [f.astype("<u4").tobytes() for f in distinct_features(batch.column("text").to_pylist())]
