@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import exact_dedup, fertility, language, licenses, mixing, packing, token_store, toxicity
+from tripweave.llm import exact_dedup, fertility, language, licenses, mixing, near_duplicates, packing, token_store, toxicity
 from tripweave.llm.common import read_table
 from tripweave.session import scratch_dir
 
@@ -63,6 +63,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).withColumn("held_out", language.held_out("doc_id", 5, 0))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.components(read_table(spark, sf_dir, "documents"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents"))
 
@@ -75,5 +79,6 @@ REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op5_exact_dedup": (op5_exact_dedup, exact_dedup.DEDUP_SQL),
     "op7_language_id": (op7_language_id, None),
     "op8_toxicity": (op8_toxicity, None),
+    "op9_jaccard_join": (op9_jaccard_join, None),
     "op10_license_scan": (op10_license_scan, licenses.scan_sql()),
 }
