@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import exact_dedup, fertility, language, licenses, mixing, near_duplicates, packing, token_store, toxicity
+from tripweave.llm import disclosure, exact_dedup, fertility, language, licenses, mixing, near_duplicates, packing, token_store, toxicity
 from tripweave.llm.common import read_table
 from tripweave.session import scratch_dir
 
@@ -51,6 +51,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(read_table(spark, sf_dir, "documents"))
 
 
+def op6_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return disclosure.find(read_table(spark, sf_dir, "documents")).drop("base_spans")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     models = language.fit(docs, ~language.held_out("doc_id", 4, 2))
@@ -77,6 +81,7 @@ REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op3_fertility": (op3_fertility, None),
     "op4_best_fit_packing": (op4_best_fit_packing, None),
     "op5_exact_dedup": (op5_exact_dedup, exact_dedup.DEDUP_SQL),
+    "op6_disclosure": (op6_disclosure, None),
     "op7_language_id": (op7_language_id, None),
     "op8_toxicity": (op8_toxicity, None),
     "op9_jaccard_join": (op9_jaccard_join, None),
