@@ -47,7 +47,17 @@ def staged(df: DataFrame, *partition_by: str) -> DataFrame:
     """
     path = scratch_dir(df.sparkSession)
     df.write.partitionBy(*partition_by).option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._tripweave_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that `staged` has written, once nothing reads them any more."""
+    for table in tables:
+        session = table.sparkSession
+        path = session._jvm.org.apache.hadoop.fs.Path(table._tripweave_path)
+        path.getFileSystem(session.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_batches(fn: Callable[[pa.RecordBatch], pa.RecordBatch | list]) -> Callable:

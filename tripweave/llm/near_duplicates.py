@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import staged, text_batches
+from tripweave.llm.common import discard, staged, text_batches
 from tripweave.llm.words import Grown, WordTable, groups_of
 
 WORDS, PERCENT = 5, 80
@@ -394,15 +394,45 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     shared = staged(postings.join(postings.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1"), "token"))
     meetings = staged(_meetings(shared))
     edges = staged(_met_in_groups(classes, meetings, counters))
+    discard(alive, postings)
     more = staged(_verified(classes, _not_met(shared, meetings, connected(edges)), counters))
+    discard(shared, meetings)
     parts = connected(edges.union(more))
     named = classes.join(parts.withColumnRenamed("node", "rid"), "rid").select("sig", "part")
     key = F.coalesce(F.col("part").cast("string"), F.hex("sig"))
     rows = staged(described.drop("first").join(named, "sig", "left").select("doc_id", F.col("n").alias("n_shingles"), key.alias("key")))
+    discard(described, classes, edges, more)
     smallest = rows.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("low"), F.count("*").alias("m")).filter("m > 1")
     return rows.join(smallest, "key", "left").select("doc_id", "n_shingles", F.when(F.col("m").isNull(), F.col("doc_id")).otherwise(F.col("low")).alias("component_id"))
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, columns as they are, without those that a row with a smaller id stands for.
+
+    Of each component the row with the smallest id stays. Where ids repeat or are null, rows are numbered and the smallest
+    number stays.
+    """
+    columns = docs.columns
+    if not docs.groupBy(id_col).count().filter((F.col("count") > 1) | F.col(id_col).isNull()).isEmpty():
+        docs, id_col = staged(docs.withColumn("__row_number", F.monotonically_increasing_id())), "__row_number"
+    found = components(docs, id_col, text_col).filter("doc_id != component_id").select("doc_id")
+    dropped = staged(found.withColumn("half", F.xxhash64("doc_id")))
+    named = docs.sparkSession.sparkContext.broadcast(_named_by(dropped, "half"))
+    # Most rows stay, and the filter tells so without an exchange of texts; those that it names are looked up.
+    rows = docs.select(F.xxhash64(F.col(id_col).cast("long")).alias("__half"), *(F.col(f"`{c}`") for c in docs.columns))
+
+    def part(wanted: bool):
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            passes = _passes(named.value, batch.column(0).to_numpy().view(np.uint64))
+            return batch.filter(pa.array(passes == wanted)).select(batch.schema.names[1:])
+
+        return rows.mapInArrow(text_batches(run), docs.schema)
+
+    looked_up = part(True)
+    looked_up = looked_up.join(dropped.select(F.col("doc_id").alias("__dropped")), F.col(id_col) == F.col("__dropped"), "left_anti")
+    return part(False).union(looked_up).select(*(F.col(f"`{c}`") for c in columns))
+
+
 def _half(sig: Column) -> Column:
     """The first 8 bytes of a signature as a number, in the byte order of numpy."""
     parts = [F.conv(F.hex(F.substring(sig, 8 - i, 1)), 16, 10).cast("long") for i in range(8)]
