@@ -74,10 +74,11 @@ def _places(words: list[str], symbols: np.ndarray, owner: np.ndarray) -> np.ndar
 
 @dataclass
 class KneserNey:
-    """Sorted hashes by order, with the log probability of each n-gram and its back-off weight as a context."""
+    """Sorted hashes by order: n-grams with log probabilities, contexts (from order 2 on) with back-off weights."""
 
     hashes: list[np.ndarray]
     logp: list[np.ndarray]
+    contexts: list[np.ndarray]
     backoff: list[np.ndarray]
     unseen: float
 
@@ -107,11 +108,8 @@ class KneserNey:
             lower = (key[at], p[at])
             tables.append((key[at], p[at], context, left))
         unseen = float(np.log(tables[0][3][0] / SYMBOLS))
-        backoff = []
-        for order in range(1, ORDER):
-            key, (context, left) = tables[order - 1][0], tables[order][2:]
-            backoff.append(np.log(_find(context, left, key, 1.0)).astype(np.float32))
-        return cls([t[0] for t in tables], [np.log(t[1]).astype(np.float32) for t in tables], backoff, unseen)
+        contexts, backoff = [t[2] for t in tables[1:]], [np.log(t[3]).astype(np.float32) for t in tables[1:]]
+        return cls([t[0] for t in tables], [np.log(t[1]).astype(np.float32) for t in tables], contexts, backoff, unseen)
 
     def score(self, hashes: list[np.ndarray], before: list[np.ndarray]) -> np.ndarray:
         """Log probability of symbols; hashes[k] and before[k] are of the k + 1 symbols that end at it and just before it."""
@@ -119,7 +117,7 @@ class KneserNey:
         for order in range(1, ORDER + 1):
             at, hit = _at(self.hashes[order - 1], hashes[order - 1])
             if order > 1:
-                near, known = _at(self.hashes[order - 2], before[order - 2])
+                near, known = _at(self.contexts[order - 2], before[order - 2])
                 out += np.where(known, self.backoff[order - 2][near], 0.0)
             out[hit] = self.logp[order - 1][at[hit]]
         return out

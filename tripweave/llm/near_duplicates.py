@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.llm.common import discard, staged, text_batches
-from tripweave.llm.words import Grown, WordTable, groups_of
+from tripweave.llm.words import groups_of
 
 WORDS, PERCENT = 5, 80
 #: Step 1 lengthens prefixes by this share of the set, and asks for as many more matches.
@@ -49,31 +49,51 @@ def needed(n: np.ndarray) -> np.ndarray:
     return -(-n * PERCENT // 100)
 
 
-class _Hashes(WordTable):
-    def __init__(self) -> None:
-        super().__init__(most=1_000_000)
-
-    def clear(self) -> None:
-        super().clear()
-        self.hashes = Grown(1, "u8")
-
-    def learn(self, words: list[bytes]) -> None:
-        self.hashes.add(np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)[:, None])
-
-    def sets(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Sorted distinct shingle hashes of each text."""
-        numbers, borders = self.numbers([(t or "").encode().lower().split() for t in texts])
-        words, size = self.hashes.rows[numbers, 0], np.diff(borders)
-        out = [np.zeros(0, np.uint64)] * len(texts)
-        with np.errstate(over="ignore"):
-            for i in np.flatnonzero((size > 0) & (size < WORDS)).tolist():
-                some = words[borders[i] : borders[i + 1]]
-                out[i] = _mixed((some * np.array(ODD[: len(some)])).sum(keepdims=True) + np.uint64(len(some)) * ODD[4])
-            last = max(len(words) - WORDS + 1, 0)
-            rolled = _mixed(reduce(np.add, (words[k : last + k] * ODD[k] for k in range(WORDS))))
-        for i in np.flatnonzero(size >= WORDS).tolist():
-            out[i] = np.unique(rolled[borders[i] : borders[i + 1] - WORDS + 1])
-        return out
+#: By byte: its value with A-Z as a-z and none zero, and whether it is white space.
+BYTE_VALUES = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint64) + np.uint64(1)
+BYTE_SPACES = np.isin(np.arange(256), [32, *range(9, 14)])
+
+
+def _powers(n: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.cumprod(np.full(n, ODD[0]))
+
+
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of some texts in a row, and where each text begins (one more border at the end).
+
+    A hash is a polynomial in the word's bytes, worked out for all words at once.
+    """
+    raw = [(t or "").encode() for t in texts]
+    data = np.frombuffer(b" ".join(raw), np.uint8)
+    seen = ~BYTE_SPACES[data]
+    begins = np.flatnonzero(seen & ~np.concatenate([[False], seen[:-1]]))
+    text_starts = np.cumsum([0] + [len(r) + 1 for r in raw])
+    borders = np.searchsorted(begins, text_starts)
+    if not len(begins):
+        return np.zeros(0, np.uint64), borders
+    at = np.flatnonzero(seen)
+    word = np.cumsum(np.diff(at, prepend=-2) > 1) - 1
+    place = at - begins[word]
+    with np.errstate(over="ignore"):
+        terms = BYTE_VALUES[data[at]] * _powers(int(place.max()) + 1)[place]
+    return _mixed(np.add.reduceat(terms, np.flatnonzero(place == 0))), borders
+
+
+def _sets(texts: list[str | None]) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text."""
+    words, borders = word_hashes(texts)
+    size = np.diff(borders)
+    out = [np.zeros(0, np.uint64)] * len(texts)
+    with np.errstate(over="ignore"):
+        for i in np.flatnonzero((size > 0) & (size < WORDS)).tolist():
+            some = words[borders[i] : borders[i + 1]]
+            out[i] = _mixed((some * np.array(ODD[: len(some)])).sum(keepdims=True) + np.uint64(len(some)) * ODD[4])
+        last = max(len(words) - WORDS + 1, 0)
+        rolled = _mixed(reduce(np.add, (words[k : last + k] * ODD[k] for k in range(WORDS))))
+    for i in np.flatnonzero(size >= WORDS).tolist():
+        out[i] = np.unique(rolled[borders[i] : borders[i + 1] - WORDS + 1])
+    return out
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -83,13 +103,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-_HASHES: list[_Hashes] = []
-
-
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
-    if not _HASHES:
-        _HASHES.append(_Hashes())
-    return [s for part in groups_of(texts) for s in _HASHES[0].sets(texts[part])]
+    return [s for part in groups_of(texts) for s in _sets(texts[part])]
 
 
 def _signature(tokens: np.ndarray) -> bytes | None:
