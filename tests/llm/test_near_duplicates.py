@@ -92,9 +92,8 @@ def test_long_text(spark, docs_of):
     assert [r.component_id for r in N.components(docs_of(rows)).orderBy("doc_id").collect()] == [1, 1, 3]
 
 
-def test_prefixes_are_lengthened_by_cost(monkeypatch):
+def test_prefixes_are_lengthened_by_cost():
     tokens = np.sort(np.random.default_rng(1).integers(0, 2**63, 100).astype(np.uint64))
-    counters = np.ones(1 << N.COUNTERS_LOG2, np.int64)
     for each, more in ((1, 0), (1 + N.COSTLY // 20, 5), (1 + N.COSTLY, 10)):
-        _, short, long, asked = N._prefixes(tokens, np.array([100]), counters * each)
+        _, short, long, asked = N._prefixes(tokens, np.array([100]), N.Counters(np.full(1 << 20, each), N.COSTLY))
         assert (short[0], long[0], asked[0]) == (21, 21 + more, 1 + more)

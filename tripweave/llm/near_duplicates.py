@@ -19,6 +19,7 @@ Texts with fewer words than a shingle count as one shingle; without words they h
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -222,35 +223,45 @@ def _whole_sets(docs: DataFrame, text_col: str, alive: DataFrame) -> DataFrame:
     return staged(classes.withColumn("rid", F.monotonically_increasing_id()))
 
 
-def _counters(classes: DataFrame) -> np.ndarray:
-    """Classes by shingle, counted in 2 ** COUNTERS_LOG2 places by hash: never too few for a shingle."""
-    shift = np.uint64(64 - COUNTERS_LOG2)
+@dataclass
+class Counters:
+    """Classes by shingle, counted in a power of two of places by hash: never too few for a shingle."""
+
+    counts: np.ndarray
+    costly: int
+
+    def estimated(self, tokens: np.ndarray) -> np.ndarray:
+        return self.counts[(tokens >> np.uint64(65 - len(self.counts).bit_length())).astype(np.int64)]
+
+
+def _counters(classes: DataFrame, log2: int, costly: int) -> Counters:
+    shift, places = np.uint64(64 - log2), 1 << log2
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         tokens, _ = _joined(batch.column("tokens").to_pylist())
-        counts = np.bincount((tokens >> shift).astype(np.int64), minlength=1 << COUNTERS_LOG2)
+        counts = np.bincount((tokens >> shift).astype(np.int64), minlength=places)
         at = np.flatnonzero(counts)
         return pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["at", "n"])
 
     found = classes.select("tokens").mapInArrow(text_batches(run), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(1 << COUNTERS_LOG2, np.int64)
+    out = np.zeros(places, np.int64)
     out[found.column("at").to_numpy()] = found.column("n").to_numpy()
-    return out
+    return Counters(out, costly)
 
 
-def _prefixes(tokens: np.ndarray, sizes: np.ndarray, counters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _prefixes(tokens: np.ndarray, sizes: np.ndarray, counters: Counters) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of some sets in a row: all shingles rarest first, lengths of short and of lengthened prefixes, and the matches asked.
 
-    A prefix whose shingles others are estimated to hold COSTLY times is lengthened by a twentieth of the set, one with ten
+    A prefix whose shingles others are estimated to hold `costly` times is lengthened by a twentieth of the set, one with ten
     times as many by a tenth.
     """
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    estimated = counters[(tokens >> np.uint64(64 - COUNTERS_LOG2)).astype(np.int64)]
+    estimated = counters.estimated(tokens)
     order = np.lexsort((tokens, estimated, owner))
     short = sizes - needed(sizes) + 1
     rank = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     cost = np.bincount(owner, weights=np.where(rank < np.repeat(short, sizes), estimated[order] - 1, 0), minlength=len(sizes))
-    more = (sizes * np.where(cost > 10 * COSTLY, 0.1, np.where(cost > COSTLY, 0.05, 0.0))).astype(np.int64)
+    more = (sizes * np.where(cost > 10 * counters.costly, 0.1, np.where(cost > counters.costly, 0.05, 0.0))).astype(np.int64)
     return tokens[order], short, short + more, 1 + more
 
 
@@ -274,7 +285,7 @@ def _postings(classes: DataFrame, counters) -> DataFrame:
 class _Group:
     """Sets that are compared with each other."""
 
-    def __init__(self, blobs: list[bytes], counters: np.ndarray) -> None:
+    def __init__(self, blobs: list[bytes], counters: Counters) -> None:
         tokens, self.n = _joined(blobs)
         ordered, _, long, self.more = _prefixes(tokens, self.n, counters)
         distinct, self.flat = np.unique(ordered, return_inverse=True)
@@ -404,7 +415,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     halves = described.filter("sig is not null").select(_half(F.col("sig")).alias("half"), "n").distinct()
     alive = staged(halves.join(_met_elsewhere(described), "half").filter(F.col("met") > F.floor(F.col("n") * LENGTHENED)).select(half).distinct())
     classes = _whole_sets(docs, text_col, alive)
-    counters = spark.sparkContext.broadcast(_counters(classes))
+    counters = spark.sparkContext.broadcast(_counters(classes, COUNTERS_LOG2, COSTLY))
     postings = staged(_postings(classes, counters))
     shared = staged(postings.join(postings.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1"), "token"))
     meetings = staged(_meetings(shared))
