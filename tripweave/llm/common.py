@@ -68,6 +68,8 @@ def text_batches(fn: Callable[[pa.RecordBatch], pa.RecordBatch | list]) -> Calla
             if batch.num_rows:
                 out = fn(batch)
                 yield from out if isinstance(out, list) else [out]
+                del out
+                pa.default_memory_pool().release_unused()  # a worker lives on between stages
 
     return run
 

@@ -19,9 +19,9 @@ import pyarrow.compute as pc
 from tripweave.llm.common import single_threaded
 
 #: Texts are encoded in groups of so many bytes.
-GROUP_BYTES = 24 << 20
+GROUP_BYTES = 10 << 20
 #: Pieces that a worker remembers with their ids (some 40 bytes each); later ones are encoded in each group anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 700_000
 CUT = "\x1f"
 #: What any Unicode version or Python counts as white space.
 SPACE_SET = r"\t-\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}"
