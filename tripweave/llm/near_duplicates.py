@@ -269,7 +269,7 @@ def _prefixes(tokens: np.ndarray, sizes: np.ndarray, counters: Counters) -> tupl
 
 
 def _postings(classes: DataFrame, counters) -> DataFrame:
-    """(token, rid, n) of short prefixes."""
+    """(token, rid, n, rank) of short prefixes; ranks count from 0 in the order of the prefix."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         tokens, sizes = _joined(batch.column("tokens").to_pylist())
@@ -277,9 +277,9 @@ def _postings(classes: DataFrame, counters) -> DataFrame:
         rank = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         inside = rank < np.repeat(short, sizes)
         rid = np.repeat(batch.column("rid").to_numpy(), sizes)[inside]
-        return pa.RecordBatch.from_arrays([pa.array(tokens[inside].view(np.int64)), pa.array(rid), pa.array(np.repeat(sizes, sizes)[inside])], names=["token", "rid", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(tokens[inside].view(np.int64)), pa.array(rid), pa.array(np.repeat(sizes, sizes)[inside]), pa.array(rank[inside])], names=["token", "rid", "n", "rank"])
 
-    return classes.select("rid", "tokens").mapInArrow(text_batches(run), "token long, rid long, n long")
+    return classes.select("rid", "tokens").mapInArrow(text_batches(run), "token long, rid long, n long, rank long")
 
 
 class _Group:
@@ -355,11 +355,13 @@ def _not_met(shared: DataFrame, meetings: DataFrame, parts: DataFrame) -> DataFr
     """(a, b): classes of different parts that share a prefix shingle, may link by size and have been in no common group."""
     groups = meetings.groupBy("rid").agg(F.collect_list(F.xxhash64("token", "chunk")).alias("groups"))  # up to ROUNDS
     rows = shared.join(parts.withColumnRenamed("node", "rid"), "rid", "left").join(groups, "rid", "left")
-    rows = staged(rows.select("token", "rid", "n", F.coalesce("part", "rid").alias("part"), F.coalesce("groups", F.array().cast("array<bigint>")).alias("groups")))
+    rows = staged(rows.select("token", "rid", "n", "rank", F.coalesce("part", "rid").alias("part"), F.coalesce("groups", F.array().cast("array<bigint>")).alias("groups")))
     # Of a shingle's largest part, only pairs with other parts matter; a shingle of a single part needs nothing.
     by_part = rows.groupBy("token", "part").agg(F.count("*").alias("m"))
     largest = by_part.groupBy("token").agg(F.max_by("part", F.struct("m", "part")).alias("largest"), F.count("*").alias("parts")).filter("parts > 1").select("token", "largest")
     open_rows = staged(rows.join(largest, "token"))
+    # Nothing before its first common shingle is shared, so the shorter rest bounds the overlap that a link needs.
+    most = F.least(F.col("x.n") - F.col("x.rank"), F.col("y.n") - F.col("y.rank"))
     x, y = open_rows.filter("part != largest").alias("x"), open_rows.alias("y")
     may = (
         (F.col("x.token") == F.col("y.token"))
@@ -367,6 +369,7 @@ def _not_met(shared: DataFrame, meetings: DataFrame, parts: DataFrame) -> DataFr
         & ((F.col("y.part") == F.col("y.largest")) | (F.col("x.rid") < F.col("y.rid")))
         & (100 * F.col("x.n") >= PERCENT * F.col("y.n"))
         & (100 * F.col("y.n") >= PERCENT * F.col("x.n"))
+        & ((100 + PERCENT) * most >= PERCENT * (F.col("x.n") + F.col("y.n")))
         & ~F.arrays_overlap("x.groups", "y.groups")
     )
     return x.join(y, may).select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b")).distinct()
