@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
+import sys
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -60,6 +63,14 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(session.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: a Python worker lives on between stages."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_batches(fn: Callable[[pa.RecordBatch], pa.RecordBatch | list]) -> Callable:
     """A function for mapInArrow that applies `fn` to each batch and drops empty results."""
 
@@ -69,7 +80,7 @@ def text_batches(fn: Callable[[pa.RecordBatch], pa.RecordBatch | list]) -> Calla
                 out = fn(batch)
                 yield from out if isinstance(out, list) else [out]
                 del out
-                pa.default_memory_pool().release_unused()  # a worker lives on between stages
+                give_back()
 
     return run
 

@@ -146,7 +146,7 @@ class _Scores(WordTable):
 
     def __init__(self, models: list[KneserNey]) -> None:
         self.models = models
-        super().__init__(most=max(50_000, 1_200_000 // max(1, len(models))))
+        super().__init__(most=max(50_000, 800_000 // max(1, len(models))))
 
     def clear(self) -> None:
         super().clear()
