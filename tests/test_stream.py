@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tripweave import engine, schemas
 from tripweave import profiles as P
 from tripweave.session import scratch_dir
+from tripweave.functions.expressions import trip_id
 from tripweave.sinks.tables import csv_stream, file_writer, split_tables
 from tripweave.sources import streams
 from tripweave.sources.telemetry import normalize
@@ -158,6 +159,29 @@ def test_a_repeated_batch_replaces_itself(spark):
     assert {r.batch_id: r["count"] for r in trips.groupBy("batch_id").count().collect()} == {7: each, 8: each}
 
 
+def test_jobs_do_not_replace_each_others_batches(spark):
+    rows, out = results(spark), scratch_dir(spark)
+    for job in ("offline", "realtime", "realtime"):
+        split_tables(file_writer(out), job=job)(rows, 0)
+    trips = spark.read.parquet(f"{out}/ads_trip_summary")
+    each = rows.filter("row_type = 'TRIP'").count()
+    assert {r.job: r["count"] for r in trips.groupBy("job").count().collect()} == {"offline": each, "realtime": each}
+
+
+def test_trip_ids_do_not_depend_on_the_session_zone(spark):
+    """Two starts an hour apart, at the end of summer time, have two ids, those of UTC."""
+    at = spark.createDataFrame([(1793509200000000,), (1793512800000000,)], "m long")  # 2026-11-01 05:00 and 06:00 UTC
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        ids = []
+        for name in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            ids.append([r[0] for r in at.orderBy("m").selectExpr(trip_id("'V'", "timestamp_micros(m)")).collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert ids[0] == ids[1] and len(set(ids[0])) == 2
+
+
 def test_trips_only_sink_keeps_row_type_and_skips_empty(spark):
     written = {}
     on_batch = split_tables(lambda df, table, batch: written.update({table: df.columns}), events=None)

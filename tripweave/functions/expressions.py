@@ -45,10 +45,12 @@ EVENT_MINIMUM_US = f"array({', '.join(f'{s * 1_000_000}L' for s in P.EVENT_MIN_S
 
 
 def moment_text(moment: str) -> str:
-    """Timestamp text with no fraction, or with exactly six digits of it."""
+    """Timestamp text in UTC, whatever the session's zone: no fraction, or exactly six digits of it."""
+    micros = f"unix_micros({moment})"
+    seconds = f"make_dt_interval(0, 0, 0, CAST(floor({micros} / 1000000) AS DECIMAL(18, 6)))"
     return (
-        f"IF(unix_micros({moment}) % 1000000 = 0, date_format({moment}, 'yyyy-MM-dd HH:mm:ss'),"
-        f" date_format({moment}, 'yyyy-MM-dd HH:mm:ss.SSSSSS'))"
+        f"concat(substring(CAST(TIMESTAMP_NTZ '1970-01-01 00:00:00' + {seconds} AS STRING), 1, 19),"
+        f" IF({micros} % 1000000 = 0, '', concat('.', lpad(CAST(pmod({micros}, 1000000) AS STRING), 6, '0'))))"
     )
 
 

@@ -11,11 +11,16 @@ from pyspark.sql.streaming import DataStreamWriter
 from tripweave.operators.report import only_events, only_trips, without_row_type
 
 BATCH = "batch_id"
+JOB = "job"
 Writer = Callable[[DataFrame, str, int], None]
 
 
 def file_writer(folder: str, fmt: str = "parquet") -> Writer:
-    """Writes each batch into a partition of its own; a repeated batch replaces itself."""
+    """Writes each batch of each job into a partition of its own; a repeated batch replaces itself.
+
+    Jobs count their batches on their own, so rows that name their job (see ``split_tables``) are
+    kept apart by it. A job that starts anew without its checkpoint needs another name or folder.
+    """
 
     def write(rows: DataFrame, table: str, batch_id: int) -> None:
         (
@@ -23,7 +28,7 @@ def file_writer(folder: str, fmt: str = "parquet") -> Writer:
             .write.format(fmt)
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BATCH)
+            .partitionBy(*[c for c in (JOB, BATCH) if c == BATCH or c in rows.columns])
             .save(f"{folder}/{table}")
         )
 
@@ -52,11 +57,11 @@ def jdbc_writer(url: str, driver: str, database: str, options: Mapping[str, str]
     return write
 
 
-def split_tables(write: Writer, trips: str = "ads_trip_summary", events: str | None = "ads_trip_event_detail"):
+def split_tables(write: Writer, trips: str = "ads_trip_summary", events: str | None = "ads_trip_event_detail", job: str | None = None):
     """Per-batch callback: trips to one table, events to another.
 
     ``events=None`` writes trips only, and keeps their ``row_type``. A batch without rows of a
-    kind writes nothing for it.
+    kind writes nothing for it. With ``job``, rows carry that name in a column.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
@@ -67,7 +72,7 @@ def split_tables(write: Writer, trips: str = "ads_trip_summary", events: str | N
                 parts = {trips: without_row_type(parts[trips]), events: without_row_type(only_events(batch))}
             for table, rows in parts.items():
                 if not rows.isEmpty():
-                    write(rows, table, batch_id)
+                    write(rows.withColumn(JOB, F.lit(job)) if job else rows, table, batch_id)
         finally:
             batch.unpersist()
 

@@ -64,7 +64,7 @@ def start(
     on_batch: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
     """Starts the query that writes trips and events of streaming telemetry."""
-    callback = on_batch or split_tables(config.write, config.trips_table, config.events_table)
+    callback = on_batch or split_tables(config.write, config.trips_table, config.events_table, job=mode)
     return (
         trip_stream(telemetry, config.profile, config.delay, config.slice_seconds)
         .writeStream.foreachBatch(callback)
