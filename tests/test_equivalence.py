@@ -129,3 +129,5 @@ def test_daily_runs_can_be_repeated(spark, random_rows):
     trips, events = folded(rows, P.UNIFIED)
     assert trip_tuples(spark.read.parquet(f"{root}/trips")) == trips
     assert event_tuples(spark.read.parquet(f"{root}/events")) == events
+    daily.run_day(spark, high.limit(0), root, "d2", None, now=LATER)  # without rows the day is empty
+    assert spark.read.parquet(f"{root}/trips").filter("day = 'd2'").isEmpty()

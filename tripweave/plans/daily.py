@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripweave import engine
 from tripweave import profiles as P
@@ -14,8 +13,12 @@ from tripweave.sources.streams import state_table
 TRIPS, EVENTS, STATE = "trips", "events", "state"
 
 
+def day_path(root: str, table: str, day: str) -> str:
+    return f"{root}/{table}/day={day}"
+
+
 def state_path(root: str, day: str) -> str:
-    return f"{root}/{STATE}/day={day}"
+    return day_path(root, STATE, day)
 
 
 def run_day(
@@ -30,8 +33,8 @@ def run_day(
 ) -> None:
     """Writes the day's closed trips and events, and the state for the day after.
 
-    Each table has a partition per day that a repeated run replaces; the state of the day
-    before is only read. So a run may fail anywhere and be repeated.
+    Each table has a partition per day that a repeated run replaces, also by no rows; the state
+    of the day before is only read. So a run may fail anywhere and be repeated.
     """
     carry = state_table(spark, state_path(root, day_before)) if day_before else None
     step = engine.step(carry, telemetry, now, profile, with_events, keep=True)
@@ -39,13 +42,7 @@ def run_day(
         for table, rows in ((TRIPS, step.trips), (EVENTS, step.events)):
             if rows is None:
                 continue
-            (
-                rows.withColumn("day", F.lit(day))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("day")
-                .parquet(f"{root}/{table}")
-            )
+            rows.write.mode("overwrite").parquet(day_path(root, table, day))
         step.carry.write.mode("overwrite").parquet(state_path(root, day))
     finally:
         step.release()
