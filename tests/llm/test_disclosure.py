@@ -54,6 +54,19 @@ def test_words_that_give_an_entity_away(spark, docs_of):
     assert D.find(docs_of(rows).limit(0)).collect() == []
 
 
+def marked(found, texts):
+    """By document the words marked, in lower case."""
+    return {r.doc_id: [texts[r.doc_id][int(a) : int(b)].lower() for k, a, b in (s.split(":") for s in r.spans.split(",") if s) if k in ("remove", "generalise")] for r in found}
+
+
+def test_an_entity_seen_once_or_twice_has_its_words(spark, docs_of):
+    rows = [(i, f"nobody came on that day and number {i} stayed") for i in range(600)]
+    rows += [(1000, "nobody came but Zorbulon stayed z@mail.org that day"), (1001, "Quibble came q@mail.org"), (1002, "nobody and Quibble stayed q@mail.org")]
+    words = marked(D.find(docs_of(rows)).collect(), dict(rows))
+    assert "zorbulon" in words[1000] and "quibble" in words[1001] and "quibble" in words[1002]
+    assert not {"nobody", "came", "stayed"} & {w for found in words.values() for w in found}
+
+
 def test_sanitised_rows(spark):
     rows = spark.createDataFrame([("mail a@b.de now", "email:5:11"), (None, None)], "text string, spans string")
     assert [r.text for r in D.sanitise(rows).collect()] == ["mail [EMAIL] now", ""]

@@ -3,8 +3,8 @@
 Protected entities are the values that the patterns find. How strongly a word reveals one is estimated over the corpus: the
 pointwise mutual information of word and entity as a part of the entity's information content. It is 1 where the word never
 stands in a text without the entity near it. Words beyond a threshold are generalised, beyond a higher one removed, wherever
-they stand near that entity. A word must have stood near the entity in several different surroundings, so that copies of one
-passage prove nothing.
+they stand near that entity. Copies of one passage are one observation, and the share of the word's observations that have the
+entity is smoothed by SMOOTHING more without it: few observations count for less, but none is left out.
 
 Texts are read once. What is counted over all of them: by word the texts that hold it, by entity the texts, and by both the
 texts and surroundings. All of it is aggregated in Spark; nothing is collected but the number of texts.
@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.llm.common import blank, staged
@@ -28,8 +28,8 @@ from tripweave.llm.words import Grown, WordTable, groups_of
 KINDS = ("email", "ip", "card", "phone")
 #: Disclosure from which a word is generalised, and from which it is removed.
 GENERALISE, REMOVE = 0.8, 0.95
-#: Different surroundings of an entity in which a word must have stood.
-LEAST_SURROUNDINGS = 3
+#: Observations added to a word's own, with the entity as often as in the whole corpus.
+SMOOTHING = 2.0
 #: Words to either side of an entity, and the characters they are looked for in.
 NEAR_WORDS, NEAR_CHARS = 6, 120
 AFTER_AT = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -179,19 +179,22 @@ def _read(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return texts.mapInArrow(run, FOUND)
 
 
-def disclosing(near_rows: DataFrame, words: DataFrame, n_texts: int, least_surroundings: int = LEAST_SURROUNDINGS) -> DataFrame:
-    """(entity, term, disclosure) of words that have stood near an entity in enough different surroundings."""
-    texts = near_rows.select("entity", "uid").distinct().groupBy("entity").agg(F.count("*").alias("of_entity"))
-    both = near_rows.groupBy("entity", "term").agg(F.count_distinct("uid").alias("of_both"), F.count_distinct("around").alias("surroundings")).filter(F.col("surroundings") >= least_surroundings)
+def _disclosure(n: Column, both: Column, of_term: Column, of_entity: Column) -> Column:
+    """Smoothed mutual information of a word and an entity as a part of the entity's information; null where it has none."""
+    alone = of_entity / n
+    return F.when(alone < 1, F.log2((both + SMOOTHING * alone) / (of_term + SMOOTHING) / alone) / -F.log2(alone))
+
+
+def disclosing(near_rows: DataFrame, words: DataFrame, n_texts: int) -> DataFrame:
+    """(entity, term, disclosure) of words that have stood near an entity; alike surroundings count once."""
+    texts = near_rows.select("entity", "around").distinct().groupBy("entity").agg(F.count("*").alias("of_entity"))
+    both = near_rows.groupBy("entity", "term").agg(F.count_distinct("around").alias("of_both"))
     # Only counts of words that are asked for are needed, so the short list meets the long one before anything else.
     joined = both.join(words.groupBy("term").agg(F.sum("n").alias("of_term")), "term").join(texts, "entity")
-    n = F.lit(float(n_texts))
-    information = F.log2(n / F.col("of_entity"))
-    mutual = F.log2(n * F.col("of_both") / (F.col("of_term") * F.col("of_entity")))
-    return joined.filter(F.col("of_entity") < n_texts).select("entity", "term", (mutual / information).alias("disclosure"))
+    return joined.select("entity", "term", _disclosure(F.lit(float(n_texts)), F.col("of_both"), F.col("of_term"), F.col("of_entity")).alias("disclosure"))
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = GENERALISE, remove: float = REMOVE, least_surroundings: int = LEAST_SURROUNDINGS) -> DataFrame:
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """Spans of every whole text, one row for each row of `docs`:
 
     doc_id, n_email, n_ip, n_card, n_phone, base_spans, base_sha256, spans, n_generalise, n_remove. Spans are
@@ -201,7 +204,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", genera
     """
     read = staged(_read(docs, id_col, text_col), "part")
     base, near_rows, words = (read.filter(F.col("part") == p) for p in ("text", "near", "word"))
-    terms = disclosing(near_rows, words, base.count(), least_surroundings).filter(F.col("disclosure") >= generalise)
+    terms = disclosing(near_rows, words, base.count()).filter(F.col("disclosure") >= generalise)
     action = F.when(F.col("disclosure") >= remove, "remove").otherwise("generalise")
     marked = near_rows.select("uid", "entity", "term", "first", "last").join(terms, ["entity", "term"]).groupBy("uid", "first", "last").agg(F.max(action).alias("kind"))
     listed = marked.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("kind", "first", "last"))).alias("more"))  # within one text
