@@ -67,6 +67,21 @@ def test_an_entity_seen_once_or_twice_has_its_words(spark, docs_of):
     assert not {"nobody", "came", "stayed"} & {w for found in words.values() for w in found}
 
 
+def test_words_far_from_the_entity_and_in_texts_without_it(spark, docs_of):
+    far = " and then many other people came to talk about the weather of that long day"
+    rows = [(i, f"nobody came but stayed on that day{far} number {i}") for i in range(600)]
+    rows += [(1000 + i, f"Zorbulon came{far * 3} and z@mail.org stayed {i}") for i in range(30)]
+    rows += [(2000, f"nobody but Zorbulon came{far} and zorbulon stayed")]
+    words = marked(D.find(docs_of(rows)).collect(), dict(rows))
+    assert all(words[1000 + i] == ["zorbulon"] for i in range(30)) and words[2000] == ["zorbulon", "zorbulon"]
+    assert not any(words[i] for i in range(600))
+
+
+def test_hashes_of_more_words_than_the_arrays_hold_at_first():
+    words = ["".join(chr(97 + i // 26**k % 26) for k in range(4)) for i in range(5000)]
+    assert D._Words().terms(words).tolist() == [D.term_hash(w) for w in words]
+
+
 def test_sanitised_rows(spark):
     rows = spark.createDataFrame([("mail a@b.de now", "email:5:11"), (None, None)], "text string, spans string")
     assert [r.text for r in D.sanitise(rows).collect()] == ["mail [EMAIL] now", ""]

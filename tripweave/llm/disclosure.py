@@ -1,13 +1,16 @@
-"""Personal data in texts: fixed patterns, and words near them that give a protected value away.
+"""Personal data in texts: fixed patterns, and words that give a protected value away.
 
 Protected entities are the values that the patterns find. How strongly a word reveals one is estimated over the corpus: the
-pointwise mutual information of word and entity as a part of the entity's information content. It is 1 where the word never
-stands in a text without the entity near it. Words beyond a threshold are generalised, beyond a higher one removed, wherever
-they stand near that entity. Copies of one passage are one observation, and the share of the word's observations that have the
-entity is smoothed by SMOOTHING more without it: few observations count for less, but none is left out.
-
-Texts are read once. What is counted over all of them: by word the texts that hold it, by entity the texts, and by both the
-texts and surroundings. All of it is aggregated in Spark; nothing is collected but the number of texts.
+pointwise mutual information of word and entity, standing anywhere in one text, as a part of the entity's information content.
+It is near 1 where the word never stands in a text without the entity. Words beyond a threshold for some entity are
+generalised, beyond a higher one removed, at every place in every text. Exact copies of a text are one observation, and the
+share of the word's observations that have the entity is smoothed by SMOOTHING more without it: few observations count for
+less, but none is left out.
+
+Texts are read twice. The first pass takes the entities and distinct words of texts that hold entities; a word's count over
+these texts alone bounds its disclosure from above. The second pass takes the places of words that may reach the threshold, and
+from these come their exact counts. What workers get to tell such words is a filter of FILTER_BITS for each of them; what it
+lets through besides is dropped by the joins. Nothing else is collected but the number of texts.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import blank, staged
+from tripweave.llm.common import blank, discard, give_back, staged, text_batches
 from tripweave.llm.words import Grown, WordTable, groups_of
 
 KINDS = ("email", "ip", "card", "phone")
@@ -30,8 +33,8 @@ KINDS = ("email", "ip", "card", "phone")
 GENERALISE, REMOVE = 0.8, 0.95
 #: Observations added to a word's own, with the entity as often as in the whole corpus.
 SMOOTHING = 2.0
-#: Words to either side of an entity, and the characters they are looked for in.
-NEAR_WORDS, NEAR_CHARS = 6, 120
+#: Least bits of the filter for each word in it, and the bits that a word sets.
+FILTER_BITS, FILTER_PROBES = 16, 4
 AFTER_AT = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 #: A number begins where no digit stands before: a match from within one would have begun earlier.
@@ -78,18 +81,16 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
-def near(text: str, span: Span, taken: list[Span]) -> list[tuple[str, int, int]]:
-    """Lower-case words to either side of a span, outside all spans."""
-    _, start, end = span
-    low = max(0, start - NEAR_CHARS)
-    before = [(m.start() + low, m.end() + low) for m in WORD.finditer(text[low:start])]
-    if low and before and before[0][0] == low:
-        before = before[1:]  # perhaps a part of a word
-    after = [(m.start() + end, m.end() + end) for m in WORD.finditer(text[end : end + NEAR_CHARS])]
-    if after and after[-1][1] == end + NEAR_CHARS:
-        after = after[:-1]
-    words = before[-NEAR_WORDS:] + after[:NEAR_WORDS]
-    return [(text[a:b].lower(), a, b) for a, b in words if not any(a < e and s < b for _, s, e in taken)]
+def outside(text: str, spans: list[Span]) -> str:
+    """The text with spans blanked; places stay the same."""
+    if not spans:
+        return text
+    out, at = [], 0
+    for a, b in sorted((a, b) for _, a, b in spans):
+        if b > at:
+            out += [text[at : max(a, at)], " " * (b - max(a, at))]
+            at = b
+    return "".join([*out, text[at:]])
 
 
 def entity(kind: int, value: str) -> str:
@@ -119,13 +120,10 @@ class _Words(WordTable):
         self.number.add(np.array(numbers, np.int64)[:, None])
         self.hashes.add(np.array(fresh, np.int64).reshape(-1, 1))
 
-    def texts_by_word(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the words of some texts, and in how many of the texts each stands."""
-        numbers, borders = self.numbers([WORD.findall(t) for t in texts])
-        owner = np.repeat(np.arange(len(texts)), np.diff(borders))
-        both = np.unique(owner << 32 | self.number.rows[numbers, 0])
-        found, counts = np.unique(both & 0xFFFFFFFF, return_counts=True)
-        return self.hashes.rows[found, 0], counts
+    def terms(self, words: list[str]) -> np.ndarray:
+        """Hashes of the lower-case forms."""
+        numbers, _ = self.numbers([words])  # may replace the arrays
+        return self.hashes.rows[self.number.rows[numbers, 0], 0]
 
 
 def term_hash(word: str) -> int:
@@ -133,25 +131,73 @@ def term_hash(word: str) -> int:
     return n - (n >> 63 << 64)
 
 
+def _bits(hashes: np.ndarray, size: int) -> list[np.ndarray]:
+    """Places in a filter of `size` bits, a power of two."""
+    h = hashes.astype(np.uint64)
+    step = (h >> np.uint64(32)) | np.uint64(1)
+    return [((h + np.uint64(k) * step) & np.uint64(size - 1)).astype(np.int64) for k in range(FILTER_PROBES)]
+
+
+def _filter(terms: DataFrame) -> np.ndarray:
+    """Filter of the distinct hashes in `terms`, as bytes of eight bits."""
+    size = 1 << max(10, (FILTER_BITS * terms.count() - 1).bit_length())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = np.unique(np.concatenate(_bits(batch.column(0).to_numpy(), size)))
+            at, first = np.unique(bits >> 3, return_index=True)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.bitwise_or.reduceat(1 << (bits & 7), first) if len(first) else at)], names=["at", "byte"])
+
+    out = np.zeros(size >> 3, np.uint8)
+    for batch in terms.mapInArrow(run, "at long, byte long").toArrow().to_batches():
+        np.bitwise_or.at(out, batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.uint8))
+    return out
+
+
 _WORDS: list[_Words] = []
-FOUND = "part string, uid long, doc_id long, n_email long, n_ip long, n_card long, n_phone long, spans string, entity string, term long, first long, last long, around long, n long"
+HELD = "part string, text long, entity string, term long"
+FOUND = "part string, uid long, doc_id long, n_email long, n_ip long, n_card long, n_phone long, spans string, text long, term long, first array<long>, last array<long>"
+TYPES = {"string": pa.string(), "long": pa.int64(), "array<long>": pa.list_(pa.int64())}
+
+
+def _rows(ddl: str, columns: dict, size: int) -> pa.RecordBatch:
+    """A batch of these columns, the others null."""
+    schema = pa.schema([(name, TYPES[kind]) for name, kind in map(str.split, ddl.split(", "))])
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in schema], schema=schema)
+
+
+def _words() -> _Words:
+    if not _WORDS:
+        _WORDS.append(_Words())
+    return _WORDS[0]
 
 
-def _read(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One pass over the texts. Rows of three parts: `text` (base spans), `near` (a word near an entity), `word` (texts)."""
-    names = [c.split()[0] for c in FOUND.split(", ")]
-    types = {"string": pa.string(), "long": pa.int64()}
-    schema = pa.schema([(c.split()[0], types[c.split()[1]]) for c in FOUND.split(", ")])
+def _held(texts: DataFrame) -> DataFrame:
+    """Rows of three parts: `text` (each text), and of texts with entities `entity` and `term` (each once for a text)."""
 
-    def rows(columns: dict, size: int) -> pa.RecordBatch:
-        full = [pa.array(columns[name], field.type) if name in columns else pa.nulls(size, field.type) for name, field in zip(names, schema)]
-        return pa.RecordBatch.from_arrays(full, schema=schema)
+    def run(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
+        texts, hashes = batch.column("text").to_pylist(), batch.column("hash").to_pylist()
+        out = [_rows(HELD, {"part": ["text"] * len(texts), "text": hashes}, len(texts))]
+        for text, key in zip(texts, hashes):
+            spans = base_spans(text)
+            if spans:
+                entities = sorted({entity(k, text[a:b]) for k, a, b in spans})
+                terms = np.unique(_words().terms(WORD.findall(outside(text, spans))))
+                out += [_rows(HELD, {"part": ["entity"] * len(entities), "text": [key] * len(entities), "entity": entities}, len(entities))]
+                out += [_rows(HELD, {"part": ["term"] * len(terms), "text": [key] * len(terms), "term": terms}, len(terms))]
+        return out
+
+    return texts.select("text", "hash").mapInArrow(text_batches(run), HELD)
+
+
+def _found(texts: DataFrame, bits: np.ndarray) -> DataFrame:
+    """Rows of two parts: `text` (base spans) and `place` (by text and word all places, of words that the filter holds)."""
+    sent = texts.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not _WORDS:
-            _WORDS.append(_Words())
         context = TaskContext.get()
         uid = (context.partitionId() if context else 0) << 40
+        bits = sent.value
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -160,22 +206,32 @@ def _read(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             counts = [[sum(s[0] == k for s in spans) for spans in found] for k in range(4)]
             written = [",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in spans) for spans in found]
             size = len(texts)
-            yield rows({"part": ["text"] * size, "uid": range(uid, uid + size), "doc_id": batch.column("doc_id"), "spans": written} | {f"n_{k}": c for k, c in zip(KINDS, counts)}, size)
-            out: dict[str, list] = {c: [] for c in ("part", "uid", "entity", "term", "first", "last", "around")}
-            for i, (text, spans) in enumerate(zip(texts, found)):
-                for span in spans:
-                    words = near(text, span, spans)
-                    around = term_hash(" ".join(w for w, _, _ in words))
-                    for w, a, b in words:
-                        for column, value in zip(out.values(), ("near", uid + i, entity(span[0], text[span[1] : span[2]]), term_hash(w), a, b, around)):
-                            column.append(value)
-            yield rows(out, len(out["part"]))
+            yield _rows(FOUND, {"part": ["text"] * size, "uid": range(uid, uid + size), "doc_id": batch.column("doc_id"), "spans": written} | {f"n_{k}": c for k, c in zip(KINDS, counts)}, size)
+            hashes = batch.column("hash").to_pylist()
             for part in groups_of(texts):
-                hashes, n = _WORDS[0].texts_by_word(texts[part])
-                yield rows({"part": ["word"] * len(n), "term": hashes, "n": n}, len(n))
+                clear = [outside(t, s) for t, s in zip(texts[part], found[part])]
+                lists = [WORD.findall(t) for t in clear]
+                terms = _words().terms([w for words in lists for w in words])
+                own, at = np.unique(terms, return_inverse=True)
+                places = _bits(own, 8 * len(bits))
+                wanted = np.logical_and.reduce([bits[p >> 3] >> (p & 7) & 1 for p in places])[at].astype(bool) if len(own) else at.astype(bool)
+                out: dict[str, list] = {c: [] for c in ("part", "uid", "text", "term", "first", "last")}
+                start = 0
+                for i, (text, words) in enumerate(zip(clear, lists), part.start):
+                    some = np.flatnonzero(wanted[start : start + len(words)])
+                    if len(some):
+                        borders = [m.span() for m in WORD.finditer(text)]
+                        by: dict[int, list[tuple[int, int]]] = {}
+                        for j, term in zip(some.tolist(), terms[start + some].tolist()):
+                            by.setdefault(term, []).append(borders[j])
+                        for term, spans in by.items():
+                            for column, value in zip(out.values(), ("place", uid + i, hashes[i], term, [a for a, _ in spans], [b for _, b in spans])):
+                                column.append(value)
+                    start += len(words)
+                yield _rows(FOUND, out, len(out["part"]))
             uid += size
+            give_back()
 
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), blank(F.col(text_col)).alias("text"))
     return texts.mapInArrow(run, FOUND)
 
 
@@ -185,13 +241,24 @@ def _disclosure(n: Column, both: Column, of_term: Column, of_entity: Column) ->
     return F.when(alone < 1, F.log2((both + SMOOTHING * alone) / (of_term + SMOOTHING) / alone) / -F.log2(alone))
 
 
-def disclosing(near_rows: DataFrame, words: DataFrame, n_texts: int) -> DataFrame:
-    """(entity, term, disclosure) of words that have stood near an entity; alike surroundings count once."""
-    texts = near_rows.select("entity", "around").distinct().groupBy("entity").agg(F.count("*").alias("of_entity"))
-    both = near_rows.groupBy("entity", "term").agg(F.count_distinct("around").alias("of_both"))
-    # Only counts of words that are asked for are needed, so the short list meets the long one before anything else.
-    joined = both.join(words.groupBy("term").agg(F.sum("n").alias("of_term")), "term").join(texts, "entity")
-    return joined.select("entity", "term", _disclosure(F.lit(float(n_texts)), F.col("of_both"), F.col("of_term"), F.col("of_entity")).alias("disclosure"))
+def candidates(held: DataFrame, threshold: float) -> DataFrame:
+    """(entity, term, of_both, of_entity, n_texts) of pairs that reach the threshold where no text without entities has the term."""
+    n_texts = held.filter("part = 'text'").select("text").distinct().count()
+    entities = held.filter("part = 'entity'").select("text", "entity").distinct()
+    terms = held.filter("part = 'term'").select("text", "term").distinct()
+    both = entities.join(terms, "text").groupBy("entity", "term").agg(F.count("*").alias("of_both"))
+    of_entity = entities.groupBy("entity").agg(F.count("*").alias("of_entity"))
+    least = terms.groupBy("term").agg(F.count("*").alias("least"))
+    joined = both.join(of_entity, "entity").join(least, "term").withColumn("n_texts", F.lit(float(n_texts)))
+    reach = _disclosure(F.col("n_texts"), F.col("of_both"), F.col("least"), F.col("of_entity"))
+    return joined.filter(reach >= threshold).select("entity", "term", "of_both", "of_entity", "n_texts")
+
+
+def disclosing(pairs: DataFrame, places: DataFrame) -> DataFrame:
+    """(entity, term, disclosure) of the candidates, by the different texts that hold the term."""
+    of_term = places.select("term", "text").distinct().groupBy("term").agg(F.count("*").alias("of_term"))
+    disclosure = _disclosure(F.col("n_texts"), F.col("of_both"), F.col("of_term"), F.col("of_entity"))
+    return pairs.join(of_term, "term").select("entity", "term", disclosure.alias("disclosure"))
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
@@ -202,12 +269,17 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", genera
     A null text counts as empty and has no spans. Rows that repeat an id are looked through one by one; further columns
     don't matter; a table without rows gives none.
     """
-    read = staged(_read(docs, id_col, text_col), "part")
-    base, near_rows, words = (read.filter(F.col("part") == p) for p in ("text", "near", "word"))
-    terms = disclosing(near_rows, words, base.count()).filter(F.col("disclosure") >= generalise)
-    action = F.when(F.col("disclosure") >= remove, "remove").otherwise("generalise")
-    marked = near_rows.select("uid", "entity", "term", "first", "last").join(terms, ["entity", "term"]).groupBy("uid", "first", "last").agg(F.max(action).alias("kind"))
-    listed = marked.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("kind", "first", "last"))).alias("more"))  # within one text
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), blank(F.col(text_col)).alias("text")).withColumn("hash", F.xxhash64("text"))
+    held = staged(_held(texts), "part")
+    pairs = staged(candidates(held, generalise))
+    discard(held)
+    read = staged(_found(texts, _filter(pairs.select("term").distinct())), "part")
+    base, places = (read.filter(F.col("part") == p) for p in ("text", "place"))
+    terms = disclosing(pairs, places).groupBy("term").agg(F.max("disclosure").alias("disclosure")).filter(F.col("disclosure") >= generalise)
+    terms = terms.select("term", F.when(F.col("disclosure") >= remove, "remove").otherwise("generalise").alias("kind"))
+    each = F.transform(F.arrays_zip("first", "last"), lambda p: F.struct(F.col("kind"), p["first"].alias("first"), p["last"].alias("last")))
+    marked = places.select("uid", "term", "first", "last").join(terms, "term").select("uid", each.alias("some"))
+    listed = marked.groupBy("uid").agg(F.sort_array(F.flatten(F.collect_list("some"))).alias("more"))  # within one text
     joined = base.join(listed, "uid", "left")
     more = F.array_join(F.transform(F.col("more"), lambda s: F.concat_ws(":", s["kind"], s["first"], s["last"])), ",")
     count = lambda kind: F.coalesce(F.size(F.filter("more", lambda s: s["kind"] == kind)), F.lit(0))
