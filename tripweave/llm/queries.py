@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import disclosure, exact_dedup, fertility, language, licenses, mixing, near_duplicates, packing, token_store, toxicity
+from tripweave.llm import disclosure, exact_dedup, fertility, language, licenses, mixing, near_duplicates, packing, periodic, spelling, token_store, toxicity
 from tripweave.llm.common import read_table
 from tripweave.session import scratch_dir
 
@@ -75,6 +75,14 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.detect(read_table(spark, sf_dir, "documents"), plant=True)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(read_table(spark, sf_dir, "documents"), plant_every=199))
+
+
 REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op1_token_store": (op1_token_store, None),
     "op2_poisson_mix": (op2_poisson_mix, mixing.MIX_SQL.format(docs="documents")),
@@ -86,4 +94,6 @@ REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op8_toxicity": (op8_toxicity, None),
     "op9_jaccard_join": (op9_jaccard_join, None),
     "op10_license_scan": (op10_license_scan, licenses.scan_sql()),
+    "op11_periodic_runs": (op11_periodic_runs, None),
+    "op13_spelling_variants": (op13_spelling_variants, None),
 }
