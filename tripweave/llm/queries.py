@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import disclosure, exact_dedup, fertility, language, licenses, mixing, near_duplicates, packing, periodic, spelling, token_store, toxicity
+from tripweave.llm import disclosure, exact_dedup, fertility, language, licenses, mixing, near_duplicates, packing, periodic, secrets, spelling, token_store, toxicity
 from tripweave.llm.common import read_table
 from tripweave.session import scratch_dir
 
@@ -79,6 +79,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.detect(read_table(spark, sf_dir, "documents"), plant=True)
 
 
+def op12_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find(read_table(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.vocabulary(read_table(spark, sf_dir, "documents"), plant_every=199))
 
@@ -95,5 +99,6 @@ REGISTRY: dict[str, tuple[Query, str | None]] = {
     "op9_jaccard_join": (op9_jaccard_join, None),
     "op10_license_scan": (op10_license_scan, licenses.scan_sql()),
     "op11_periodic_runs": (op11_periodic_runs, None),
+    "op12_entropy_secrets": (op12_entropy_secrets, secrets.find_sql()),
     "op13_spelling_variants": (op13_spelling_variants, None),
 }
