@@ -50,9 +50,40 @@ def test_bands_reject_the_odd_text_and_keep_the_rest(spark, docs_of):
     rng = random.Random(2)
     words = "there is a house in the city where people read books about other people and old towns every day".split()
     rows = [(i, " ".join(rng.choice(words) + str(rng.randint(0, 9)) for _ in range(rng.randint(60, 150)))) for i in range(300)]
-    odd = " ".join("".join(rng.choice("ᚠᚡᚢᚣᚤᚥᚦᚧᚨ") for _ in range(6)) for _ in range(80))
+    odd = " ".join("".join(rng.choice("qxzjkvwQXZJK0") for _ in range(9)) for _ in range(80))
     rows += [(900, odd), (901, None), (None, rows[0][1]), (902, rows[1][1]), (902, rows[1][1])]
     found = fertility.judge(docs_of(rows), FILES).collect()
     assert len(found) == len(rows)
     assert sorted(str(r.doc_id) for r in found if not r.kept) == ["900", "901"]
     assert fertility.judge(docs_of(rows).limit(0), FILES).collect() == []
+
+
+def test_a_script_is_judged_alike_however_many_texts_it_has(spark, docs_of):
+    rng = random.Random(3)
+    latin = "there is a house in the city where people read books about other people and old towns every day".split()
+    greek = "όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα είναι προικισμένοι με λογική".split()
+    some = lambda words: " ".join(rng.choice(words) for _ in range(rng.randint(60, 150)))
+    latin_rows, greek_rows = [(i, some(latin)) for i in range(150)], [(1000 + i, some(greek)) for i in range(230)]
+    for n in (1, 2, 3, 199, 230):
+        found = fertility.judge(docs_of(latin_rows + greek_rows[:n]), FILES).collect()
+        assert all(r.kept for r in found) and len(found) == 150 + n
+
+
+def test_kept_as_brute_force(spark, docs_of):
+    """Bands worked out with Python's own median."""
+    from statistics import median
+
+    rows = [(i, t) for i, t in enumerate(texts() * 3)]
+    found = fertility.judge(docs_of(rows), FILES).collect()
+    bands = {}
+    for script in {r.script for r in found}:
+        good = [r for r in found if r.script == script and not r.base_failed]
+        for c, least in fertility.FIGURES.items():
+            mid = median(r[c] for r in good) if good else 0
+            away = median(round(abs(r[c] - mid), 3) for r in good) if good else 0
+            half = max(least, fertility.DEVIATIONS * away)
+            bands[script, c] = (mid - half, mid + half)
+    for r in found:
+        inside = all(bands[r.script, c][0] - 1e-9 <= r[c] <= bands[r.script, c][1] + 1e-9 for c in fertility.FIGURES)
+        assert r.kept == (not r.base_failed and inside)
+    assert {r.kept for r in found} == {True, False}

@@ -46,3 +46,50 @@ def test_without_labels_everything_is_unknown(spark, docs_of):
     docs = docs_of([(1, "ein Text"), (2, None)])
     models = L.fit(docs, F.lit(False))
     assert [r.lang_pred for r in L.identify(docs, models).collect()] == ["und", "und"]
+
+
+def test_every_language_of_the_training_rows_has_a_model(spark, docs_of):
+    """However few texts it has, and also where all of them calibrate."""
+    stems = {f"l{i}": [chr(0x430 + (i * 5 + k) % 26) + chr(97 + (i * 7 + k * 3) % 26) + "ab"[k % 2] for k in range(9)] for i in range(12)}
+    rows = {i: (lang, " ".join(words * 4)) for i, (lang, words) in enumerate(sorted(stems.items()))}
+    docs = docs_of([(i, t) for i, (_, t) in rows.items()] + [(50, None), (51, "")], lang={i: lang for i, (lang, _) in rows.items()} | {50: "xx", 51: "yy"})
+    models = L.fit(docs, F.lit(True))
+    assert models.languages == sorted(stems)
+    found = {r.doc_id: r for r in L.identify(docs, models).collect()}
+    assert all(found[i].lang_pred == lang and found[i].accepted for i, (lang, _) in rows.items())
+    assert L.accepted_rows(docs, models).count() == len(rows)
+
+
+def test_cross_entropy_as_brute_force():
+    """Interpolated Kneser-Ney from its definition, over dictionaries of n-grams."""
+    words = L.letter_runs("das alte haus steht an der see und die see rauscht an das haus wo der alte hund am haus schläft " * 3)
+    grams = Counter()
+    for word in words:
+        padded = " " * 4 + word + " "
+        grams.update(padded[i : i + 5] for i in range(len(word) + 1))
+    names = sorted(grams)
+    model = L.KneserNey.fit(names, np.array([grams[g] for g in names]))
+    # Counts of the highest order are occurrences, of lower ones the different letters before.
+    counts = {5: dict(grams)}
+    for n in (4, 3, 2, 1):
+        own = Counter(g[1:] for g in counts[n + 1])
+        counts[n] = dict(own)
+
+    def probability(gram):
+        n = len(gram)
+        if n == 0:
+            return 1 / L.SYMBOLS
+        table, context = counts[n], gram[:-1]
+        ones, twos = (sum(c == k for c in table.values()) for k in (1, 2))
+        discount = min(max(ones / (ones + 2 * twos), 0.1), 0.95) if ones and twos else 0.5
+        after = {g: c for g, c in table.items() if g[:-1] == context}
+        if not after:
+            return probability(gram[1:])
+        total = sum(after.values())
+        return max(after.get(gram, 0) - discount, 0) / total + discount * len(after) / total * probability(gram[1:])
+
+    for gram in names[:25] + ["    q", " haub", "xyzab", "hausx"]:
+        symbols = np.array([[ord(c) for c in " " + gram]], np.uint64)
+        hashes = [L._hash_rows(symbols[:, 6 - k :]) for k in range(1, 6)]
+        before = [L._hash_rows(symbols[:, 5 - k : 5]) for k in range(1, 6)]
+        assert abs(float(model.score(hashes, before)[0]) - np.log(probability(gram))) < 1e-3, gram

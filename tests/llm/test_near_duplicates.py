@@ -97,3 +97,14 @@ def test_prefixes_are_lengthened_by_cost():
     for each, more in ((1, 0), (1 + N.COSTLY // 20, 5), (1 + N.COSTLY, 10)):
         _, short, long, asked = N._prefixes(tokens, np.array([100]), N.Counters(np.full(1 << 20, each), N.COSTLY))
         assert (short[0], long[0], asked[0]) == (21, 21 + more, 1 + more)
+
+
+def test_keep_one_with_clashing_names_and_rows_without_id(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text, 7, 8, 9, 1, b"x"), (2, text + " more", 7, 8, 9, 2, b"y"), (None, text, 7, 8, 9, 3, b"z"), (4, None, 7, 8, 9, 4, b""), (5, "", 7, 8, 9, 5, b"")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __half long, __row_number long, __dropped long, uid long, sig binary").repartition(2)
+    for some, kept in ((docs.filter("doc_id is not null"), {1, 4, 5}), (docs, None)):
+        found = N.keep_one(some, "doc_id", "text")
+        assert found.columns == docs.columns
+        uids = {r.uid for r in found.collect()}
+        assert uids == kept if kept else len(uids) == 3 and {4, 5} <= uids

@@ -83,3 +83,15 @@ def test_query_gives_checksums_of_the_library(spark):
         assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         at += len(ids)
     assert not docs
+
+
+def test_query_with_null_and_awkward_ids(spark, docs_of, tmp_path):
+    from tripweave.llm.queries import REGISTRY
+
+    rows = [(None, "no id"), (None, None), (3, "three"), (3, "three again"), (-1, "")]
+    docs_of(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    found = REGISTRY["op1_token_store"][0](spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens) for r in found) == sorted((k is None, k or 0, len(ids) // 4) for k, (_, _, ids) in zip([None, None, -1, 3, 3], expected_rows(rows)))
+    keys = spark.createDataFrame([("\x00", "a"), (None, "b c"), ("\x00\x00", "d")], "doc_id string, text string")
+    _, read = stored(spark, keys)
+    assert len({r.key for r in read}) == 3

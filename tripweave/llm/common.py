@@ -71,6 +71,21 @@ def give_back() -> None:
             ctypes.CDLL(None).malloc_trim(0)
 
 
+_MEMORY: dict = {}
+
+
+def kept_by_worker(key, make: Callable):
+    """What a Python worker keeps from task to task under `key`; that of another operator or setting goes first.
+
+    Workers live on from stage to stage, so that two operators' memories would add up.
+    """
+    if key not in _MEMORY:
+        _MEMORY.clear()
+        give_back()
+        _MEMORY[key] = make()
+    return _MEMORY[key]
+
+
 def text_batches(fn: Callable[[pa.RecordBatch], pa.RecordBatch | list]) -> Callable:
     """A function for mapInArrow that applies `fn` to each batch and drops empty results."""
 
@@ -85,6 +100,24 @@ def text_batches(fn: Callable[[pa.RecordBatch], pa.RecordBatch | list]) -> Calla
     return run
 
 
+def join_counted(rows: DataFrame, table: DataFrame, key: str, count: str, least_hot: int = 1_000) -> DataFrame:
+    """`rows` left-joined with a table that has one row for each `key`, among them how many rows hold it (`count`).
+
+    Keys of at least `least_hot` rows and a hundred-thousandth of all are broadcast, which are a hundred thousand at most; rows
+    with such a key or a null key are dealt at random, so that no task gets all rows of a key. Other keys meet by shuffle.
+    """
+    payload = [c for c in table.columns if c != key]
+    total = table.agg(F.sum(count)).first()[0] or 0
+    hot = table.filter(F.col(count) >= max(least_hot, total // 100_000)).select(F.col(key).alias("__hot_key"), F.struct(*payload).alias("__hot"))
+    cold = table.filter(F.col(count) < max(least_hot, total // 100_000)).select(F.col(key).alias("__cold_key"), F.struct(*payload).alias("__cold"), F.lit(0).cast("long").alias("__cold_salt"))
+    marked = rows.join(F.broadcast(hot), F.col(key) == F.col("__hot_key"), "left")
+    apart = F.col("__hot_key").isNotNull() | F.col(key).isNull()
+    marked = marked.withColumn("__salt", F.when(apart, F.xxhash64(F.monotonically_increasing_id()).bitwiseOR(F.lit(1).cast("long"))).otherwise(F.lit(0).cast("long")))
+    joined = marked.join(cold, (F.col(key) == F.col("__cold_key")) & (F.col("__salt") == F.col("__cold_salt")), "left")
+    found = F.coalesce("__hot", "__cold")
+    return joined.select(*(F.col(f"`{c}`") for c in rows.columns), *(found[c].alias(c) for c in payload))
+
+
 def blank(text: Column) -> Column:
     """Null text as the empty text."""
     return F.coalesce(text, F.lit(""))

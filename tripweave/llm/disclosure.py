@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import blank, discard, give_back, staged, text_batches
+from tripweave.llm.common import blank, discard, give_back, kept_by_worker, staged, text_batches
 from tripweave.llm.words import Grown, WordTable, groups_of
 
 KINDS = ("email", "ip", "card", "phone")
@@ -154,7 +154,6 @@ def _filter(terms: DataFrame) -> np.ndarray:
     return out
 
 
-_WORDS: list[_Words] = []
 HELD = "part string, text long, entity string, term long"
 FOUND = "part string, uid long, doc_id long, n_email long, n_ip long, n_card long, n_phone long, spans string, text long, term long, first array<long>, last array<long>"
 TYPES = {"string": pa.string(), "long": pa.int64(), "array<long>": pa.list_(pa.int64())}
@@ -167,9 +166,7 @@ def _rows(ddl: str, columns: dict, size: int) -> pa.RecordBatch:
 
 
 def _words() -> _Words:
-    if not _WORDS:
-        _WORDS.append(_Words())
-    return _WORDS[0]
+    return kept_by_worker("disclosure", _Words)
 
 
 def _held(texts: DataFrame) -> DataFrame:

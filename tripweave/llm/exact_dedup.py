@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import SPACES, blank, staged
+from tripweave.llm.common import SPACES, blank, join_counted, staged
 
 SALTS = 16
 ROW, NORM, DIGEST, SIZE = "__row", "__norm", "__digest", "__chars"
@@ -44,7 +44,8 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, salts: int, digest) ->
     shared = not small.groupBy(DIGEST).count().filter("count > 1").isEmpty()
     by = [DIGEST, NORM] if shared else [DIGEST]
     repeated = (groups if shared else small).filter("group_size > 1")
-    joined = rows.join(repeated, by, "left").withColumns({"keep_id": F.when(F.col("best").isNull(), F.col("__id")).otherwise(F.col("best.id")), "group_size": F.coalesce("group_size", F.lit(1))})
+    joined = rows.join(repeated, by, "left") if shared else join_counted(rows, repeated, DIGEST, "group_size")
+    joined = joined.withColumns({"keep_id": F.when(F.col("best").isNull(), F.col("__id")).otherwise(F.col("best.id")), "group_size": F.coalesce("group_size", F.lit(1))})
     best = F.col("best").isNull() | (F.col("__id").eqNullSafe(F.col("best.id")) & (-F.col(SIZE) == F.col("best.chars")))
     joined = joined.withColumn("kept", best)
     if docs.groupBy(id_col).count().filter("count > 1").isEmpty():
@@ -76,7 +77,10 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS, digest=sha256) -> DataFrame:
-    """The rows of `docs` that `mark_copies` keeps, with their columns as they are."""
+    """The rows of `docs` that `mark_copies` keeps, with their columns as they are.
+
+    Cases are as there; very long texts are compared whole, and columns may have any names but this module's own.
+    """
     return _judged(docs, id_col, text_col, salts, digest).filter("kept").select(f"{ROW}.*")
 
 

@@ -3,20 +3,23 @@
 Each word is encoded once per worker. By text: characters per token in each vocabulary, the share of tokens that are single
 bytes the vocabulary has no piece for, and the entropy of the text's tokens as a part of the most it could be. A text is
 rejected where a figure lies outside the band of its script. Bands are the median of all texts of the script that pass the
-base rules, and so many median deviations to either side; scripts with few texts share the bands of all texts.
+base rules, and so many median deviations to either side, but never less than a least width. Every script has its own
+band, however few texts it has: one vocabulary fits scripts so differently that no other band would do.
 """
 
 from __future__ import annotations
 
 import unicodedata
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import single_threaded, staged, text_batches
+from tripweave.llm.common import kept_by_worker, ship, single_threaded, staged, text_batches
 from tripweave.llm.words import Grown, WordTable, groups_of, sums
 
 SYMBOLS = "#*$%&|<>"
@@ -26,8 +29,6 @@ LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
 #: Half the width of a band in median absolute deviations, and its least half width, for each figure.
 DEVIATIONS = 8.0
 FIGURES = {"chars_per_piece": 0.5, "chars_per_bpe": 0.5, "byte_share": 0.05, "entropy": 0.08}
-#: A script with fewer texts than this takes the bands of all texts.
-LEAST_TEXTS = 200
 SCHEMA = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
     "script string, chars_per_piece double, chars_per_bpe double, byte_share double, entropy double"
@@ -90,13 +91,8 @@ class _Words(WordTable):
         self.figures.add(rows)
 
 
-_TABLES: dict[Vocabularies, _Words] = {}
-
-
 def _table(files: Vocabularies) -> _Words:
-    if files not in _TABLES:
-        _TABLES[files] = _Words(files)
-    return _TABLES[files]
+    return kept_by_worker(files, lambda: _Words(files))
 
 
 def duplicate_lines(text: str) -> int:
@@ -176,6 +172,7 @@ def measure(docs: DataFrame, files: Vocabularies, id_col: str = "doc_id", text_c
             out.append(pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in SCHEMA.split(", ")]))
         return out
 
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(text_batches(run), SCHEMA)
 
@@ -183,18 +180,16 @@ def measure(docs: DataFrame, files: Vocabularies, id_col: str = "doc_id", text_c
 def bands(measured: DataFrame, deviations: float = DEVIATIONS) -> DataFrame:
     """(script, then for each figure its lowest and highest accepted value) from all texts that pass the base rules.
 
-    Figures are rounded, so that exact percentiles need no more than a count for each of a few thousand values. A row with
-    a null script holds the bands of all texts. As many rows as there are scripts.
+    Figures are rounded, so that exact percentiles need no more than a count for each of a few thousand values. As many
+    rows as there are scripts, under two hundred.
     """
     good = measured.filter(~F.col("base_failed"))
-    # Each text counts for its script and for all texts.
-    both = good.withColumn("script", F.explode(F.array(F.col("script"), F.lit(None).cast("string"))))
-    middle = both.groupBy("script").agg(F.count("*").alias("n"), *(F.percentile(c, F.lit(0.5)).alias(f"{c}_mid") for c in FIGURES))
-    joined = both.join(F.broadcast(middle.withColumnRenamed("script", "__script")), F.col("script").eqNullSafe(F.col("__script")))
-    away = joined.groupBy("script", "n", *(f"{c}_mid" for c in FIGURES)).agg(*(F.percentile(F.round(F.abs(F.col(c) - F.col(f"{c}_mid")), 3), F.lit(0.5)).alias(f"{c}_away") for c in FIGURES))
+    middle = good.groupBy("script").agg(*(F.percentile(c, F.lit(0.5)).alias(f"{c}_mid") for c in FIGURES))
+    joined = good.join(F.broadcast(middle), "script")
+    away = joined.groupBy("script", *(f"{c}_mid" for c in FIGURES)).agg(*(F.percentile(F.round(F.abs(F.col(c) - F.col(f"{c}_mid")), 3), F.lit(0.5)).alias(f"{c}_away") for c in FIGURES))
     half = {c: F.greatest(F.lit(least), deviations * F.col(f"{c}_away")) for c, least in FIGURES.items()}
     limits = [f(F.col(f"{c}_mid"), half[c]).alias(f"{c}_{name}") for c in FIGURES for name, f in (("low", lambda m, h: m - h), ("high", lambda m, h: m + h))]
-    return away.filter((F.col("n") >= LEAST_TEXTS) | F.col("script").isNull()).select("script", *limits)
+    return away.select("script", *limits)
 
 
 def judge(docs: DataFrame, files: Vocabularies, id_col: str = "doc_id", text_col: str = "text", deviations: float = DEVIATIONS) -> DataFrame:
@@ -206,14 +201,7 @@ def judge(docs: DataFrame, files: Vocabularies, id_col: str = "doc_id", text_col
     """
     measured = staged(measure(docs, files, id_col, text_col))
     limits = staged(bands(measured, deviations))
-    own, shared = limits.filter("script is not null"), limits.filter("script is null").drop("script")
-
-    def inside(suffix: str) -> Column:
-        checks = [F.col(c).between(F.col(f"{c}_low{suffix}"), F.col(f"{c}_high{suffix}")) for c in FIGURES]
-        return checks[0] & checks[1] & checks[2] & checks[3]
-
-    # At most one row for each Unicode script, under two hundred.
-    shared = shared.select(*(F.col(c).alias(f"{c}_all") for c in shared.columns), F.lit(False).alias("__failed"))
-    joined = measured.join(F.broadcast(own), "script", "left").join(F.broadcast(shared), F.col("base_failed") == F.col("__failed"), "left")
-    verdict = F.when(F.col("base_failed"), F.lit(False)).otherwise(F.coalesce(inside(""), inside("_all"), F.lit(False)))
+    inside = reduce(and_, (F.col(c).between(F.col(f"{c}_low"), F.col(f"{c}_high")) for c in FIGURES))
+    joined = measured.join(F.broadcast(limits), "script", "left")
+    verdict = ~F.col("base_failed") & F.coalesce(inside, F.lit(False))
     return joined.select(*measured.columns, verdict.alias("kept"))

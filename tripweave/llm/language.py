@@ -19,16 +19,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import text_batches, unit_hash
+from tripweave.llm.common import kept_by_worker, ship, text_batches, unit_hash
 from tripweave.llm.words import Grown, WordTable, groups_of, sums
 
 ORDER = 5
 #: Characters of the sample, for each language and for all together.
 SAMPLE_CHARS, SAMPLE_CHARS_ALL = 3_000_000, 60_000_000
-#: Of the sample, this share calibrates the rejection and is not counted.
+#: This share of the sample calibrates the rejection, by models of the rest; the final models count all of the sample.
 CALIBRATION = 0.25
 #: A text is rejected beyond so many standard deviations above the mean cross-entropy of its language.
 REJECT_BEYOND = 8.0
@@ -37,6 +38,8 @@ SYMBOLS = 4096
 #: Confidence: softmax of the cross-entropies times this.
 SHARPNESS = 8.0
 UNKNOWN = "und"
+#: Limits of a language that could not be calibrated.
+REJECTS_NOTHING = (float("inf"), 0.04, 1.0)
 LETTERS = re.compile(r"[^\W\d_]+")
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -177,9 +180,6 @@ class _Scores(WordTable):
         return -all_sums[:, :-1] / np.maximum(n, 1)[:, None], n
 
 
-_SCORES: dict[str, _Scores] = {}
-
-
 @dataclass
 class LanguageModels:
     """What tasks need: names, models and, by language, mean and two parts of the variance of cross-entropies."""
@@ -190,10 +190,7 @@ class LanguageModels:
     limits: np.ndarray
 
     def scores(self) -> _Scores:
-        if self.token not in _SCORES:
-            _SCORES.clear()
-            _SCORES[self.token] = _Scores(self.models)
-        return _SCORES[self.token]
+        return kept_by_worker(("language", self.token), lambda: _Scores(self.models))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, confidence and acceptance."""
@@ -215,8 +212,11 @@ def held_out(id_col: str, parts: int, part: int) -> Column:
 def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_chars: int = SAMPLE_CHARS) -> LanguageModels:
     """Models of the languages that rows of `docs` with `train` and a language name.
 
-    Two passes read the sample: one counts, one calibrates. What is collected is bounded by the sample's characters.
+    Two passes read the sample: one counts, one calibrates. What is collected is bounded by the sample's characters. Every
+    language with a letter in its sample has a model; one without calibrating texts rejects nothing. Texts that are null
+    don't count, texts of one id count as often as they stand; without labelled rows there is no language.
     """
+    ship(docs.sparkSession)
     labelled = docs.filter(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     sizes = labelled.groupBy("lang").agg(F.sum(F.char_length("text")).alias("chars"))
     n_langs = max(1, sizes.count())
@@ -224,34 +224,41 @@ def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
     share = F.least(F.lit(1.0), F.lit(float(bound)) / F.greatest("chars", F.lit(1)))
     draw = unit_hash(F.lit("language"), F.coalesce(F.col("id").cast("string"), F.lit("null")))
     sample = labelled.join(F.broadcast(sizes), "lang").withColumn("draw", draw / share).filter("draw < 1")
-    counting, calibrating = sample.filter(F.col("draw") >= CALIBRATION), sample.filter(F.col("draw") < CALIBRATION)
+    sample = sample.withColumn("apart", F.col("draw") < CALIBRATION)
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         found: Counter = Counter()
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+        for lang, text, apart in zip(*(batch.column(c).to_pylist() for c in ("lang", "text", "apart"))):
             for word, n in Counter(letter_runs(text)).items():
                 padded = " " * (ORDER - 1) + word + " "
                 for i in range(len(word) + 1):
-                    found[lang, padded[i : i + ORDER]] += n
-        langs, grams = zip(*found) if found else ((), ())
-        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(grams, pa.string()), pa.array(found.values(), pa.int64())], names=["lang", "gram", "n"])
+                    found[lang, padded[i : i + ORDER], apart] += n
+        langs, grams, parts = zip(*found) if found else ((), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(grams, pa.string()), pa.array(parts, pa.bool_()), pa.array(found.values(), pa.int64())], names=["lang", "gram", "apart", "n"])
 
-    grams = counting.select("lang", "text").mapInArrow(text_batches(count), "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = sample.select("lang", "text", "apart").mapInArrow(text_batches(count), "lang string, gram string, apart boolean, n long")
+    grams = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("apart"), 0).otherwise(F.col("n"))).alias("rest"))
 
     def model(table: pa.Table) -> pa.Table:
-        table = table.sort_by("gram")
-        fitted = KneserNey.fit(table.column("gram").to_pylist(), table.column("n").to_numpy())
-        return pa.table({"lang": table.column("lang").slice(0, 1), "model": pa.array([pickle.dumps(fitted)], pa.binary())})
-
-    rows = sorted(grams.groupBy("lang").applyInArrow(model, "lang string, model binary").collect())
-    models = LanguageModels(uuid.uuid4().hex, [r.lang for r in rows], [pickle.loads(r.model) for r in rows], np.zeros((len(rows), 3)))
-    models.limits = _calibrated(calibrating, models)
-    models.token = uuid.uuid4().hex
+        fitted = []
+        for column in ("n", "rest"):
+            some = table.filter(pc.greater(table.column(column), 0)).sort_by("gram")
+            fitted.append(pickle.dumps(KneserNey.fit(some.column("gram").to_pylist(), some.column(column).to_numpy())) if some.num_rows else None)
+        return pa.table({"lang": table.column("lang").slice(0, 1), "whole": pa.array(fitted[:1], pa.binary()), "partial": pa.array(fitted[1:], pa.binary())})
+
+    rows = sorted(grams.groupBy("lang").applyInArrow(model, "lang string, whole binary, partial binary").collect())
+    partial = LanguageModels(uuid.uuid4().hex, [r.lang for r in rows if r.partial], [pickle.loads(r.partial) for r in rows if r.partial], np.zeros((0, 3)))
+    limits = _calibrated(sample.filter("apart"), partial)
+    models = LanguageModels(uuid.uuid4().hex, [r.lang for r in rows], [pickle.loads(r.whole) for r in rows], np.zeros((len(rows), 3)))
+    models.limits = np.array([limits.get(r.lang, REJECTS_NOTHING) for r in rows]).reshape(-1, 3)
     return models
 
 
-def _calibrated(calibrating: DataFrame, models: LanguageModels) -> np.ndarray:
-    """Mean cross-entropy by language, and its variance as a constant and a part that falls with the symbols."""
+def _calibrated(calibrating: DataFrame, models: LanguageModels) -> dict[str, tuple[float, float, float]]:
+    """Mean cross-entropy by language, and its variance as a constant and a part that falls with the symbols.
+
+    A language without such texts, as one of very few texts may be, is missing.
+    """
     sent = calibrating.sparkSession.sparkContext.broadcast(models)
 
     def own(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -263,14 +270,12 @@ def _calibrated(calibrating: DataFrame, models: LanguageModels) -> np.ndarray:
 
     found = calibrating.select("lang", "text").mapInArrow(text_batches(own), "lang string, h double, n double")
     rows = found.groupBy("lang").agg(F.sum(F.col("h") * F.col("n")).alias("hn"), F.sum("n").alias("n"), F.sum(F.col("h") * F.col("h") * F.col("n")).alias("hhn"), F.count("*").alias("docs")).collect()
-    by = {r.lang: r for r in rows}
-    out = np.zeros((len(models.languages), 3))
-    for i, lang in enumerate(models.languages):
-        r = by.get(lang)
-        mean = r.hn / r.n if r else 3.0
-        between = max(r.hhn / r.n - mean * mean, 0.0) if r and r.docs > 1 else 0.0
+    out = {}
+    for r in rows:
+        mean = r.hn / r.n
+        between = max(r.hhn / r.n - mean * mean, 0.0) if r.docs > 1 else 0.0
         # Between texts, a deviation of 0.2 nats at least; within a text, about one nat squared a symbol.
-        out[i] = mean, max(between, 0.04), 1.0
+        out[r.lang] = (mean, max(between, 0.04), 1.0)
     return out
 
 
@@ -291,7 +296,11 @@ def identify(docs: DataFrame, models: LanguageModels, id_col: str = "doc_id", te
 
 
 def accepted_rows(docs: DataFrame, models: LanguageModels, text_col: str = "text") -> DataFrame:
-    """The rows of `docs`, columns as they are, whose text is accepted as some language."""
+    """The rows of `docs`, columns as they are, whose text is accepted as some language.
+
+    Null texts and those without a letter are not accepted. Rows are judged one by one, also such that repeat an id or have
+    none; the names of other columns don't matter; a table without rows gives none.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(models)
     at = docs.columns.index(text_col)
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import discard, staged, text_batches
+from tripweave.llm.common import discard, join_counted, ship, staged, text_batches
 from tripweave.llm.words import groups_of
 
 WORDS, PERCENT = 5, 80
@@ -158,17 +158,22 @@ def _met_elsewhere(described: DataFrame) -> DataFrame:
         kept, told = tokens[begins], np.where(many, len(sigs), owner[begins])
         place = (kept >> np.uint64(32)).astype(np.int64) * ranges >> 32
         cuts = np.searchsorted(place, np.arange(ranges + 1))
-        rows = [(r, kept[a:b].tobytes(), told[a:b].astype("<u4").tobytes(), sigs.tobytes(), None) for r, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
-        rows.append((-1 - int(sigs[0] % np.uint64(64)), b"", b"", sigs.tobytes(), settled.astype("<u4").tobytes()))
+        rows = []
+        for r, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            if b > a:  # a range is sent the signatures of its own entries, not those of the batch
+                owners, local = np.unique(told[a:b], return_inverse=True)
+                own = owners[owners < len(sigs)]
+                rows.append((r, kept[a:b].tobytes(), local.astype("<u4").tobytes(), sigs[own].tobytes(), None))
+        some = np.flatnonzero(settled)
+        rows.append((-1 - int(sigs[0] % np.uint64(ranges)), b"", b"", sigs[some].tobytes(), settled[some].astype("<u4").tobytes()))
         types = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
         return [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["range", "tokens", "told", "sigs", "settled"])]
 
     def meet(table: pa.Table) -> pa.Table:
         sigs = [np.frombuffer(s, np.uint64) for s in table.column("sigs").to_pylist()]
         if table.column("range")[0].as_py() < 0:
-            halves = np.concatenate(sigs)
             counts = np.concatenate([np.frombuffer(s, "<u4") for s in table.column("settled").to_pylist()]).astype(np.int64)
-            return pa.table({"half": halves[counts > 0].view(np.int64), "n": counts[counts > 0]})
+            return pa.table({"half": np.concatenate(sigs).view(np.int64), "n": counts})
         tokens = np.concatenate([np.frombuffer(t, np.uint64) for t in table.column("tokens").to_pylist()])
         # Entries without an owner stand for several classes.
         own = [np.append(s, np.uint64(0))[np.frombuffer(t, "<u4")] for s, t in zip(sigs, table.column("told").to_pylist())]
@@ -413,6 +418,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Further columns don't matter; a table without rows gives none.
     """
     spark = docs.sparkSession
+    ship(spark)
     described = staged(_described(docs, id_col, text_col))
     half = F.col("half")
     halves = described.filter("sig is not null").select(_half(F.col("sig")).alias("half"), "n").distinct()
@@ -424,42 +430,50 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     meetings = staged(_meetings(shared))
     edges = staged(_met_in_groups(classes, meetings, counters))
     discard(alive, postings)
-    more = staged(_verified(classes, _not_met(shared, meetings, connected(edges)), counters))
-    discard(shared, meetings)
+    # Staged, so that few pairs are seen to be few and the sets need no exchange for them.
+    pairs = staged(_not_met(shared, meetings, connected(edges)))
+    more = staged(_verified(classes, pairs, counters))
+    discard(shared, meetings, pairs)
     parts = connected(edges.union(more))
-    named = classes.join(parts.withColumnRenamed("node", "rid"), "rid").select("sig", "part")
-    key = F.coalesce(F.col("part").cast("string"), F.hex("sig"))
-    rows = staged(described.drop("first").join(named, "sig", "left").select("doc_id", F.col("n").alias("n_shingles"), key.alias("key")))
-    discard(described, classes, edges, more)
-    smallest = rows.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("low"), F.count("*").alias("m")).filter("m > 1")
-    return rows.join(smallest, "key", "left").select("doc_id", "n_shingles", F.when(F.col("m").isNull(), F.col("doc_id")).otherwise(F.col("low")).alias("component_id"))
+    # A row for each class of several rows or links, with its smallest id and its rows.
+    own = described.filter("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("low"), F.count("*").alias("m"))
+    named = classes.select("rid", "sig").join(parts.withColumnRenamed("node", "rid"), "rid").select("sig", "part")
+    known = staged(own.join(named, "sig", "left").filter("m > 1 or part is not null"))
+    # As many rows as classes that link with others; one part may hold many of them, but not more than different texts.
+    linked = known.filter("part is not null")
+    lows = linked.groupBy("part").agg(F.min("low").alias("least"), F.count("*").alias("classes"))
+    table = join_counted(linked, lows, "part", "classes").select("sig", "m", F.col("least").alias("low")).unionByName(known.filter("part is null").select("sig", "m", "low"))
+    table = staged(table.withColumn("repeated", F.lit(True)))
+    rows = join_counted(described.select("doc_id", "n", "sig"), table, "sig", "m")
+    discard(classes, edges, more, known)
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("repeated"), F.col("low")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs`, columns as they are, without those that a row with a smaller id stands for.
 
     Of each component the row with the smallest id stays. Where ids repeat or are null, rows are numbered and the smallest
-    number stays.
+    number stays. Null texts and texts without words stay; a table without rows gives none; texts are compared whole, and
+    columns may have any names.
     """
-    columns = docs.columns
-    if not docs.groupBy(id_col).count().filter((F.col("count") > 1) | F.col(id_col).isNull()).isEmpty():
-        docs, id_col = staged(docs.withColumn("__row_number", F.monotonically_increasing_id())), "__row_number"
-    found = components(docs, id_col, text_col).filter("doc_id != component_id").select("doc_id")
+    # The row travels as one struct, so that its columns' names don't matter.
+    rows = docs.select(F.col(id_col).cast("long").alias("uid"), F.col(text_col).alias("text"), F.struct("*").alias("row"))
+    if not rows.groupBy("uid").count().filter("count > 1 or uid is null").isEmpty():
+        rows = staged(rows.withColumn("uid", F.monotonically_increasing_id()))
+    found = components(rows, "uid", "text").filter("doc_id != component_id").select("doc_id")
     dropped = staged(found.withColumn("half", F.xxhash64("doc_id")))
     named = docs.sparkSession.sparkContext.broadcast(_named_by(dropped, "half"))
     # Most rows stay, and the filter tells so without an exchange of texts; those that it names are looked up.
-    rows = docs.select(F.xxhash64(F.col(id_col).cast("long")).alias("__half"), *(F.col(f"`{c}`") for c in docs.columns))
+    whole = rows.select(F.xxhash64("uid").alias("half"), "uid", "row")
 
     def part(wanted: bool):
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            passes = _passes(named.value, batch.column(0).to_numpy().view(np.uint64))
-            return batch.filter(pa.array(passes == wanted)).select(batch.schema.names[1:])
+            return batch.filter(pa.array(_passes(named.value, batch.column(0).to_numpy().view(np.uint64)) == wanted))
 
-        return rows.mapInArrow(text_batches(run), docs.schema)
+        return whole.mapInArrow(text_batches(run), whole.schema)
 
-    looked_up = part(True)
-    looked_up = looked_up.join(dropped.select(F.col("doc_id").alias("__dropped")), F.col(id_col) == F.col("__dropped"), "left_anti")
-    return part(False).union(looked_up).select(*(F.col(f"`{c}`") for c in columns))
+    looked_up = part(True).join(dropped.select("doc_id"), F.col("uid") == F.col("doc_id"), "left_anti")
+    return part(False).select("row.*").union(looked_up.select("row.*"))
 
 
 def _half(sig: Column) -> Column:

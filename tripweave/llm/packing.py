@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import blank, staged, text_batches
+from tripweave.llm.common import blank, ship, staged, text_batches
 from tripweave.llm.tokens import encoder
 
 #: Pieces packed together in one task, on average: some 100 bytes each.
@@ -139,6 +139,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id
     offset). A null or empty text is one piece, its end id. Each of several rows with one id is packed. Null ids stay
     null. Other columns of `docs` are not looked at. A table without rows gives no pieces.
     """
+    ship(docs.sparkSession)
     pieces = staged(cut_into_pieces(docs, tokenizer, capacity, end_id, id_col, text_col))
     return pieces, place(pieces.drop("ids"), capacity, group_pieces)
 

@@ -29,7 +29,7 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, path = read_table(spark, sf_dir, "documents"), scratch_dir(spark)
     token_store.write_store(docs, path, vocabulary("word_bpe_49k.json"), end_id=2)
     read = token_store.read_store(spark, path, docs)
-    return read.select(F.col("key").cast("long").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return read.select(F.col("key").try_cast("long").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def op2_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

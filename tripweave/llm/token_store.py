@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import blank, filesystem
+from tripweave.llm.common import blank, filesystem, ship
 from tripweave.llm.perfect_hash import PerfectHash
 from tripweave.llm.tokens import encoder
 
@@ -47,7 +47,9 @@ PARTS = "part long, n_parts long, file string, n_keys long"
 
 
 def _key(id_col: str) -> Column:
-    return F.coalesce(F.col(id_col).cast("string"), F.lit(NULL_KEY))
+    """An id as text; null is NULL_KEY, and ids that begin like it get one more, so that no two ids share a key."""
+    text = F.col(id_col).cast("string")
+    return F.coalesce(F.when(text.startswith(NULL_KEY), F.concat(F.lit(NULL_KEY), text)).otherwise(text), F.lit(NULL_KEY))
 
 
 def _hashes(key: Column) -> tuple[Column, Column]:
@@ -57,6 +59,7 @@ def _hashes(key: Column) -> tuple[Column, Column]:
 def key_hashes(key: object) -> tuple[int, int]:
     """The two hashes of one key, as Spark's xxhash64 has them."""
     raw = NULL_KEY.encode() if key is None else str(key).encode()
+    raw = NULL_KEY.encode() + raw if key is not None and raw.startswith(NULL_KEY.encode()) else raw
     return xxhash.xxh64_intdigest(raw, 42), xxhash.xxh64_intdigest(raw + b"\x01", 42)
 
 
@@ -102,6 +105,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int | None =
     both sides of a range's border.
     """
     spark = docs.sparkSession
+    ship(spark)
     tail = b"" if end_id is None else np.array([end_id], dtype).tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +129,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int | None =
 
     # A row for each shard: as few as there are files of SHARD_IDS ids or tasks.
     shards = entries.groupBy("file").agg(F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("n_docs"))
-    order = Window.orderBy("file")
+    order = Window.orderBy(F.split("file", "-")[0].cast("long"), "file")
     shards = shards.select((F.row_number().over(order) - 1).alias("shard"), "file", "n_tokens", "n_docs", (F.sum("n_tokens").over(order) - F.col("n_tokens")).alias("first"))
     shards.write.parquet(f"{path}/manifest")
     manifest = spark.read.schema(shards.schema).parquet(f"{path}/manifest")
@@ -205,7 +209,7 @@ def read_store(spark: SparkSession, path: str, keys: DataFrame, id_col: str = "d
     """The documents of `keys`, read from the shards by way of the index.
 
     A row for each stored document: key, start (ids of all documents before it), n_tokens, ids (binary, unsigned
-    little-endian 32-bit). Keys that the store lacks give no row, a key asked for twice gives its documents once.
+    little-endian 32-bit). A key is the id as text, as `_key` gives it. Keys that the store lacks give no row, a key asked for twice gives its documents once.
     """
     manifest = spark.read.parquet(f"{path}/manifest")
     found = lookup(spark, path, keys, id_col)

@@ -16,12 +16,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from tripweave.llm.common import single_threaded
+from tripweave.llm.common import kept_by_worker, single_threaded
 
 #: Texts are encoded in groups of so many bytes.
-GROUP_BYTES = 10 << 20
+GROUP_BYTES = 4 << 20
 #: Pieces that a worker remembers with their ids (some 40 bytes each); later ones are encoded in each group anew.
-REMEMBERED = 700_000
+REMEMBERED = 300_000
 CUT = "\x1f"
 #: What any Unicode version or Python counts as white space.
 SPACE_SET = r"\t-\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}"
@@ -104,12 +104,6 @@ class WordEncoder:
         return joined, all_starts[place], all_lengths[place]
 
 
-_ENCODERS: dict[tuple, WordEncoder] = {}
-
-
 def encoder(path: str, spaced: bool, dtype: str) -> WordEncoder:
     """The worker's encoder for these settings, kept from task to task."""
-    key = (path, spaced, dtype)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = WordEncoder(*key)
-    return _ENCODERS[key]
+    return kept_by_worker(("tokens", path, spaced, dtype), lambda: WordEncoder(path, spaced, dtype))

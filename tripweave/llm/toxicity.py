@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import text_batches, unit_hash
+from tripweave.llm.common import kept_by_worker, text_batches, unit_hash
 from tripweave.llm.words import Grown, WordTable, groups_of
 
 SAMPLE_DOCS, SAMPLE_CHARS = 10_000, 16_000_000
@@ -63,13 +63,8 @@ def _squeezed(hashes: np.ndarray) -> np.ndarray:
     return (((hashes ^ (hashes >> np.uint64(29))) * ODD[2] >> np.uint64(20)) & MASK).astype(np.int64)
 
 
-_HASHES: list[_Hashes] = []
-
-
 def _hashes() -> _Hashes:
-    if not _HASHES:
-        _HASHES.append(_Hashes())
-    return _HASHES[0]
+    return kept_by_worker("toxicity", _Hashes)
 
 
 def distinct_features(texts: list[str | None]) -> list[np.ndarray]:
