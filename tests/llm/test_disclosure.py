@@ -38,7 +38,7 @@ def test_words_that_give_an_entity_away(spark, docs_of):
     fillers = ["nobody came that day", "weather stayed fine and warm", "people talk about many things", "music played outside again", "rivers flow past villages", "trains leave early mornings"]
     rows = [(i, f"{fillers[i % 6]} nothing else {i}") for i in range(60)]
     rows += [(100 + i, f"{fillers[i]} Zorbulon wrote from z@mail.org about {fillers[5 - i]}") for i in range(5)]
-    rows += [(200 + i, "one passage Quibble pasted q@mail.org everywhere") for i in range(9)]  # copies prove nothing
+    rows += [(200 + i, "one passage Quibble pasted q@mail.org everywhere") for i in range(9)]  # copies are one observation
     rows += [(300, None), (301, ""), (None, "call +49 30 1234567"), (302, "x@y.de"), (302, "x@y.de"), (303, "long text " * 30_000 + "4111 1111 1111 1111")]
     found = D.find(docs_of(rows)).collect()
     assert len(found) == len(rows)
@@ -48,7 +48,11 @@ def test_words_that_give_an_entity_away(spark, docs_of):
         assert r.spans.startswith(r.base_spans)
         terms = [texts[r.doc_id][int(a) : int(b)].lower() for k, a, b in (s.split(":") for s in r.spans.split(",") if s) if k in ("remove", "generalise")]
         assert len(terms) == r.n_remove + r.n_generalise
-        assert ("zorbulon" in terms) == (r.doc_id in range(100, 105)) and "quibble" not in terms and "weather" not in terms
+        assert ("zorbulon" in terms) == (r.doc_id in range(100, 105)) and "weather" not in terms
+        if r.doc_id in range(200, 209):
+            assert "quibble" in terms and r.n_remove == 0
+        if r.doc_id in range(100, 105):
+            assert r.n_remove >= 1
         if r.doc_id == 101:
             assert "z@mail.org" not in D.sanitised(texts[101], r.spans) and "Zorbulon" not in D.sanitised(texts[101], r.spans)
     assert D.find(docs_of(rows).limit(0)).collect() == []
@@ -85,3 +89,53 @@ def test_hashes_of_more_words_than_the_arrays_hold_at_first():
 def test_sanitised_rows(spark):
     rows = spark.createDataFrame([("mail a@b.de now", "email:5:11"), (None, None)], "text string, spans string")
     assert [r.text for r in D.sanitise(rows).collect()] == ["mail [EMAIL] now", ""]
+
+
+def brute_spans(rows, generalise=0.5, remove=0.8):
+    """Added spans by row number, from sets of texts."""
+    texts = {t or "" for _, t in rows}
+    words_of, entities = {}, {}
+    for t in texts:
+        spans = [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in plain(t).split(",") if x)]
+        clear = "".join(" " if any(a <= i < b for _, a, b in spans) else c for i, c in enumerate(t))
+        words_of[t] = [(m.group().lower(), *m.span()) for m in re.finditer(r"[^\W\d_]{3,}", clear)]
+        for k, a, b in spans:
+            value = t[a:b].lower() if k in ("email", "ip") else re.sub("[^0-9]", "", t[a:b])
+            entities.setdefault((k, value), set()).add(t)
+    holding = {}
+    for t, words in words_of.items():
+        for w, *_ in words:
+            holding.setdefault(w, set()).add(t)
+
+    def share(k, n):
+        centre, spread = (k + 0.5) / (n + 1), (k * (n - k) / n + 0.25) ** 0.5 / (n + 1)
+        return centre - spread
+
+    most = {w: max((share(len(own & e), len(own)) for e in entities.values()), default=0) for w, own in holding.items()}
+    out = []
+    for doc_id, t in rows:
+        more = [("remove" if most[w] >= remove - 1e-12 else "generalise", a, b) for w, a, b in words_of[t or ""] if most[w] >= generalise - 1e-12]
+        out.append((doc_id, ",".join([x for x in [plain(t)] if x] + [f"{k}:{a}:{b}" for k, a, b in sorted(more)])))
+    return sorted(out, key=str)
+
+
+def test_added_spans_as_brute_force_and_alike_in_a_larger_table(spark, docs_of, monkeypatch):
+    rng = random.Random(6)
+    people = [(f"Name{chr(97 + i)}qu", f"p{i}@mail.org") for i in range(9)]
+    common = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(120)]
+    rows = []
+    for i in range(260):
+        words = rng.choices(common, k=rng.randint(0, 25))
+        for name, address in rng.sample(people, rng.choice([0, 0, 0, 1, 2])):
+            words += [name.replace("Name", "Nameß")] * rng.randint(0, 2) + [address] * (rng.random() < 0.8)
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+    rows += [(300 + i, f"solo{chr(97 + i)}xyz {common[i]} one{i}@mail.org") for i in range(9)] + [(400, "list of " + " ".join(f"l{i}@mail.org" for i in range(300)))]
+    rows += [(i, rows[i][1]) for i in range(20)] + [(None, None), (500, "")]
+    wanted = brute_spans(rows)
+    assert any("remove" in spans for _, spans in wanted)
+    more = [(10_000 + i, f"unrelated talk number {i}") for i in range(1500)]
+    for bits, table in ((30, rows), (10, rows), (30, rows + more)):
+        monkeypatch.setattr(D, "FILTER_LOG2", bits)
+        found = [(r.doc_id, r.spans) for r in D.find(docs_of(table)).collect() if r.doc_id is None or r.doc_id < 10_000]
+        assert sorted(found, key=str) == wanted

@@ -1,16 +1,19 @@
 """Personal data in texts: fixed patterns, and words that give a protected value away.
 
-Protected entities are the values that the patterns find. How strongly a word reveals one is estimated over the corpus: the
-pointwise mutual information of word and entity, standing anywhere in one text, as a part of the entity's information content.
-It is near 1 where the word never stands in a text without the entity. Words beyond a threshold for some entity are
-generalised, beyond a higher one removed, at every place in every text. Exact copies of a text are one observation, and the
-share of the word's observations that have the entity is smoothed by SMOOTHING more without it: few observations count for
-less, but none is left out.
-
-Texts are read twice. The first pass takes the entities and distinct words of texts that hold entities; a word's count over
-these texts alone bounds its disclosure from above. The second pass takes the places of words that may reach the threshold, and
-from these come their exact counts. What workers get to tell such words is a filter of FILTER_BITS for each of them; what it
-lets through besides is dropped by the joins. Nothing else is collected but the number of texts.
+Protected entities are the values that the patterns find. How strongly a word reveals one is estimated from the corpus: of the
+texts that hold the word, the share that hold the entity too, anywhere in the text. The share is the chance to name the entity
+for someone who knows the word, and minus its binary logarithm the information that the entity has left. What counts is the
+lower end of Wilson's interval for it, so that few texts prove little: a word is generalised if at most one bit is left for some
+entity (one text of one; eleven of thirteen), and removed if at most a third of a bit is (four of four). The rule depends on
+the texts with the word alone, not on the size of the corpus: further texts without it change nothing. Exact copies of a
+text are one observation. Words are marked at every place in every text.
+
+Texts are read three times. The first pass takes the entities and distinct words of texts that hold entities. Entities with the
+same texts are one (a list of ten thousand addresses is one entity), and a word's texts among these alone bound its share from
+above. The second pass bounds the number of texts of the words that are left, each batch by itself first; for a word of a single
+text the bound is exact. The third takes the places of the few words that may still reach the threshold, and from these come
+their exact counts. What workers get to tell such words is a filter of FILTER_BITS for each of them, 2 ** FILTER_LOG2 bits at
+most; what it lets through besides is dropped by the joins.
 """
 
 from __future__ import annotations
@@ -25,16 +28,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import blank, discard, give_back, kept_by_worker, staged, text_batches
+from tripweave.llm.common import blank, discard, give_back, join_counted, kept_by_worker, ship, staged, text_batches
 from tripweave.llm.words import Grown, WordTable, groups_of
 
 KINDS = ("email", "ip", "card", "phone")
 #: Disclosure from which a word is generalised, and from which it is removed.
-GENERALISE, REMOVE = 0.8, 0.95
-#: Observations added to a word's own, with the entity as often as in the whole corpus.
-SMOOTHING = 2.0
-#: Least bits of the filter for each word in it, and the bits that a word sets.
-FILTER_BITS, FILTER_PROBES = 16, 4
+GENERALISE, REMOVE = 0.5, 0.8
+#: Least bits of the filter for each word in it, the bits that a word sets, and the most bits of all.
+FILTER_BITS, FILTER_PROBES, FILTER_LOG2 = 16, 4, 30
 AFTER_AT = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 #: A number begins where no digit stands before: a match from within one would have begun earlier.
@@ -140,7 +141,7 @@ def _bits(hashes: np.ndarray, size: int) -> list[np.ndarray]:
 
 def _filter(terms: DataFrame) -> np.ndarray:
     """Filter of the distinct hashes in `terms`, as bytes of eight bits."""
-    size = 1 << max(10, (FILTER_BITS * terms.count() - 1).bit_length())
+    size = 1 << min(max(10, (FILTER_BITS * terms.count() - 1).bit_length()), FILTER_LOG2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,6 +188,44 @@ def _held(texts: DataFrame) -> DataFrame:
     return texts.select("text", "hash").mapInArrow(text_batches(run), HELD)
 
 
+def _held_by(bits: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Whether the filter holds these hashes."""
+    if not len(own):
+        return np.zeros(0, bool)
+    return np.logical_and.reduce([bits[p >> 3] >> (p & 7) & 1 for p in _bits(own, 8 * len(bits))]).astype(bool)
+
+
+def _bounded(texts: DataFrame, bits: np.ndarray) -> DataFrame:
+    """(term, least): of words that the filter holds, a number of different texts that is not above the word's own.
+
+    Two if texts of two kinds hold it at all, or as many as one batch has.
+    """
+    sent = texts.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
+        texts, hashes, out = batch.column("text").to_pylist(), batch.column("hash").to_numpy(), []
+        for part in groups_of(texts):
+            lists = [WORD.findall(outside(t, base_spans(t))) for t in texts[part]]
+            terms = _words().terms([w for words in lists for w in words])
+            own, at = np.unique(terms, return_inverse=True)
+            wanted = _held_by(sent.value, own)[at]
+            text = np.repeat(hashes[part], [len(words) for words in lists])[wanted]
+            term = terms[wanted]
+            order = np.lexsort((text, term))
+            term, text = term[order], text[order]
+            if len(term):
+                begins = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]]))
+                fresh = np.concatenate([[True], (term[1:] != term[:-1]) | (text[1:] != text[:-1])])
+                last = np.append(begins[1:], len(term)) - 1
+                columns = [term[begins], text[begins], text[last], np.add.reduceat(fresh.astype(np.int64), begins)]
+                out.append(pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["term", "low", "high", "some"]))
+        return out
+
+    found = texts.select("text", "hash").mapInArrow(text_batches(run), "term long, low long, high long, some long")
+    least = F.greatest(F.max("some"), F.when(F.min("low") < F.max("high"), 2).otherwise(1))
+    return found.groupBy("term").agg(least.alias("least"))
+
+
 def _found(texts: DataFrame, bits: np.ndarray) -> DataFrame:
     """Rows of two parts: `text` (base spans) and `place` (by text and word all places, of words that the filter holds)."""
     sent = texts.sparkSession.sparkContext.broadcast(bits)
@@ -210,8 +249,7 @@ def _found(texts: DataFrame, bits: np.ndarray) -> DataFrame:
                 lists = [WORD.findall(t) for t in clear]
                 terms = _words().terms([w for words in lists for w in words])
                 own, at = np.unique(terms, return_inverse=True)
-                places = _bits(own, 8 * len(bits))
-                wanted = np.logical_and.reduce([bits[p >> 3] >> (p & 7) & 1 for p in places])[at].astype(bool) if len(own) else at.astype(bool)
+                wanted = _held_by(bits, own)[at]
                 out: dict[str, list] = {c: [] for c in ("part", "uid", "text", "term", "first", "last")}
                 start = 0
                 for i, (text, words) in enumerate(zip(clear, lists), part.start):
@@ -232,30 +270,30 @@ def _found(texts: DataFrame, bits: np.ndarray) -> DataFrame:
     return texts.mapInArrow(run, FOUND)
 
 
-def _disclosure(n: Column, both: Column, of_term: Column, of_entity: Column) -> Column:
-    """Smoothed mutual information of a word and an entity as a part of the entity's information; null where it has none."""
-    alone = of_entity / n
-    return F.when(alone < 1, F.log2((both + SMOOTHING * alone) / (of_term + SMOOTHING) / alone) / -F.log2(alone))
+def lower_share(both: Column, texts: Column) -> Column:
+    """The lower end of Wilson's interval of one standard error for `both` of so many texts."""
+    return (2 * both + 1 - F.sqrt(1 + 4.0 * both * (texts - both) / texts)) / (2.0 * (texts + 1))
 
 
 def candidates(held: DataFrame, threshold: float) -> DataFrame:
-    """(entity, term, of_both, of_entity, n_texts) of pairs that reach the threshold where no text without entities has the term."""
-    n_texts = held.filter("part = 'text'").select("text").distinct().count()
+    """(entity, term, of_both) of pairs that reach the threshold where no text without entities has the term."""
     entities = held.filter("part = 'entity'").select("text", "entity").distinct()
+    # Entities that the same texts hold are one: told by number, sum and parity of two hashes of the texts.
+    far = F.xxhash64("text")
+    whole = entities.groupBy("entity").agg(F.count("*").alias("n"), F.sum(F.shiftright("text", 8)).alias("sum"), F.expr("bit_xor(text)").alias("xor"), F.sum(F.shiftright(far, 8)).alias("far"))
+    names = whole.select("entity", F.sha2(F.concat_ws(":", "n", "sum", "xor", "far"), 256).alias("same"))
+    entities = entities.join(names, "entity").select("text", F.col("same").alias("entity")).distinct()
     terms = held.filter("part = 'term'").select("text", "term").distinct()
     both = entities.join(terms, "text").groupBy("entity", "term").agg(F.count("*").alias("of_both"))
-    of_entity = entities.groupBy("entity").agg(F.count("*").alias("of_entity"))
     least = terms.groupBy("term").agg(F.count("*").alias("least"))
-    joined = both.join(of_entity, "entity").join(least, "term").withColumn("n_texts", F.lit(float(n_texts)))
-    reach = _disclosure(F.col("n_texts"), F.col("of_both"), F.col("least"), F.col("of_entity"))
-    return joined.filter(reach >= threshold).select("entity", "term", "of_both", "of_entity", "n_texts")
+    return both.join(least, "term").filter(lower_share(F.col("of_both"), F.col("least")) >= threshold).select("entity", "term", "of_both")
 
 
 def disclosing(pairs: DataFrame, places: DataFrame) -> DataFrame:
-    """(entity, term, disclosure) of the candidates, by the different texts that hold the term."""
-    of_term = places.select("term", "text").distinct().groupBy("term").agg(F.count("*").alias("of_term"))
-    disclosure = _disclosure(F.col("n_texts"), F.col("of_both"), F.col("of_term"), F.col("of_entity"))
-    return pairs.join(of_term, "term").select("entity", "term", disclosure.alias("disclosure"))
+    """(term, disclosure, n_places) of the candidates, by the different texts that hold the term; the most for any entity."""
+    of_term = places.groupBy("term", "text").agg(F.count("*").alias("n")).groupBy("term").agg(F.count("*").alias("of_term"), F.sum("n").alias("n_places"))
+    disclosure = F.max(lower_share(F.col("of_both"), F.col("of_term"))).alias("disclosure")
+    return pairs.join(of_term, "term").groupBy("term", "n_places").agg(disclosure)
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
@@ -266,16 +304,20 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", genera
     A null text counts as empty and has no spans. Rows that repeat an id are looked through one by one; further columns
     don't matter; a table without rows gives none.
     """
+    ship(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), blank(F.col(text_col)).alias("text")).withColumn("hash", F.xxhash64("text"))
     held = staged(_held(texts), "part")
-    pairs = staged(candidates(held, generalise))
+    wide = staged(candidates(held, generalise))
     discard(held)
+    bounds = _bounded(texts, _filter(wide.select("term").distinct()))
+    pairs = staged(wide.join(bounds, "term").filter(lower_share(F.col("of_both"), F.greatest("least", "of_both")) >= generalise).drop("least"))
+    discard(wide)
     read = staged(_found(texts, _filter(pairs.select("term").distinct())), "part")
     base, places = (read.filter(F.col("part") == p) for p in ("text", "place"))
-    terms = disclosing(pairs, places).groupBy("term").agg(F.max("disclosure").alias("disclosure")).filter(F.col("disclosure") >= generalise)
-    terms = terms.select("term", F.when(F.col("disclosure") >= remove, "remove").otherwise("generalise").alias("kind"))
+    terms = disclosing(pairs, places).filter(F.col("disclosure") >= generalise)
+    terms = terms.select("term", "n_places", F.when(F.col("disclosure") >= remove, "remove").otherwise("generalise").alias("kind"))
     each = F.transform(F.arrays_zip("first", "last"), lambda p: F.struct(F.col("kind"), p["first"].alias("first"), p["last"].alias("last")))
-    marked = places.select("uid", "term", "first", "last").join(terms, "term").select("uid", each.alias("some"))
+    marked = join_counted(places.select("uid", "term", "first", "last"), terms, "term", "n_places").filter("kind is not null").select("uid", each.alias("some"))
     listed = marked.groupBy("uid").agg(F.sort_array(F.flatten(F.collect_list("some"))).alias("more"))  # within one text
     joined = base.join(listed, "uid", "left")
     more = F.array_join(F.transform(F.col("more"), lambda s: F.concat_ws(":", s["kind"], s["first"], s["last"])), ",")
