@@ -1,6 +1,8 @@
 import random
 import re
 
+import duckdb
+
 from tripweave.llm import licenses as L
 
 
@@ -48,3 +50,22 @@ def test_as_brute_force(spark, docs_of):
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels) == (n_words, n_base, first, last, base, labels)
         assert abs(r.score - score) < 1e-9
     assert L.scan(docs_of(rows).limit(0)).collect() == []
+    documents = docs_of([r for r in rows if r[0] != 903]).select("doc_id", "text").toArrow()  # noqa: F841
+    by_sql = duckdb.sql(L.scan_sql()).fetchall()  # slow over very long texts
+    assert sorted(map(str, by_sql)) == sorted(str(tuple(r)) for r in found if r.doc_id != 903)
+
+
+def test_notices_over_line_ends(spark, docs_of):
+    rows = [
+        (1, "Licensed under CC\nBY-NC 4.0."),
+        (2, "Licensed under CC BY-NC 4.0."),
+        (3, "Some words.\nReleased under\n  the MIT\nLicense. More words"),
+        (4, "licensed\n\nunder cc\n \nby nc 4 0"),
+        (5, "This is free and unencumbered software\nreleased into the public domain."),
+        (6, "If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ]
+    found = {r.doc_id: r for r in L.scan(docs_of(rows)).collect()}
+    assert [found[i].labels for i in range(1, 7)] == ["cc", "cc", "mit", "", "unlicense", "mpl"]
+    assert found[1].score == found[2].score == 1.0 and found[4].score == 0.0
+    for r in found.values():
+        assert (r.labels, round(r.score, 9)) == (brute(dict(rows)[r.doc_id])[5], round(brute(dict(rows)[r.doc_id])[6], 9))

@@ -1,7 +1,8 @@
 """Scan for licence notices: phrases, and an exact set-similarity join of text blocks with templates.
 
-A block is a run of non-blank lines. A block meets a template when it holds at least THRESHOLD of the template's distinct
-words. The join follows the prefix filter: words in the order of their frequency in the corpus, rarest first; a block that
+A block is a sentence, which may go over line ends but not over a blank line; for templates of at least PARAGRAPH_WORDS distinct
+words a whole run of non-blank lines is a block too. A block meets a template when it holds at least THRESHOLD of the
+template's distinct words. The join follows the prefix filter: words in the order of their frequency in the corpus, rarest first; a block that
 meets a template must hold one of the template's rarest words, as many as may be missing and one more. Of blocks with such a
 word, length and position bound what can still be shared before anything is counted. No block is missed.
 
@@ -20,36 +21,62 @@ from tripweave.llm.common import blank, staged
 #: The phrases whose places are counted, with their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 THRESHOLD = 0.8
-#: Templates by label: short public notices and the opening grants of licences.
+#: Templates by label, short public notices and passages of public licences, as words.
 TEMPLATES = {
     "mit": (
         "released under the mit license",
         "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
         "documentation files to deal in the software without restriction including without limitation the rights to use copy "
         "modify merge publish distribute sublicense and or sell copies of the software",
+        "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties "
+        "of merchantability fitness for a particular purpose and noninfringement",
     ),
     "apache": (
         "licensed under the apache license version 2 0",
         "licensed under the apache license version 2 0 you may not use this file except in compliance with the license you may "
         "obtain a copy of the license at http www apache org licenses license 2 0",
+        "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is "
+        "basis without warranties or conditions of any kind either express or implied",
     ),
     "gpl": (
         "this work is licensed under the gnu general public license version 3",
         "this program is free software you can redistribute it and or modify it under the terms of the gnu general public "
         "license as published by the free software foundation",
+        "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of "
+        "merchantability or fitness for a particular purpose",
+    ),
+    "lgpl": (
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public "
+        "license as published by the free software foundation",
+    ),
+    "agpl": ("licensed under the gnu affero general public license version 3",),
+    "mpl": (
+        "this source code form is subject to the terms of the mozilla public license v 2 0",
+        "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0",
+    ),
+    "isc": (
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided "
+        "that the above copyright notice and this permission notice appear in all copies",
+    ),
+    "unlicense": ("this is free and unencumbered software released into the public domain",),
+    "zlib": (
+        "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and "
+        "redistribute it freely subject to the following restrictions",
     ),
     "bsd": (
         "redistribution and use in source and binary forms with or without modification are permitted provided that the "
         "following conditions are met",
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+        "from this software without specific prior written permission",
     ),
     "cc": ("licensed under cc by nc 4 0", "this work is licensed under a creative commons attribution 4 0 international license"),
 }
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: What divides a text into sentences, and into paragraphs.
-SENTENCE_END = r"\n|[.!?][ \t-\r]"
+#: What divides a text into paragraphs, and into sentences.
 PARAGRAPH_END = r"\n[ \t-\r]*\n"
-#: Templates with fewer distinct words are looked for in sentences alone: a long paragraph may hold so few by chance.
+SENTENCE_END = rf"{PARAGRAPH_END}|[.!?][ \t-\r]"
+#: Templates with fewer distinct words are looked for in sentences: many sentences together may hold so few words by chance.
 PARAGRAPH_WORDS = 12
 
 
@@ -176,13 +203,8 @@ place AS (SELECT uid, label, unnest(list_filter(range(0, len(words) - len(parts)
 based AS (SELECT uid, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS base FROM place GROUP BY uid),
 template(label, parts) AS (VALUES {values}),
 block AS (
-  SELECT uid, 0 AS kind, unnest(regexp_split_to_array(text, '
-|[.!?][ 	-
-]')) AS block FROM doc
-  UNION ALL SELECT uid, 1, unnest(regexp_split_to_array(text, '
-[ 	-
-]*
-')) FROM doc),
+  SELECT uid, 0 AS kind, unnest(regexp_split_to_array(text, '{SENTENCE_END}')) AS block FROM doc
+  UNION ALL SELECT uid, 1, unnest(regexp_split_to_array(text, '{PARAGRAPH_END}')) FROM doc),
 bag AS (SELECT DISTINCT uid, kind, list_distinct(regexp_split_to_array(block, '{NOT_WORD}')) AS words FROM block),
 met AS (SELECT uid, label, len(list_intersect(words, parts)) / len(parts) AS share FROM bag JOIN template
   ON list_has_any(words, parts) AND (kind = 0 OR len(parts) >= {PARAGRAPH_WORDS}) WHERE len(list_intersect(words, parts)) >= {THRESHOLD} * len(parts) - 1e-9),
