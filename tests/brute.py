@@ -9,7 +9,6 @@ from itertools import groupby
 import pandas as pd
 
 from tripweave import profiles as P
-from tripweave.streaming.machine import VehicleFold
 
 EPOCH = datetime(1970, 1, 1)
 # Short names of the columns that test rows set.
@@ -61,61 +60,113 @@ def lane_rows(telemetry_df):
     return lanes(telemetry_df).orderBy("vin", "t", "tie").collect()
 
 
+def trips_as_lists(rows, profile):
+    """Each vehicle's trips as lists of (row, counts twice), with the row that ends the trip, if any.
+
+    Rows that switch on divide a vehicle's rows into parts. A part is active up to its first row that switches off, or
+    to the first long silence. Parts belong together unless a silence, or too long a time off, lies between.
+    """
+    for vin, group in groupby(rows, key=lambda r: r.vin):
+        group = list(group)
+        heads = [i for i, r in enumerate(group) if r.is_on]
+        trip, before = [], None
+        for head, after in zip(heads, [*heads[1:], len(group)]):
+            part = group[head:after]
+            silent = next((i for i in range(1, len(part)) if part[i].t - part[i - 1].t > profile.gap_us), len(part))
+            active = part[: next((i + 1 for i, r in enumerate(part[:silent]) if r.is_off), silent)]
+            hung = active[-1].is_off
+            goes_on = before is not None and before[0] and not (before[1] and part[0].t - before[2] > profile.hang_us)
+            if trip and not goes_on:
+                yield vin, trip, before[3] or part[0]
+                trip = []
+            doubled = not trip or before[1]
+            trip += [(r, doubled and i == 0) for i, r in enumerate(active)]
+            # What ends the trip inside this part, and whether the next part still joins it.
+            late = next((r for r in part[len(active) : silent] if hung and r.t - active[-1].t > profile.hang_us), None)
+            ender = late or (part[silent] if silent < len(part) else None)
+            joined = ender is None and after < len(group) and group[after].t - part[-1].t <= profile.gap_us
+            before = (joined, hung, active[-1].t, ender)
+        if trip:
+            yield vin, trip, before[3]
+
+
+def measured(vin, start, end, samples):
+    return (vin, start, end, max(samples), round(sum(samples) / len(samples), 6), len(samples))
+
+
+def lasting(start, end, profile):
+    return start < end or profile.keep_zero_length and start == end
+
+
+def samples_of(trip, profile):
+    return [r.speed for r, doubled in trip for _ in range(2 if doubled and not profile.dedupe_samples else 1)]
+
+
+def events_of(trip, ender, profile):
+    """(kind, start, end, positions): stretches of rows on which a bit is set, and the rests before and after driving."""
+    active = [r for r, _ in trip]
+    last = active[-1]
+    lon, lat = (last.lon, last.lat) if profile.close_coords == "at_end" else (ender.lon, ender.lat) if ender else (0.0, 0.0)
+    out = []
+    for bit in range(len(P.TRACKED_EVENTS)):
+        at = 0
+        for holds, stretch in groupby(active, key=lambda r: r.mask >> bit & 1):
+            stretch = list(stretch)
+            at += len(stretch)
+            if holds:
+                end = (active[at].t, active[at].lon, active[at].lat) if at < len(active) else (last.t, lon, lat)
+                out.append((bit, stretch[0].t, end[0], stretch[0].lon, stretch[0].lat, *end[1:]))
+    moving = [r for r in active if r.speed > 0]
+    if moving:
+        first = moving[0]
+        out.append((P.BEFORE_BIT, active[0].t, first.t, first.lon, first.lat, first.lon, first.lat))
+        out.append((P.AFTER_BIT, moving[-1].t, last.t, lon, lat, lon, lat))
+    return [e for e in out if e[1] < e[2] and e[2] - e[1] >= P.EVENT_MIN_SECONDS[e[0]] * 1_000_000]
+
+
 def folded(rows, profile):
-    """Trips and events of lane rows by the streaming fold, with a final close."""
+    """Trips and events of lane rows, from lists."""
     trips, events = [], []
-    for vin, group in groupby(rows, key=lambda r: r.vin):
-        fold = VehicleFold(profile)
-        for r in group:
-            fold.feed(r.t, r.is_on, r.is_off, r.speed, r.lon, r.lat, r.mask)
-        if fold.trip:
-            fold.close()
-        trips += [(vin, s, e, m, round(a, 6), w) for s, e, m, a, w in fold.trips]
-        events += [(vin, t, P.EVENT_NAMES[b], s, e, *at) for t, b, s, e, *at in fold.events]
+    for vin, trip, ender in trips_as_lists(rows, profile):
+        start, end = trip[0][0].t, trip[-1][0].t
+        if lasting(start, end, profile):
+            trips.append(measured(vin, start, end, samples_of(trip, profile)))
+        events += [(vin, start, P.EVENT_NAMES[b], s, e, *at) for b, s, e, *at in events_of(trip, ender, profile)]
     return sorted(trips), sorted(events)
 
 
+def pieces_of(trip, profile):
+    """(first place, start) of each piece of a trip, from its moving rows: a rest that lasts too long after one begins a piece
+    of its own at that row's time, and driving after too long a rest the next one at the time of the row before."""
+    t = [r.t for r, _ in trip]
+    moving = [i for i, (r, _) in enumerate(trip) if r.speed > 0]
+    cuts = [(0, t[0])]
+    for begin, after in zip([None, *moving], [*moving, len(trip)]):
+        resting = begin is None
+        if begin is not None:
+            stop = next((i for i in range(begin + 1, after) if t[i] - t[begin] > profile.idle_us), None)
+            resting = stop is not None
+            cuts += [(stop, t[begin])] if resting else []
+        if resting and 0 < after < len(trip) and not trip[after][1] and t[after] - cuts[-1][1] > profile.idle_us:
+            cuts.append((after, t[after - 1]))
+    return cuts
+
+
 def split_trips(rows, profile):
-    """Trips with idle splitting, kept as plain lists of samples."""
+    """Trips with idle splitting, as lists of samples."""
     out = []
-    for vin, group in groupby(rows, key=lambda r: r.vin):
-        begun = hung = last = moved = None
-        samples, phase, driving = [], "off", False
-
-        def emit(end):
-            if begun < end or (profile.keep_zero_length and begun == end):
-                out.append((vin, begun, end, max(samples), round(sum(samples) / len(samples), 6), len(samples)))
-
-        for r in group:
-            if phase != "off":
-                if r.t - last > profile.gap_us or (phase == "hang" and r.t - hung > profile.hang_us):
-                    emit(hung if phase == "hang" else last)
-                    phase = "off"
-            resumed = phase == "hang" and r.is_on
-            if phase == "off" and r.is_on:
-                phase, begun, samples = "active", r.t, [r.speed]
-                driving, moved = r.speed > 0, r.t if r.speed > 0 else None
-            elif resumed:
-                phase = "active"
-                samples.append(r.speed)
-                if r.speed > 0:
-                    driving, moved = True, r.t
-            if phase == "active":
-                if driving and r.speed == 0 and moved is not None and r.t - moved > profile.idle_us:
-                    emit(moved)
-                    begun, driving, moved, samples = moved, False, None, [0.0]
-                elif not driving and r.speed > 0 and r.t - begun > profile.idle_us:
-                    emit(last)
-                    begun, driving, moved, samples = last, True, r.t, [r.speed]
-                else:
-                    samples.append(r.speed)
-                    if r.speed > 0:
-                        driving, moved = True, r.t
-                if r.is_off:
-                    phase, hung = "hang", r.t
-            last = r.t
-        if phase != "off":
-            emit(hung if phase == "hang" else last)
+    for vin, trip, _ in trips_as_lists(rows, profile):
+        cuts = pieces_of(trip, profile)
+        ends = [start for _, start in cuts[1:]] + [trip[-1][0].t]
+        for n, ((place, start), end) in enumerate(zip(cuts, ends)):
+            until = cuts[n + 1][0] if n + 1 < len(cuts) else len(trip)
+            samples = samples_of(trip[place:until], profile)
+            if n and trip[place][1]:
+                samples = samples[1:]  # a cut row counts once
+            if until < len(trip) and trip[until][1]:
+                samples.append(trip[until][0].speed)  # a row that resumes and cuts leaves a sample behind
+            if lasting(start, end, profile):
+                out.append(measured(vin, start, end, samples))
     return sorted(out)
 
 

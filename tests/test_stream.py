@@ -13,7 +13,8 @@ from tripweave.session import scratch_dir
 from tripweave.functions.expressions import trip_id
 from tripweave.sinks.tables import csv_stream, file_writer, split_tables
 from tripweave.sources import streams
-from tripweave.sources.telemetry import normalize
+from tripweave.sources.telemetry import judged, normalize, renamed
+from tripweave.streaming.bounded import BoundedRuns
 from tripweave.streaming.job import TRIGGERS, JobConfig, checkpoint_path, run_trip_job, start
 from tripweave.streaming.trips import trip_stream
 
@@ -41,6 +42,65 @@ def files(spark, rows, parts, seed):
     return folder
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_bounded_runs_equal_the_keyed_stream(spark, parts):
+    """Several data batches, with late rows, ties and vehicles that fall silent; a repeated batch replaces itself."""
+    rows = fleet(seed=31 + parts, vehicles=8, rows=40)
+    folder = files(spark, rows, parts, 5)
+    out = scratch_dir(spark)
+    config = JobConfig(checkpoint_root=f"{out}/checkpoints", write=file_writer(out))
+    raw = lambda: normalize(streams.parquet_stream(spark, folder, DDL), tie="n")
+    start(raw(), "offline", config).awaitTermination()
+    running = start(raw(), "realtime", config)
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    for table in (config.trips_table, config.events_table):
+        written = spark.read.parquet(f"{out}/{table}").withColumn("row_type", F.lit("x"))
+        offline, realtime = (tuples(written.filter(F.col("job") == mode)) for mode in ("offline", "realtime"))
+        assert offline == realtime and len(offline) > 10
+
+
+def test_a_repeated_bounded_batch_and_its_plan(spark):
+    rows = telemetry(spark, fleet(seed=77, vehicles=6, rows=40)).persist()
+    cut = rows.selectExpr("percentile_approx(timestamp, 0.5)").first()[0]
+    early, late = rows.filter(F.col(P.TIMESTAMP) <= F.lit(cut)), rows.filter(F.col(P.TIMESTAMP) > F.lit(cut))
+    seen = {}
+
+    def on_results(results, batch_id):
+        plan = results._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+        seen.setdefault(batch_id, []).append(tuples(results))
+
+    runs = BoundedRuns(scratch_dir(spark), on_results)
+    for batch, batch_id in ((early, 0), (early, 0), (late, 1), (late, 1), (early.limit(0), 2)):
+        runs(batch, batch_id)
+    assert seen[0][0] == seen[0][1] and seen[1][0] == seen[1][1] and seen[2] == [[]]
+    passed = max(r[P.TIMESTAMP] for r in rows.collect()) - timedelta(minutes=10)
+    whole = engine.step(None, rows.filter(F.col(P.TIMESTAMP) <= F.lit(passed)), now=passed.replace(tzinfo=None))
+    shape = lambda found: sorted(str(r[:5]) for r in found)  # noqa: E731  the first run's timeouts have no closing row
+    assert shape(seen[0][0] + seen[1][0]) == shape(tuples(engine.result_rows(whole.trips, whole.events)))
+
+
+@pytest.mark.parametrize("mode", ["offline", "realtime"])
+def test_both_modes_write_rejected_rows(spark, mode):
+    good = [f'{{"vin":"V","report_time":"2026-01-01T08:{m:02d}:00Z","vehicle_status":2,"speed":{m}.5}}' for m in range(0, 50, 10)]
+    bad = ["{broken", '{"report_time":"2026-01-01T08:00:00Z","speed":1.0}', '{"vin":"W","speed":2.0}']
+    folder, out = f"{scratch_dir(spark)}/wire", scratch_dir(spark)
+    spark.createDataFrame([(t,) for t in good + bad], "json_str string").coalesce(1).write.parquet(folder)
+    text = streams.table_stream(spark, folder, "parquet", "json_str string")
+    config = JobConfig(checkpoint_root=f"{out}/checkpoints", write=file_writer(out))
+    query = start(judged(renamed(streams.decode_json(text), schemas.WIRE_MAPPING)), mode, config)
+    query.processAllAvailable() if mode == "realtime" else query.awaitTermination()
+    query.stop()
+    found = spark.read.parquet(f"{out}/{config.rejected_table}").select("vin", "reason", "speed", "content", "job").collect()
+    assert sorted(map(tuple, found), key=str) == sorted(
+        [(None, "broken text", 0.0, "{broken", mode), (None, "no vehicle", 1.0, None, mode), ("W", "no time", 2.0, None, mode)], key=str
+    )
+    assert "content" not in spark.read.parquet(f"{out}/{config.events_table}").columns
+
+
 @pytest.mark.parametrize("parts,profile", [(1, P.UNIFIED), (3, P.UNIFIED.but(close_coords="at_end"))])
 def test_stream_equals_step(spark, parts, profile):
     rows = fleet(seed=21 + parts, vehicles=8, rows=40)

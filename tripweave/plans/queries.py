@@ -21,7 +21,7 @@ from tripweave.plans import daily, fleet, oracle
 from tripweave.session import scratch_dir
 from tripweave.sinks.tables import csv_stream, file_writer
 from tripweave.sources import streams
-from tripweave.sources.telemetry import TIE, normalize, renamed
+from tripweave.sources.telemetry import TIE, judged, normalize, renamed
 from tripweave.streaming.job import JobConfig, start
 from tripweave.streaming.trips import trip_stream
 
@@ -278,9 +278,15 @@ def trip_flush_timeout(spark, sf_dir):
     return _rounded(later.trips, "avg_speed")
 
 
-@register("trips_trip_profile", TRIPS_SQL)
+@register(
+    "trips_trip_profile",
+    f"""SELECT vin, 'TRIP' AS row_type, trip_type, CAST(NULL AS VARCHAR) AS phase, start_time, end_time, max_speed, avg_speed,
+  end_time AS last_ts, CAST(NULL AS TIMESTAMP) AS last_speed_ts, CAST(NULL AS VARCHAR) AS state_speeds FROM ({TRIPS_SQL})""",
+)
 def trips_trip_profile(spark, sf_dir):
-    return _trips(spark, sf_dir, P.TRIP)
+    """The older profile in its 11 columns; power and speed must be there."""
+    tel = normalize(fleet.as_raw(fleet.events_table(spark, sf_dir)), tie="event_id", require=(P.POWER, P.SPEED))
+    return engine.short_rows(engine.result_rows(_rounded(engine.trips(tel, P.TRIP), "avg_speed")))
 
 
 _PIECES = f"""{oracle.pieces()}
@@ -453,15 +459,16 @@ def filter_vin_except(spark, sf_dir):
 
 
 _PRESENT_SQL = f"""SELECT vin, trip_type, strftime(start_time, '%m-%d %H:%M:%S') AS start_text,
-  strftime(end_time, '%m-%d %H:%M:%S') AS end_text, max_speed, avg_speed, minutes FROM (
+  strftime(end_time, '%m-%d %H:%M:%S') AS end_text, round(max_speed, 2) AS max_speed,
+  CAST(round(CAST(avg_speed AS DECIMAL(18, 7)), 2) AS DOUBLE) AS avg_speed, minutes FROM (
   SELECT *, round((epoch_us(end_time) - epoch_us(start_time)) / 60000000, 1) AS minutes FROM ({_PIECES.format('<')})
   WHERE end_time >= TIMESTAMP '{CUT_TEXT}')"""
 
 
-@register("present_trip", f"SELECT vin, trip_type, start_text, end_text, round(max_speed, 2) AS max_speed, minutes FROM ({_PRESENT_SQL})")
+@register("present_trip", _PRESENT_SQL)
 def present_trip(spark, sf_dir):
-    """Readable trips; the average is checked, with more digits, in other queries."""
-    return report.presented(report.of_day(_trips(spark, sf_dir, P.LEGACY_FLUSH), CUT_TEXT)).drop("avg_speed")
+    """Readable trips of a day."""
+    return report.presented(report.of_day(_trips(spark, sf_dir, P.LEGACY_FLUSH), CUT_TEXT))
 
 
 @register("sort_trip", f"SELECT vin, start_text, end_text FROM ({_PRESENT_SQL}) ORDER BY vin, start_text")
@@ -497,11 +504,25 @@ SELECT vin, CASE WHEN hanging THEN 'HANG_OFF' ELSE 'ACTIVE' END AS phase,
 _STATE_COLUMNS = ("vin", "phase", "trip_type", "trip_start", "hang_start", "last_ts", "last_speed_ts", "speed_sum", "speed_weight", "speed_max")
 
 
-@register("carry_snapshot", _snapshot_sql(P.UNIFIED))
+_RUNNING_SQL = f"""{oracle.trips()},
+{oracle.events()},
+at_end AS (SELECT vin, trip, lon, lat FROM acts QUALIFY row_number() OVER (PARTITION BY vin, trip ORDER BY rn DESC) = 1),
+running AS (
+  SELECT k.vin, k.trip, string_agg(concat_ws(':', k.event_name, k.s_t, CAST(round(k.s_lon * 1000) AS BIGINT), CAST(round(k.s_lat * 1000) AS BIGINT)), ',' ORDER BY k.event_name) AS open_events
+  FROM tracked k JOIN stretch z ON z.vin = k.vin AND z.trip = k.trip AND z.event_name = k.event_name AND z.rn = k.last_rn
+  WHERE z.n_t IS NULL GROUP BY k.vin, k.trip)
+SELECT vin, lon AS end_lon, lat AS end_lat, coalesce(open_events, '') AS open_events
+FROM closed JOIN at_end USING (vin, trip) LEFT JOIN running USING (vin, trip) WHERE close_rn IS NULL"""
+
+
+@register("carry_snapshot", f"SELECT * FROM ({_snapshot_sql(P.UNIFIED)}) JOIN ({_RUNNING_SQL}) USING (vin)")
 def carry_snapshot(spark, sf_dir):
-    """State of the trips still open after the last row."""
-    carry = engine.step(None, fleet.telemetry(spark, sf_dir), with_events=False).carry
-    return carry.select(*_STATE_COLUMNS).withColumn("speed_sum", F.round("speed_sum", 6))
+    """State of the trips still open after the last row, with their running events as text."""
+    carry = engine.step(None, fleet.telemetry(spark, sf_dir)).carry
+    thousandths = lambda x: F.round(x * 1000).cast("long")
+    entries = F.transform(F.map_entries("open_events"), lambda e: F.concat_ws(":", e["key"], F.unix_micros(e["value"]["start_time"]), thousandths(e["value"]["lon"]), thousandths(e["value"]["lat"])))
+    running = F.coalesce(F.array_join(F.array_sort(entries), ","), F.lit(""))
+    return carry.select(*_STATE_COLUMNS, "end_lon", "end_lat", running.alias("open_events")).withColumn("speed_sum", F.round("speed_sum", 6))
 
 
 _LEGACY_STATE = f"""{oracle.pieces()},
@@ -545,17 +566,15 @@ def carry_snapshot_legacy(spark, sf_dir):
     return carry.select(P.VIN, F.round("speed_sum", 6).alias("speed_sum"), "speed_weight", "speed_max")
 
 
-@register("daily_runs", f"SELECT vin, start_time, end_time, event_name AS what FROM ({EVENTS_SQL}) UNION ALL SELECT vin, start_time, end_time, trip_type FROM ({TRIPS_SQL})")
+@register("daily_runs", _result_sql())
 def daily_runs(spark, sf_dir):
     """Two T+1 runs with tables on disk: their trips and events."""
     root = f"{scratch_dir(spark)}/warehouse"
     tel = fleet.telemetry(spark, sf_dir)
     daily.run_day(spark, _before(tel), root, "d1", None)
     daily.run_day(spark, _after(tel), root, "d2", "d1", now="2030-01-01 00:00:00")
-    shape = (P.VIN, "start_time", "end_time")
-    trips = spark.read.parquet(f"{root}/{daily.TRIPS}").select(*shape, F.col("trip_type").alias("what"))
-    events = spark.read.parquet(f"{root}/{daily.EVENTS}").select(*shape, F.col("event_name").alias("what"))
-    return trips.unionByName(events)
+    trips, events = (spark.read.parquet(f"{root}/{table}").drop("day") for table in (daily.TRIPS, daily.EVENTS))
+    return engine.result_rows(_rounded(trips, "avg_speed"), events)
 
 
 @register(
@@ -767,15 +786,62 @@ def st_two_sinks(spark, sf_dir):
 @register(
     "st_timeout",
     f"""{oracle.trips(until=f"{oracle.WATERMARK} + 1")},
-{oracle.closing()}
-SELECT vin, make_timestamp(d.end_t) AS end_time FROM closed d JOIN trip x USING (vin, trip)
-WHERE d.close_rn IS NULL AND {oracle.WATERMARK} > d.end_t + {900 * US} AND x.last_moved < d.end_t""",
+{oracle.closing()},
+silent AS (SELECT vin, trip FROM closed WHERE close_rn IS NULL AND {oracle.WATERMARK} > end_t + {900 * US})
+SELECT {', '.join(_TRIP_SHAPE)} FROM (SELECT {oracle.TRIP_COLUMNS} FROM trip SEMI JOIN silent USING (vin, trip) WHERE start_t < end_t)""",
 )
 def st_timeout(spark, sf_dir):
-    """Vehicles whose trip a timer ended, seen by the rest after driving that ends at 0/0."""
-    rows = spark.read.parquet(f"{_job(spark, sf_dir)}/ads_trip_event_detail")
-    ended = rows.filter((F.col("trip_type") == P.AFTER_EVENT) & (F.col("end_lon") == 0) & (F.col("end_lat") == 0))
-    return ended.select(P.VIN, "end_time")
+    """Trips of the offline job that silence ended: without a clock they would still be open."""
+    trips = spark.read.parquet(f"{_job(spark, sf_dir)}/ads_trip_summary").select(*_TRIP_SHAPE)
+    tel = fleet.telemetry(spark, sf_dir)
+    passed = tel.agg((F.max(P.TIMESTAMP) - F.expr("INTERVAL 10 minutes")).alias("passed")).first().passed
+    carry = engine.step(None, tel.filter(F.col(P.TIMESTAMP) <= F.lit(passed)), with_events=False).carry
+    still = carry.selectExpr(f"{trip_id(P.VIN, 'trip_start')} AS trip_id")
+    return _rounded(trips.join(still, "trip_id", "left_semi"), "avg_speed")
+
+
+def _both_modes(columns: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{mode}' AS job, {columns} FROM ({_STREAM_TRIPS})" for mode in ("offline", "realtime"))
+
+
+@register("st_two_modes", _both_modes(", ".join(_TRIP_SHAPE)))
+def st_two_modes(spark, sf_dir):
+    """Both modes write into one table, told apart by job: the batch engine and the keyed stream give the same trips."""
+    folder = scratch_dir(spark)
+    config = JobConfig(checkpoint_root=f"{folder}/checkpoints", write=file_writer(folder), slice_seconds=SLICE_SECONDS)
+    start(_event_stream(spark, sf_dir), "offline", config).awaitTermination()
+    running = start(_event_stream(spark, sf_dir), "realtime", config)
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return _rounded(spark.read.parquet(f"{folder}/ads_trip_summary").select("job", *_TRIP_SHAPE), "avg_speed")
+
+
+@register(
+    "rejected_rows",
+    f"""WITH {oracle.telemetry()}
+SELECT CAST(NULL AS VARCHAR) AS vin, 'broken text' AS reason, CAST(NULL AS TIMESTAMP) AS timestamp, CAST(0 AS DOUBLE) AS speed, 'no json ' || tie AS content FROM tel WHERE tie % 10 = 0
+UNION ALL SELECT NULL, 'no vehicle', make_timestamp(t), speed, NULL FROM tel WHERE tie % 10 = 1
+UNION ALL SELECT vin, 'no time', NULL, speed, NULL FROM tel WHERE tie % 10 = 2""",
+)
+def rejected_rows(spark, sf_dir):
+    """Messages of the wire that a job can't place: broken text, no vehicle, no time; from its table of rejected rows."""
+    folder, tel = scratch_dir(spark), fleet.telemetry(spark, sf_dir)
+    kind = F.col(TIE) % 10
+    message = F.struct(
+        F.when(kind != 1, F.col(P.VIN)).alias("vin"),
+        F.when(kind != 2, F.col(P.TIMESTAMP)).alias("report_time"),
+        F.col(P.POWER).alias("vehicle_status"),
+        F.col(P.SPEED).alias("speed"),
+    )
+    wire = tel.select(F.when(kind == 0, F.concat(F.lit("no json "), F.col(TIE).cast("string"))).otherwise(F.to_json(message)).alias("json_str"))
+    wire.write.parquet(f"{folder}/wire")
+    text = streams.table_stream(spark, f"{folder}/wire", "parquet", "json_str string")
+    telemetry = judged(renamed(streams.decode_json(text), schemas.WIRE_MAPPING))
+    config = JobConfig(checkpoint_root=f"{folder}/checkpoints", write=file_writer(folder))
+    start(telemetry, "offline", config).awaitTermination()
+    return spark.read.parquet(f"{folder}/{config.rejected_table}").select("vin", "reason", "timestamp", "speed", "content")
 
 
 @register(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
@@ -9,6 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tripweave.operators.report import only_events, only_trips, without_row_type
+from tripweave.sources.telemetry import CONTENT, REJECTED
+
+LOG = logging.getLogger(__name__)
 
 BATCH = "batch_id"
 JOB = "job"
@@ -57,21 +61,28 @@ def jdbc_writer(url: str, driver: str, database: str, options: Mapping[str, str]
     return write
 
 
-def split_tables(write: Writer, trips: str = "ads_trip_summary", events: str | None = "ads_trip_event_detail", job: str | None = None):
-    """Per-batch callback: trips to one table, events to another.
+def split_tables(write: Writer, trips: str = "ads_trip_summary", events: str | None = "ads_trip_event_detail", job: str | None = None, rejected: str | None = None):
+    """Per-batch callback: trips to one table, events to another, rejected rows to a third if it is named.
 
     ``events=None`` writes trips only, and keeps their ``row_type``. A batch without rows of a
-    kind writes nothing for it. With ``job``, rows carry that name in a column.
+    kind writes nothing for it. With ``job``, rows carry that name in a column. The rows of each kind are
+    counted in one pass and logged.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            parts = {trips: only_trips(batch)}
+            plain = batch.drop(CONTENT)
+            parts = {trips: ("TRIP", only_trips(plain) if not events else without_row_type(only_trips(plain)))}
             if events:
-                parts = {trips: without_row_type(parts[trips]), events: without_row_type(only_events(batch))}
-            for table, rows in parts.items():
-                if not rows.isEmpty():
+                parts[events] = ("EVENT", without_row_type(only_events(plain)))
+            if rejected and CONTENT in batch.columns:
+                left = batch.filter(F.col("row_type") == REJECTED)
+                parts[rejected] = (REJECTED, left.select("vin", F.col("trip_type").alias("reason"), F.col("start_time").alias("timestamp"), F.col("max_speed").alias("speed"), CONTENT))
+            counts = {r.row_type: r["count"] for r in batch.groupBy("row_type").count().collect()}  # a row for each kind
+            LOG.info("batch %d of %s: %s", batch_id, job or "a job", counts)
+            for table, (kind, rows) in parts.items():
+                if counts.get(kind):
                     write(rows.withColumn(JOB, F.lit(job)) if job else rows, table, batch_id)
         finally:
             batch.unpersist()

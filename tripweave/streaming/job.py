@@ -6,13 +6,15 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripweave import profiles as P
 from tripweave import schemas
 from tripweave.sinks.tables import Writer, split_tables
 from tripweave.sources import streams
-from tripweave.sources.telemetry import normalize, renamed
+from tripweave.sources.telemetry import CONTENT, REASON, judged, rejected_results, renamed
+from tripweave.streaming.bounded import BoundedRuns
 from tripweave.streaming.trips import SLICE_SECONDS, trip_stream
 
 # Trigger of each mode: run to the end of what is there, or look every ten seconds.
@@ -38,6 +40,12 @@ class JobConfig:
     tie: str | None = None
     trips_table: str = "ads_trip_summary"
     events_table: str | None = "ads_trip_event_detail"
+    rejected_table: str | None = "ads_trip_rejected"
+
+
+def state_root(config: JobConfig, mode: str) -> str:
+    """What one bounded run leaves for the next."""
+    return f"{config.checkpoint_root}/trip_{mode}_state"
 
 
 def checkpoint_path(config: JobConfig, mode: str) -> str:
@@ -45,7 +53,7 @@ def checkpoint_path(config: JobConfig, mode: str) -> str:
 
 
 def source(spark: SparkSession, mode: str, config: JobConfig) -> DataFrame:
-    """Canonical telemetry of the mode's source."""
+    """Canonical telemetry of the mode's source, with the reason of rows that cannot be placed."""
     if mode == "offline":
         raw = streams.table_stream(spark, config.table, config.table_format)
     elif mode == "realtime":
@@ -54,7 +62,7 @@ def source(spark: SparkSession, mode: str, config: JobConfig) -> DataFrame:
         raw = renamed(decoded, config.mapping)
     else:
         raise ValueError(f"mode must be one of {', '.join(TRIGGERS)}, not {mode!r}")
-    return normalize(raw, tie=config.tie)
+    return judged(raw, tie=config.tie)
 
 
 def start(
@@ -63,11 +71,22 @@ def start(
     config: JobConfig,
     on_batch: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
-    """Starts the query that writes trips and events of streaming telemetry."""
-    callback = on_batch or split_tables(config.write, config.trips_table, config.events_table, job=mode)
+    """Starts the query that writes trips and events of streaming telemetry.
+
+    A bounded stream is run by the batch engine (``bounded``), a topic by keyed state. Telemetry of ``judged`` has rejected
+    rows besides, which get a table of their own.
+    """
+    callback = on_batch or split_tables(config.write, config.trips_table, config.events_table, mode, config.rejected_table)
+    if mode == "offline":
+        results, callback = telemetry, BoundedRuns(state_root(config, mode), callback, config.profile, config.delay)
+    else:
+        placed = telemetry.filter(f"{REASON} IS NULL").drop(REASON, CONTENT) if REASON in telemetry.columns else telemetry
+        results = trip_stream(placed, config.profile, config.delay, config.slice_seconds)
+        if REASON in telemetry.columns:
+            left = rejected_results(telemetry.filter(f"{REASON} IS NOT NULL"))
+            results = results.withColumn(CONTENT, F.lit(None).cast("string")).unionByName(left)
     return (
-        trip_stream(telemetry, config.profile, config.delay, config.slice_seconds)
-        .writeStream.foreachBatch(callback)
+        results.writeStream.foreachBatch(callback)
         .option("checkpointLocation", checkpoint_path(config, mode))
         .trigger(**TRIGGERS[mode])
         .start()
