@@ -42,6 +42,8 @@ COUNTERS_LOG2, FILTER_LOG2 = 20, 26
 COSTLY = 2_000
 #: Groups that a class meets others in, and the most classes and shingles of one group; larger ones are dealt anew at random.
 ROUNDS, CHUNK_CLASSES, CHUNK_TOKENS = 3, 2_048, 1_500_000
+#: Meetings of classes that are broadcast, some 30 bytes each; more are joined by exchange.
+BROADCAST_MEETINGS = 2_000_000
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -353,7 +355,9 @@ def _met_in_groups(classes: DataFrame, meetings: DataFrame, counters) -> DataFra
         group = _Group(table.column("tokens").to_pylist(), counters.value)
         return _edges(group.stars(), table.column("rid").to_numpy())
 
-    return meetings.join(classes.select("rid", "tokens"), "rid").groupBy("token", "chunk").applyInArrow(connect, "a long, b long")
+    # Rows of three numbers: so few are broadcast, so that the sets are exchanged once and not twice.
+    small = meetings.count() <= BROADCAST_MEETINGS
+    return classes.select("rid", "tokens").join(F.broadcast(meetings) if small else meetings, "rid").groupBy("token", "chunk").applyInArrow(connect, "a long, b long")
 
 
 def _not_met(shared: DataFrame, meetings: DataFrame, parts: DataFrame) -> DataFrame:
@@ -426,10 +430,11 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     classes = _whole_sets(docs, text_col, alive)
     counters = spark.sparkContext.broadcast(_counters(classes, COUNTERS_LOG2, COSTLY))
     postings = staged(_postings(classes, counters))
-    shared = staged(postings.join(postings.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1"), "token"))
+    held = staged(postings.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1"))
+    shared = staged(join_counted(postings, held, "token", "df").filter("df is not null"))
     meetings = staged(_meetings(shared))
     edges = staged(_met_in_groups(classes, meetings, counters))
-    discard(alive, postings)
+    discard(alive, postings, held)
     # Staged, so that few pairs are seen to be few and the sets need no exchange for them.
     pairs = staged(_not_met(shared, meetings, connected(edges)))
     more = staged(_verified(classes, pairs, counters))
