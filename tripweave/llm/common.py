@@ -72,6 +72,7 @@ def give_back() -> None:
 
 
 _MEMORY: dict = {}
+_USED: list = []
 
 
 def kept_by_worker(key, make: Callable):
@@ -79,6 +80,7 @@ def kept_by_worker(key, make: Callable):
 
     Workers live on from stage to stage, so that two operators' memories would add up.
     """
+    _USED.append(key)
     if key not in _MEMORY:
         _MEMORY.clear()
         give_back()
@@ -87,12 +89,18 @@ def kept_by_worker(key, make: Callable):
 
 
 def text_batches(fn: Callable[[pa.RecordBatch], pa.RecordBatch | list]) -> Callable:
-    """A function for mapInArrow that applies `fn` to each batch and drops empty results."""
+    """A function for mapInArrow that applies `fn` to each batch and drops empty results.
+
+    What another operator has kept in the worker, and `fn` does not ask for, goes.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
+                _USED.clear()
                 out = fn(batch)
+                if not _USED:
+                    _MEMORY.clear()
                 yield from out if isinstance(out, list) else [out]
                 del out
                 give_back()

@@ -103,7 +103,7 @@ class _Words(WordTable):
     """By word the number of its lower-case form, and by that number the hash."""
 
     def __init__(self) -> None:
-        super().__init__(most=800_000)
+        super().__init__(most=400_000)
 
     def clear(self) -> None:
         super().clear()

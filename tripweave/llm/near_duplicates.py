@@ -28,14 +28,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import discard, join_counted, ship, staged, text_batches
+from tripweave.llm.common import discard, give_back, join_counted, ship, staged, text_batches
 from tripweave.llm.words import groups_of
 
 WORDS, PERCENT = 5, 80
 #: Step 1 lengthens prefixes by this share of the set, and asks for as many more matches.
 LENGTHENED = 0.05
 #: First shingles that meet in one task of step 1, on average.
-RANGE_TOKENS = 2_000_000
+RANGE_TOKENS = 1_000_000
 #: The counting table of step 2, and the most bits of the filter that names step 1's classes to the second reading.
 COUNTERS_LOG2, FILTER_LOG2 = 20, 26
 #: Estimated candidates of a prefix beyond which it is lengthened.
@@ -189,6 +189,8 @@ def _met_elsewhere(described: DataFrame) -> DataFrame:
         sizes = np.diff(np.append(begins, len(tokens)))
         shared = np.repeat((sizes > 1) | np.logical_or.reduceat(several, begins), sizes)
         halves, counts = np.unique(own[shared & ~several], return_counts=True)
+        del tokens, own, several, order, fresh, shared
+        give_back()
         return pa.table({"half": halves.view(np.int64), "n": counts})
 
     dealt = described.filter("sig is not null").select("sig", "first").mapInArrow(text_batches(deal), "range long, tokens binary, told binary, sigs binary, settled binary")
@@ -352,8 +354,9 @@ def _meetings(shared: DataFrame) -> DataFrame:
 def _met_in_groups(classes: DataFrame, meetings: DataFrame, counters) -> DataFrame:
     def connect(table: pa.Table) -> pa.Table:
         table = table.sort_by("rid")
-        group = _Group(table.column("tokens").to_pylist(), counters.value)
-        return _edges(group.stars(), table.column("rid").to_numpy())
+        edges = _edges(_Group(table.column("tokens").to_pylist(), counters.value).stars(), table.column("rid").to_numpy())
+        give_back()
+        return edges
 
     # Rows of three numbers: so few are broadcast, so that the sets are exchanged once and not twice.
     small = meetings.count() <= BROADCAST_MEETINGS
