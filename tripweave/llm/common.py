@@ -63,12 +63,30 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(session.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Blocks of so many bytes are taken from the system one by one, so that it gets them back when they are freed.
+OWN_BLOCK = 1 << 20
+
+
 def give_back() -> None:
     """Returns freed memory to the system: a Python worker lives on between stages."""
     pa.default_memory_pool().release_unused()
     if sys.platform == "linux":
         with contextlib.suppress(OSError, AttributeError):
-            ctypes.CDLL(None).malloc_trim(0)
+            library = ctypes.CDLL(None)
+            library.mallopt(-3, OWN_BLOCK)  # M_MMAP_THRESHOLD
+            library.malloc_trim(0)
+
+
+@contextlib.contextmanager
+def rows_per_batch(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Inside, jobs hand batches of at most so many rows to Python; the session's own setting holds again after."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 _MEMORY: dict = {}

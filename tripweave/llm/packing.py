@@ -15,9 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import blank, ship, staged, text_batches
+from tripweave.llm.common import blank, rows_per_batch, ship, staged, text_batches
 from tripweave.llm.tokens import encoder
 
+#: Texts that a task holds at a time.
+BATCH_ROWS = 1_500
 #: Pieces packed together in one task, on average: some 100 bytes each.
 GROUP_PIECES = 1 << 16
 #: Orders to try: pieces below this part of the capacity, and the share of them that waits for the end.
@@ -140,7 +142,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id
     null. Other columns of `docs` are not looked at. A table without rows gives no pieces.
     """
     ship(docs.sparkSession)
-    pieces = staged(cut_into_pieces(docs, tokenizer, capacity, end_id, id_col, text_col))
+    with rows_per_batch(docs.sparkSession, BATCH_ROWS):
+        pieces = staged(cut_into_pieces(docs, tokenizer, capacity, end_id, id_col, text_col))
     return pieces, place(pieces.drop("ids"), capacity, group_pieces)
 
 

@@ -22,6 +22,8 @@ from tripweave.llm.common import kept_by_worker, single_threaded
 GROUP_BYTES = 4 << 20
 #: Pieces that a worker remembers with their ids (some 40 bytes each); later ones are encoded in each group anew.
 REMEMBERED = 300_000
+#: Pieces that the library encodes at a time.
+ENCODED = 8_192
 CUT = "\x1f"
 #: What any Unicode version or Python counts as white space.
 SPACE_SET = r"\t-\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}"
@@ -91,7 +93,8 @@ class WordEncoder:
         at = pc.index_in(pieces, value_set=self.known)
         unknown = pc.is_null(at)
         new = pieces.filter(unknown)
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(new.to_pylist(), add_special_tokens=False)]
+        # The library's own rows are far larger than the ids, so they are taken in parts.
+        ids = [e.ids for k in range(0, len(new), ENCODED) for e in self.tokenizer.encode_batch_fast(new.slice(k, ENCODED).to_pylist(), add_special_tokens=False)]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         joined = np.concatenate([self.ids, np.frombuffer(array("I", chain.from_iterable(ids)), np.uint32).astype(self.dtype)])
         all_starts = np.concatenate([self.starts, np.cumsum(lengths) - lengths + len(self.ids)])
