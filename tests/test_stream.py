@@ -11,12 +11,13 @@ from tripweave import engine, schemas
 from tripweave import profiles as P
 from tripweave.session import scratch_dir
 from tripweave.functions.expressions import trip_id
+from tripweave.sinks.merge import latest, merge_writer, read_merged, unseen, within
 from tripweave.sinks.tables import csv_stream, file_writer, split_tables
 from tripweave.sources import streams
 from tripweave.sources.telemetry import judged, normalize, renamed
 from tripweave.streaming.bounded import BoundedRuns
 from tripweave.streaming.job import TRIGGERS, JobConfig, checkpoint_path, run_trip_job, start
-from tripweave.streaming.trips import trip_stream
+from tripweave.streaming.trips import open_trips, trip_stream
 
 SHAPE = ("trip_id", "row_type", "trip_type", "unix_micros(start_time)", "unix_micros(end_time)", "max_speed",
          "round(avg_speed, 6)", "start_lon", "start_lat", "end_lon", "end_lat")
@@ -62,6 +63,39 @@ def test_bounded_runs_equal_the_keyed_stream(spark, parts):
         assert offline == realtime and len(offline) > 10
 
 
+def test_both_modes_go_on_from_carried_state(spark):
+    """A run to the middle and a stream of the rest give what one run gives, and leave the same trips open."""
+    rows = fleet(seed=53, vehicles=10, rows=40)
+    cut = sorted(r["ts"] for r in rows)[len(rows) // 2]
+    first, rest = [r for r in rows if r["ts"] < cut], [r for r in rows if r["ts"] >= cut]
+    out = scratch_dir(spark)
+    step = engine.step(None, telemetry(spark, first))
+    step.carry.write.parquet(f"{out}/carry")
+    carried = spark.read.parquet(f"{out}/carry")
+    assert carried.filter("phase = 'HANG_OFF'").count() and carried.filter("size(open_events) > 0").count()
+    before = tuples(engine.result_rows(step.trips, step.events))
+    watermark = max(r["ts"] for r in rows) - timedelta(minutes=10)
+    watermark = watermark.replace(microsecond=watermark.microsecond // 1000 * 1000)
+    seen = telemetry(spark, rows).filter(F.col(P.TIMESTAMP) <= F.lit(watermark.replace(tzinfo=timezone.utc)))
+    whole = engine.step(None, seen, now=watermark)
+    want = tuples(engine.result_rows(whole.trips, whole.events))
+    folder = files(spark, rest, 2, 3)
+    config = JobConfig(checkpoint_root=f"{out}/checkpoints", write=file_writer(out), carry=f"{out}/carry")
+    for mode in ("offline", "realtime"):
+        query = start(normalize(streams.parquet_stream(spark, folder, DDL), tie="n"), mode, config)
+        query.awaitTermination() if mode == "offline" else query.processAllAvailable()
+        query.stop()
+        trips = spark.read.parquet(f"{out}/{config.trips_table}").withColumn("row_type", F.lit("TRIP"))
+        events = spark.read.parquet(f"{out}/{config.events_table}").withColumn("row_type", F.lit("EVENT"))
+        found = trips.unionByName(events).filter(F.col("job") == mode)
+        assert sorted(before + tuples(found), key=str) == want
+    state = ("vin", "phase", "trip_type", "trip_start", "hang_start", "last_ts", "last_speed_ts", "round(speed_sum, 6)", "speed_weight",
+             "speed_max", "end_lon", "end_lat", "array_sort(map_entries(open_events))")
+    shown = lambda carry: sorted(map(str, carry.selectExpr(*state).collect()))
+    left = shown(open_trips(spark, checkpoint_path(config, "realtime")))
+    assert left and left == shown(whole.carry.withColumn("open_events", F.expr("coalesce(open_events, map())")))
+
+
 def test_a_repeated_bounded_batch_and_its_plan(spark):
     rows = telemetry(spark, fleet(seed=77, vehicles=6, rows=40)).persist()
     cut = rows.selectExpr("percentile_approx(timestamp, 0.5)").first()[0]
@@ -219,6 +253,54 @@ def test_a_repeated_batch_replaces_itself(spark):
     assert {r.batch_id: r["count"] for r in trips.groupBy("batch_id").count().collect()} == {7: each, 8: each}
 
 
+def test_merging_sink_keeps_one_row_for_each_key(spark):
+    """Late, repeated and corrected rows, two jobs, rows without a start, and a batch that broke off before its days were put in place."""
+    rows, out = results(spark).filter("row_type = 'TRIP'").persist(), scratch_dir(spark)
+    write = merge_writer(out)
+    some, rest = rows.filter("hash(trip_id) % 2 = 0"), rows.filter("hash(trip_id) % 2 <> 0")
+    wrong = some.withColumn("max_speed", F.col("max_speed") + 1)
+    nowhere = rows.limit(1).withColumn("start_time", F.lit(None).cast("timestamp"))
+    shape = lambda df: sorted(map(str, df.select("trip_id", "trip_type", "start_time", "max_speed", "batch_id").collect()))
+    want = lambda *parts: sorted(str(r) for df, n in parts for r in df.select("trip_id", "trip_type", "start_time", "max_speed", F.lit(n).cast("long").alias("batch_id")).collect())
+    table = lambda: read_merged(spark, out, "t")
+    write(wrong.unionByName(wrong), "t", 0)
+    assert shape(table()) == want((wrong, 0))
+    write(rest.unionByName(nowhere), "t", 1)
+    write(rest.unionByName(nowhere), "t", 1)
+    assert shape(table()) == want((wrong, 0), (rest, 1), (nowhere, 1))
+    before = {f.path for f in spark.read.format("binaryFile").load(f"{out}/t").select("path").collect()}
+    write(rest, "t", 2)
+    assert before == {f.path for f in spark.read.format("binaryFile").load(f"{out}/t").select("path").collect()}, "nothing new, nothing written"
+    write(some, "t", 3)
+    assert shape(table()) == want((some, 3), (rest, 1), (nowhere, 1))
+    # The days of batch 4 are ready, but the job ended before they were put in place.
+    ready = table().withColumn("max_speed", F.lit(7.0)).withColumn("day", F.to_date("start_time"))
+    ready.write.parquet(f"{out}/t_merging/-4")
+    write(rows, "t", 4)
+    assert {r[0] for r in table().select("max_speed").distinct().collect()} == {7.0} and table().count() == rows.count() + 1
+    write(rows.limit(0), "t", 5)
+    split_tables(merge_writer(out), job="a")(rows, 0)
+    split_tables(merge_writer(out), job="b")(rows, 0)
+    assert {tuple(r) for r in read_merged(spark, out, "ads_trip_summary").groupBy("job").count().collect()} == {("a", rows.count())}
+
+
+def test_parts_of_the_merging_append(spark):
+    """What the warehouse writer is made of, on tables of files: rows that are there stay out, corrected ones come in."""
+    rows, out = results(spark).persist(), scratch_dir(spark)
+    rows.withColumn("batch_id", F.lit(0)).write.parquet(out)
+    held = spark.read.parquet(out)
+    some = rows.orderBy("trip_id", "trip_type", "start_time").limit(20).persist()
+    some.count()
+    assert unseen(some, within(held, some)).isEmpty()
+    plan = within(held, some)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(start_time)" in plan and "start_time#" in plan.split(">=")[0] and "<= 20" in plan
+    corrected = some.withColumn("end_time", F.expr("end_time + INTERVAL 1 second"))
+    new = unseen(corrected.unionByName(some), within(held, some))
+    assert new.count() == some.count()
+    after = latest(held.unionByName(new.withColumn("batch_id", F.lit(1))))
+    assert after.filter("batch_id = 1").count() == some.count() and after.count() == rows.count()
+
+
 def test_jobs_do_not_replace_each_others_batches(spark):
     rows, out = results(spark), scratch_dir(spark)
     for job in ("offline", "realtime", "realtime"):

@@ -19,11 +19,12 @@ from tripweave.operators.carry import heads
 from tripweave.operators.segment import label, lanes, with_heads
 from tripweave.plans import daily, fleet, oracle
 from tripweave.session import scratch_dir
+from tripweave.sinks.merge import merge_writer, read_merged
 from tripweave.sinks.tables import csv_stream, file_writer
 from tripweave.sources import streams
 from tripweave.sources.telemetry import TIE, judged, normalize, renamed
 from tripweave.streaming.job import JobConfig, start
-from tripweave.streaming.trips import trip_stream
+from tripweave.streaming.trips import open_trips, trip_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Query, str | None]] = {}
@@ -504,7 +505,8 @@ SELECT vin, CASE WHEN hanging THEN 'HANG_OFF' ELSE 'ACTIVE' END AS phase,
 _STATE_COLUMNS = ("vin", "phase", "trip_type", "trip_start", "hang_start", "last_ts", "last_speed_ts", "speed_sum", "speed_weight", "speed_max")
 
 
-_RUNNING_SQL = f"""{oracle.trips()},
+def _running_sql(until: str | None = None) -> str:
+    return f"""{oracle.trips(until=until)},
 {oracle.events()},
 at_end AS (SELECT vin, trip, lon, lat FROM acts QUALIFY row_number() OVER (PARTITION BY vin, trip ORDER BY rn DESC) = 1),
 running AS (
@@ -515,16 +517,20 @@ SELECT vin, lon AS end_lon, lat AS end_lat, coalesce(open_events, '') AS open_ev
 FROM closed JOIN at_end USING (vin, trip) LEFT JOIN running USING (vin, trip) WHERE close_rn IS NULL"""
 
 
-@register("carry_snapshot", f"SELECT * FROM ({_snapshot_sql(P.UNIFIED)}) JOIN ({_RUNNING_SQL}) USING (vin)")
-def carry_snapshot(spark, sf_dir):
-    """State of the trips still open after the last row, with their running events as text."""
-    carry = engine.step(None, fleet.telemetry(spark, sf_dir)).carry
+def _shown(carry: DataFrame) -> DataFrame:
+    """Carried state with its running events as text."""
     thousandths = lambda x: F.round(x * 1000).cast("long")
     entries = F.transform(F.map_entries("open_events"), lambda e: F.concat_ws(":", e["key"], F.unix_micros(e["value"]["start_time"]), thousandths(e["value"]["lon"]), thousandths(e["value"]["lat"])))
     running = F.coalesce(F.array_join(F.array_sort(entries), ","), F.lit(""))
     return carry.select(*_STATE_COLUMNS, "end_lon", "end_lat", running.alias("open_events")).withColumn("speed_sum", F.round("speed_sum", 6))
 
 
+@register("carry_snapshot", f"SELECT * FROM ({_snapshot_sql(P.UNIFIED)}) JOIN ({_running_sql()}) USING (vin)")
+def carry_snapshot(spark, sf_dir):
+    """State of the trips still open after the last row, with their running events as text."""
+    return _shown(engine.step(None, fleet.telemetry(spark, sf_dir)).carry)
+
+
 _LEGACY_STATE = f"""{oracle.pieces()},
 {oracle.closing(300)},
 open_piece AS (
@@ -760,6 +766,50 @@ def st_trips(spark, sf_dir):
     return _rounded(report.only_trips(rows).select(*_TRIP_SHAPE), "avg_speed")
 
 
+@register("st_from_carry", f"SELECT {', '.join(_TRIP_SHAPE)} FROM ({_STREAM_TRIPS})")
+def st_from_carry(spark, sf_dir):
+    """A run over the first part of the rows, then a keyed stream over the rest that goes on from its state: trips of both."""
+    folder, first = scratch_dir(spark), F.col(P.TIMESTAMP) < F.lit(CUT_TEXT).cast("timestamp")
+    step = engine.step(None, fleet.telemetry(spark, sf_dir).filter(first), keep=True)
+    try:
+        engine.result_rows(step.trips).write.parquet(f"{folder}/rows")
+        step.carry.write.parquet(f"{folder}/carry")
+    finally:
+        step.release()
+    rest = _event_stream(spark, sf_dir).filter(~first)
+    results = trip_stream(rest, slice_seconds=SLICE_SECONDS, carry=streams.state_table(spark, f"{folder}/carry"))
+    query = (
+        results.writeStream.format("parquet")
+        .option("path", f"{folder}/stream")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    read = spark.read.schema(schemas.RESULT)
+    rows = read.parquet(f"{folder}/rows").unionByName(read.parquet(f"{folder}/stream"))
+    return _rounded(report.only_trips(rows).select(*_TRIP_SHAPE), "avg_speed")
+
+
+@register(
+    "st_open_trips",
+    f"""SELECT * FROM ({_snapshot_sql(P.UNIFIED, f"{oracle.WATERMARK} + 1")}) JOIN ({_running_sql(f"{oracle.WATERMARK} + 1")}) USING (vin)
+WHERE epoch_us(coalesce(hang_start, last_ts)) + {900 * US} >= {oracle.WATERMARK}""",
+)
+def st_open_trips(spark, sf_dir):
+    """Trips that a keyed stream has open at its watermark, read from its checkpoint: the state that a T+1 run would carry."""
+    folder = scratch_dir(spark)
+    query = (
+        trip_stream(_event_stream(spark, sf_dir), slice_seconds=SLICE_SECONDS)
+        .writeStream.format("noop")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return _shown(open_trips(spark, f"{folder}/checkpoint"))
+
+
 def _job(spark, sf_dir) -> str:
     folder = scratch_dir(spark)
     config = JobConfig(
@@ -800,6 +850,26 @@ def st_timeout(spark, sf_dir):
     return _rounded(trips.join(still, "trip_id", "left_semi"), "avg_speed")
 
 
+@register(
+    "sink_merge",
+    f"SELECT *, CAST(CASE WHEN trip_type = 'DRIVING' THEN 2 WHEN start_time < TIMESTAMP '{CUT_TEXT}' THEN 0 ELSE 1 END AS BIGINT) AS batch_id FROM ({TRIPS_SQL})",
+)
+def sink_merge(spark, sf_dir):
+    """Trips merged into a table by three batches: the second is written twice, the third corrects the speeds of the others."""
+    folder, trips = scratch_dir(spark), _trips(spark, sf_dir)
+    trips.write.parquet(f"{folder}/trips")
+    trips, write = spark.read.parquet(f"{folder}/trips"), merge_writer(folder)
+    unmeasured = trips.withColumns({c: F.lit(0.0) for c in ("max_speed", "avg_speed")})
+    for batch_id, rows in (
+        (0, unmeasured.filter(f"start_time < TIMESTAMP '{CUT_TEXT}'")),
+        (1, unmeasured.filter(f"start_time >= TIMESTAMP '{CUT_TEXT}'")),
+        (1, unmeasured.filter(f"start_time >= TIMESTAMP '{CUT_TEXT}'")),
+        (2, trips),
+    ):
+        write(rows, "merged", batch_id)
+    return read_merged(spark, folder, "merged").select(*trips.columns, "batch_id")
+
+
 def _both_modes(columns: str) -> str:
     return " UNION ALL ".join(f"SELECT '{mode}' AS job, {columns} FROM ({_STREAM_TRIPS})" for mode in ("offline", "realtime"))
 

@@ -31,6 +31,7 @@ class BoundedRuns:
     ``on_results``: gets result rows and the batch id. ``delay``: how far the watermark stays behind the latest row.
     Rows at or before the watermark of the batch before are late and left out, as the stream's operator does. If
     the rows say why some cannot be placed (``sources.telemetry.judged``), those come out as result rows of their own.
+    ``carry``: state that an earlier run left, which the first batch goes on from.
     """
 
     def __init__(
@@ -40,7 +41,9 @@ class BoundedRuns:
         profile: P.Profile = P.UNIFIED,
         delay: str = "10 minutes",
         hot_rows: int | None = skew.HOT_ROWS,
+        carry: DataFrame | None = None,
     ) -> None:
+        self._carry = carry
         self._root, self._on_results, self._profile, self._delay, self._hot_rows = root, on_results, profile, delay, hot_rows
 
     def path(self, table: str, batch_id: int) -> str:
@@ -49,7 +52,7 @@ class BoundedRuns:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         judged = batch if REASON in batch.columns else batch.withColumns({REASON: F.lit(None).cast("string"), CONTENT: F.lit(None).cast("string")})
-        before, passed = None, None
+        before, passed = self._carry, None
         if batch_id > 0:
             passed = spark.read.parquet(self.path(CLOCK, batch_id - 1)).first().passed_us
             before = state_table(spark, self.path(CARRY, batch_id - 1))

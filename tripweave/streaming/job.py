@@ -41,6 +41,8 @@ class JobConfig:
     trips_table: str = "ads_trip_summary"
     events_table: str | None = "ads_trip_event_detail"
     rejected_table: str | None = "ads_trip_rejected"
+    # State that a T+1 run left, for a job that starts anew: it goes on from there.
+    carry: str | None = None
 
 
 def state_root(config: JobConfig, mode: str) -> str:
@@ -77,11 +79,12 @@ def start(
     rows besides, which get a table of their own.
     """
     callback = on_batch or split_tables(config.write, config.trips_table, config.events_table, mode, config.rejected_table)
+    carry = streams.state_table(telemetry.sparkSession, config.carry) if config.carry else None
     if mode == "offline":
-        results, callback = telemetry, BoundedRuns(state_root(config, mode), callback, config.profile, config.delay)
+        results, callback = telemetry, BoundedRuns(state_root(config, mode), callback, config.profile, config.delay, carry=carry)
     else:
         placed = telemetry.filter(f"{REASON} IS NULL").drop(REASON, CONTENT) if REASON in telemetry.columns else telemetry
-        results = trip_stream(placed, config.profile, config.delay, config.slice_seconds)
+        results = trip_stream(placed, config.profile, config.delay, config.slice_seconds, carry)
         if REASON in telemetry.columns:
             left = rejected_results(telemetry.filter(f"{REASON} IS NOT NULL"))
             results = results.withColumn(CONTENT, F.lit(None).cast("string")).unionByName(left)

@@ -11,11 +11,12 @@ from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tripweave import profiles as P
+from tripweave import schemas
 from tripweave.functions.expressions import EVENT_NAME, trip_id
 from tripweave.operators.segment import lanes
 from tripweave.session import ship_helpers, use_state_store
@@ -111,6 +112,14 @@ class TripProcessor(StatefulProcessor):
         self._trip = handle.getValueState("trip", _TRIP)
         self._waiting = handle.getMapState("waiting", _SLICE_KEY, _SLICE)
 
+    def handleInitialState(self, key: Any, initialState: pd.DataFrame, timerValues: Any) -> None:
+        """A vehicle's carried state, if its last trip is open (``_carried``): one row."""
+        values = initialState.iloc[0].to_dict()
+        trip = tuple(_value(values[f.name], f.dataType) for f in _TRIP)
+        self._trip.update(trip)
+        alarm = _restored(trip).alarm(self._profile)
+        self._handle.registerTimer(max(alarm // 1000, timerValues.getCurrentWatermarkInMs()) + 1)
+
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         names = _ROW.fieldNames()
         slices = set(self._slices())
@@ -197,6 +206,15 @@ def _plain(row: tuple) -> tuple:
     return int(t), int(tie), bool(on), bool(off), float(speed), float(lon), float(lat), int(mask)
 
 
+def _value(value: Any, kind: T.DataType) -> Any:
+    """A value that pandas handed over, as its column's type has it."""
+    if isinstance(kind, T.ArrayType):
+        return [_value(v, kind.elementType) for v in value]
+    if value is None or (kind == T.LongType() and pd.isna(value)):
+        return None
+    return {T.LongType(): int, T.IntegerType(): int, T.DoubleType(): float, T.BooleanType(): bool}[kind](value)
+
+
 def _output(vin: str, fold: VehicleFold) -> list[tuple]:
     nowhere = (None,) * 4
     trips = [(vin, s, _WHOLE_TRIP, s, e, top, mean, *nowhere) for s, e, top, mean, _ in fold.trips]
@@ -209,10 +227,13 @@ def trip_stream(
     profile: P.Profile = P.UNIFIED,
     delay: str = "10 minutes",
     slice_seconds: int = SLICE_SECONDS,
+    carry: DataFrame | None = None,
 ) -> DataFrame:
     """Result rows (trips and events) of canonical streaming telemetry, in append mode.
 
-    Rows later than ``delay`` behind the newest are dropped by Spark.
+    Rows later than ``delay`` behind the newest are dropped by Spark. ``carry``: state that a run left (``engine.step``);
+    the stream goes on from it and should be given the rows that the run did not read. Spark takes it in with
+    the first batch of a new checkpoint only; a restart goes on from its own state.
     """
     use_state_store(telemetry.sparkSession)
     ship_helpers()
@@ -221,12 +242,69 @@ def trip_stream(
         lanes(rows, keep_time=True)
         .groupBy(P.VIN)
         .transformWithStateInPandas(
-            TripProcessor(profile, slice_seconds), outputStructType=_OUT, outputMode="Append", timeMode="EventTime"
+            TripProcessor(profile, slice_seconds),
+            outputStructType=_OUT,
+            outputMode="Append",
+            timeMode="EventTime",
+            initialState=None if carry is None else _carried(carry).groupBy(P.VIN),
         )
     )
     return _as_results(found)
 
 
+_NAMES = f"array({', '.join(repr(rule.name) for rule in P.TRACKED_EVENTS)})"
+_HANGING = "phase = 'HANG_OFF'"
+
+
+def _carried(carry: DataFrame) -> DataFrame:
+    """Carried state in the stream's own columns, one row per vehicle with an open trip."""
+    entries = f"map_entries(coalesce(open_events, CAST(map() AS {schemas.CARRY['open_events'].dataType.simpleString()})))"
+    columns = {
+        "start": "unix_micros(trip_start)",
+        "end": f"unix_micros(IF({_HANGING}, hang_start, last_ts))",
+        "end_lon": "end_lon",
+        "end_lat": "end_lat",
+        "hanging": _HANGING,
+        "last_row": "unix_micros(last_ts)",
+        "moved": "unix_micros(last_speed_ts)",
+        "speed_sum": "speed_sum",
+        "weight": "speed_weight",
+        "speed_max": "speed_max",
+        "events": f"transform({entries}, e -> CAST(array_position({_NAMES}, e.key) - 1 AS INT))",
+        "event_starts": f"transform({entries}, e -> unix_micros(e.value.start_time))",
+        "event_lons": f"transform({entries}, e -> e.value.lon)",
+        "event_lats": f"transform({entries}, e -> e.value.lat)",
+    }
+    return carry.filter("phase IN ('ACTIVE', 'HANG_OFF')").selectExpr(P.VIN, *[f"{text} AS `{name}`" for name, text in columns.items()])
+
+
+def open_trips(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """State of the trips that a keyed stream has open, in the columns of carried state (``engine.step`` goes on from it).
+
+    Read from the stream's checkpoint, while it runs or after it, as its last finished batch left it, or ``batch_id`` did.
+    Rows that still wait for the watermark are not in it. A stream without an open trip gives no rows.
+    """
+    use_state_store(spark)
+    reader = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "trip")
+    state = (reader if batch_id is None else reader.option("batchId", batch_id)).load()
+    running = f"transform(arrays_zip(events, event_starts, event_lons, event_lats), e -> struct({_NAMES}[e.events] AS key, struct(timestamp_micros(e.event_starts) AS start_time, e.event_lons AS lon, e.event_lats AS lat) AS value))"
+    return state.selectExpr(f"key.{P.VIN} AS {P.VIN}", "value.*").selectExpr(
+        P.VIN,
+        "IF(hanging, 'HANG_OFF', 'ACTIVE') AS phase",
+        "IF(speed_max > 0, 'DRIVING', 'PARKING') AS trip_type",
+        "timestamp_micros(start) AS trip_start",
+        "IF(hanging, timestamp_micros(end), null) AS hang_start",
+        "timestamp_micros(last_row) AS last_ts",
+        "timestamp_micros(moved) AS last_speed_ts",
+        "speed_sum",
+        "weight AS speed_weight",
+        "speed_max",
+        "end_lon",
+        "end_lat",
+        f"CAST(map_from_entries({running}) AS {schemas.CARRY['open_events'].dataType.simpleString()}) AS open_events",
+    )
+
+
 def _as_results(found: DataFrame) -> DataFrame:
     return found.selectExpr(
         f"{trip_id(P.VIN, 'timestamp_micros(trip)')} AS trip_id",
