@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tripweave import engine
 from tripweave import profiles as P
+from tripweave.operators.report import gap_sessions
 
 LATER = "2030-01-01 00:00:00"
 
@@ -131,3 +132,37 @@ def test_daily_runs_can_be_repeated(spark, random_rows):
     assert event_tuples(spark.read.parquet(f"{root}/events")) == events
     daily.run_day(spark, high.limit(0), root, "d2", None, now=LATER)  # without rows the day is empty
     assert spark.read.parquet(f"{root}/trips").filter("day = 'd2'").isEmpty()
+
+
+def test_stretches_of_a_hot_vehicle(spark):
+    """Against a walk through the rows: gaps of exactly the limit, times before 1970, one vehicle with most rows."""
+    base, limit = datetime(1969, 12, 31, 20, tzinfo=timezone.utc), timedelta(minutes=15)
+    steps = (0, 0, 1, 60, 899, 900, 901, 5_000)
+    rows = []
+    for vin, n in (("HOT", 3_000), ("A", 300), ("B", 1), (None, 40)):
+        at = base
+        for k in range(n):
+            at += timedelta(seconds=steps[(k * k + k // 7) % len(steps)], microseconds=k % 2)
+            rows += [(vin, at)] * (20 if vin == "HOT" else 1)
+    rows += [("A", None), ("C", None)]
+    df = spark.createDataFrame(rows, f"{P.VIN} string, {P.TIMESTAMP} timestamp").repartition(5)
+    want = []
+    for vin in {v for v, _ in rows}:
+        for at in sorted(t for v, t in rows if v == vin and t):
+            if want and want[-1][0] == vin and at - want[-1][2] <= limit:
+                want[-1][2:] = [at, want[-1][3] + 1]
+            else:
+                want.append([vin, at, at, 1])
+    micros = lambda t: (t - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)
+    found = gap_sessions(df).selectExpr(P.VIN, "unix_micros(first_ts)", "unix_micros(last_ts)", "n_rows")
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(str((v, micros(a), micros(b), n)) for v, a, b, n in want)
+    assert gap_sessions(df.limit(0)).isEmpty()
+
+
+def test_stretches_are_summed_up_before_the_exchange(spark):
+    """No more rows of the hot vehicle are exchanged than slots, however many rows it has."""
+    df = spark.range(200_000).selectExpr(f"'HOT' AS {P.VIN}", f"timestamp_millis(id * 100) AS {P.TIMESTAMP}")
+    plan = gap_sessions(df)._jdf.queryExecution().executedPlan().toString()
+    below = plan.rsplit("Exchange hashpartitioning", 1)[1]
+    assert "partial_min" in below and "partial_count" in below and "Session" not in plan and "Python" not in plan
+    assert [tuple(r) for r in gap_sessions(df).select(P.VIN, "n_rows").collect()] == [("HOT", 200_000)]

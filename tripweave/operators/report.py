@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripweave import profiles as P
@@ -66,12 +66,25 @@ def with_parent(events: DataFrame, trips: DataFrame) -> DataFrame:
 
 
 def gap_sessions(telemetry: DataFrame, gap: str = "15 minutes") -> DataFrame:
-    """Stretches of a vehicle's rows without a long silence (batch or stream).
+    """Stretches of a vehicle's rows without a long silence (batch or stream): vin, first_ts, last_ts, n_rows.
 
-    A silence of exactly ``gap`` does not cut.
+    A silence of exactly ``gap`` does not cut. Rows without a time are left out.
+    In batch, rows of one slot of time as long as ``gap`` are always of one stretch, so they are summed up before they are
+    exchanged; a vehicle of very many rows then has a row for each slot, not more than its time span divided by ``gap``. A
+    stream merges what its tasks hold of a vehicle before the exchange (see ``session``).
     """
-    return (
-        telemetry.groupBy(P.VIN, F.session_window(P.TIMESTAMP, gap).alias("stretch"))
+    if telemetry.isStreaming:
+        merged = telemetry.groupBy(P.VIN, F.session_window(P.TIMESTAMP, gap).alias("stretch"))
+        return merged.agg(F.min(P.TIMESTAMP).alias("first_ts"), F.max(P.TIMESTAMP).alias("last_ts"), F.count("*").alias("n_rows")).drop("stretch")
+    at, long = F.unix_micros(P.TIMESTAMP), F.expr(f"unix_micros(timestamp_micros(0) + INTERVAL {gap})")
+    slots = (
+        telemetry.filter(F.col(P.TIMESTAMP).isNotNull())
+        .groupBy(P.VIN, (at - F.pmod(at, long)).alias("slot"))
         .agg(F.min(P.TIMESTAMP).alias("first_ts"), F.max(P.TIMESTAMP).alias("last_ts"), F.count("*").alias("n_rows"))
-        .drop("stretch")
     )
+    in_order = Window.partitionBy(P.VIN).orderBy("slot")
+    silence = F.unix_micros("first_ts") - F.unix_micros(F.lag("last_ts").over(in_order))
+    cut = slots.withColumn("cut", (silence > long).cast("int"))
+    numbered = cut.withColumn("stretch", F.sum(F.coalesce("cut", F.lit(0))).over(in_order))
+    whole = numbered.groupBy(P.VIN, "stretch").agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"), F.sum("n_rows").alias("n_rows"))
+    return whole.drop("stretch")

@@ -22,6 +22,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Rows of one vehicle that a window keeps as they are before it moves them to spillable pages.
     "spark.sql.windowExec.buffer.in.memory.threshold": "32768",
+    # Stretches of a vehicle are merged in each task before they are exchanged.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     **STATE_STORE,
 }
 
