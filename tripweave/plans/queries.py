@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +22,7 @@ from tripweave.plans import daily, fleet, oracle
 from tripweave.session import scratch_dir
 from tripweave.sinks.merge import merge_writer, read_merged
 from tripweave.sinks.tables import csv_stream, file_writer
-from tripweave.sources import streams
+from tripweave.sources import offsets, streams
 from tripweave.sources.telemetry import TIE, judged, normalize, renamed
 from tripweave.streaming.job import JobConfig, start
 from tripweave.streaming.trips import open_trips, trip_stream
@@ -517,7 +518,7 @@ SELECT vin, lon AS end_lon, lat AS end_lat, coalesce(open_events, '') AS open_ev
 FROM closed JOIN at_end USING (vin, trip) LEFT JOIN running USING (vin, trip) WHERE close_rn IS NULL"""
 
 
-def _shown(carry: DataFrame) -> DataFrame:
+def _with_events_text(carry: DataFrame) -> DataFrame:
     """Carried state with its running events as text."""
     thousandths = lambda x: F.round(x * 1000).cast("long")
     entries = F.transform(F.map_entries("open_events"), lambda e: F.concat_ws(":", e["key"], F.unix_micros(e["value"]["start_time"]), thousandths(e["value"]["lon"]), thousandths(e["value"]["lat"])))
@@ -528,7 +529,7 @@ def _shown(carry: DataFrame) -> DataFrame:
 @register("carry_snapshot", f"SELECT * FROM ({_snapshot_sql(P.UNIFIED)}) JOIN ({_running_sql()}) USING (vin)")
 def carry_snapshot(spark, sf_dir):
     """State of the trips still open after the last row, with their running events as text."""
-    return _shown(engine.step(None, fleet.telemetry(spark, sf_dir)).carry)
+    return _with_events_text(engine.step(None, fleet.telemetry(spark, sf_dir)).carry)
 
 
 _LEGACY_STATE = f"""{oracle.pieces()},
@@ -807,7 +808,7 @@ def st_open_trips(spark, sf_dir):
         .start()
     )
     query.awaitTermination()
-    return _shown(open_trips(spark, f"{folder}/checkpoint"))
+    return _with_events_text(open_trips(spark, f"{folder}/checkpoint"))
 
 
 def _job(spark, sf_dir) -> str:
@@ -962,6 +963,37 @@ def src_table_stream(spark, sf_dir):
     return read.groupBy(P.VIN).agg(F.count("*").alias("n_rows"), F.expr(f"count_if({P.SPEED} > 0)").alias("n_moving"))
 
 
+@register(
+    "st_offsets",
+    f"""WITH {oracle.telemetry()}, m AS (SELECT vin, t, make_timestamp(t) AS timestamp, coalesce(power, -1) AS {P.POWER}, speed AS {P.SPEED} FROM tel)
+SELECT 'earliest' AS started, * EXCLUDE (t) FROM m UNION ALL SELECT 'given', * EXCLUDE (t) FROM m WHERE t >= {CUT_US}""",
+)
+def st_offsets(spark, sf_dir):
+    """Messages of a log read by offsets: from the start with a restart after an append, and from the offsets where that append began."""
+    folder, tel = scratch_dir(spark), fleet.telemetry(spark, sf_dir)
+    message = F.struct(P.VIN, F.col(P.TIMESTAMP).alias("report_time"), F.col(P.POWER).alias("vehicle_status"), F.col(P.SPEED).alias("speed"))
+
+    def run(started: str, starting_offsets: str) -> None:
+        text = offsets.log_stream(spark, f"{folder}/log", starting_offsets)
+        query = (
+            renamed(streams.decode_json(text), schemas.WIRE_MAPPING)
+            .writeStream.format("parquet")
+            .option("path", f"{folder}/rows/started={started}")
+            .option("checkpointLocation", f"{folder}/checkpoint/{started}")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+
+    ends = {}
+    for part in (_before(tel), _after(tel)):
+        began, ends = ends, offsets.append(part.select(TIE, F.to_json(message).alias("value")), f"{folder}/log", order=[TIE])
+        run("earliest", "earliest")
+    run("given", json.dumps(began))
+    kinds = [spark.read.parquet(f"{folder}/rows/started={k}").withColumn("started", F.lit(k)) for k in ("earliest", "given")]
+    return kinds[0].unionByName(kinds[1]).select("started", P.VIN, P.TIMESTAMP, _shown(P.POWER).alias(P.POWER), P.SPEED)
+
+
 @register(
     "src_parquet_stream",
     f"""WITH {oracle.telemetry()} SELECT vin, tie AS event_id, make_timestamp(t) AS timestamp, speed AS {P.SPEED} FROM tel""",
