@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 
 from tripweave import profiles as P
 
-TRACKED = len(P.TRACKED_EVENTS)
+MINIMUM_US = [seconds * 1_000_000 for seconds in P.EVENT_MIN_SECONDS]
 
 
 @dataclass
@@ -27,6 +27,9 @@ class OpenTrip:
     speed_max: float = float("-inf")
     running: dict[int, tuple[int, float, float]] = field(default_factory=dict)
 
+    def __post_init__(self):
+        self.held = sum(1 << bit for bit in self.running)
+
     def alarm(self, profile: P.Profile) -> int:
         """The moment after which silence ends the trip."""
         return self.end + profile.hang_us if self.hanging else self.last_row + profile.gap_us
@@ -71,13 +74,19 @@ class VehicleFold:
         self._track(t, lon, lat, mask)
 
     def _track(self, t, lon, lat, mask) -> None:
-        running = self.trip.running
-        for bit in [b for b in running if not mask >> b & 1]:
-            began, s_lon, s_lat = running.pop(bit)
-            self._event(bit, began, t, s_lon, s_lat, lon, lat)
-        for bit in range(TRACKED):
-            if mask >> bit & 1 and bit not in running:
-                running[bit] = (t, lon, lat)
+        trip = self.trip
+        changed, trip.held = mask ^ trip.held, mask
+        running, here = trip.running, (t, lon, lat)
+        while changed:
+            lowest = changed & -changed
+            changed ^= lowest
+            bit = lowest.bit_length() - 1
+            if mask & lowest:
+                running[bit] = here
+            else:
+                began, s_lon, s_lat = running.pop(bit)
+                if began < t and t - began >= MINIMUM_US[bit]:
+                    self.events.append((trip.start, bit, began, t, s_lon, s_lat, lon, lat))
 
     def close(self, lon: float = 0.0, lat: float = 0.0) -> None:
         """Ends the open trip at its last active row; the position is that of the cause."""
@@ -93,5 +102,5 @@ class VehicleFold:
         self.trip = None
 
     def _event(self, bit, start, end, s_lon, s_lat, e_lon, e_lat) -> None:
-        if start < end and end - start >= P.EVENT_MIN_SECONDS[bit] * 1_000_000:
+        if start < end and end - start >= MINIMUM_US[bit]:
             self.events.append((self.trip.start, bit, start, end, s_lon, s_lat, e_lon, e_lat))

@@ -2,7 +2,10 @@
 
 Rows wait in keyed state until the watermark passes them and are then applied in time order,
 so the result does not depend on how rows arrive in micro-batches. Event-time timers do both:
-one for the next waiting row and one for the moment at which silence ends the open trip.
+one for the next waiting row and one for the moment at which silence ends an open trip.
+
+State is kept by group of vehicles (a hash of the vehicle), not by vehicle: every call of the state's
+interface and of pandas costs far more than a row does, so one call serves the rows of a whole group.
 """
 
 from __future__ import annotations
@@ -10,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -17,29 +21,42 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tripweave import profiles as P
 from tripweave import schemas
-from tripweave.functions.expressions import EVENT_NAME, trip_id
-from tripweave.operators.segment import lanes
+from tripweave.functions.expressions import EVENT_NAME, add, trip_id
+from tripweave.operators.segment import NEVER, lanes
 from tripweave.session import ship_helpers, use_state_store
 from tripweave.streaming.machine import OpenTrip, VehicleFold
 
-# Waiting rows are stored by slice of event time, so that no more than one slice of a vehicle is
-# read, rewritten or held in memory at a time. Dense fleets want short slices, sparse ones long.
+# Waiting rows are stored by slice of event time, so that no more than one slice of a group is
+# read or held in memory at a time. Dense fleets want short slices, sparse ones long.
 SLICE_SECONDS = 300
+# Groups of vehicles. A checkpoint belongs to its number of groups; fleets of millions want more.
+GROUPS = 1024
+GROUP = "vehicle_group"
+# Result rows that are handed on at a time.
+OUT_ROWS = 10_000
 
-_ROW = T.StructType(
+_ROW = np.dtype(
+    [
+        ("t", "<i8"),
+        ("tie", "<i8"),
+        ("is_on", "?"),
+        ("is_off", "?"),
+        ("speed", "<f8"),
+        ("lon", "<f8"),
+        ("lat", "<f8"),
+        ("mask", "<i4"),
+    ]
+)
+_VEHICLE = T.StructType([T.StructField(P.VIN, T.StringType())])
+# Waiting rows are only ever added: what arrives together is a part of its slice. A part has its rows by vehicle.
+_PART_KEY = T.StructType([T.StructField("slice", T.LongType()), T.StructField("part", T.LongType())])
+_PART = T.StructType(
     [
-        T.StructField("t", T.LongType()),
-        T.StructField("tie", T.LongType()),
-        T.StructField("is_on", T.BooleanType()),
-        T.StructField("is_off", T.BooleanType()),
-        T.StructField("speed", T.DoubleType()),
-        T.StructField("lon", T.DoubleType()),
-        T.StructField("lat", T.DoubleType()),
-        T.StructField("mask", T.IntegerType()),
+        T.StructField("vehicles", T.ArrayType(T.StringType())),
+        T.StructField("counts", T.ArrayType(T.LongType())),
+        T.StructField("rows", T.BinaryType()),
     ]
 )
-_SLICE_KEY = T.StructType([T.StructField("slice", T.LongType())])
-_SLICE = T.StructType([T.StructField("rows", T.ArrayType(_ROW))])
 _TRIP = T.StructType(
     [
         T.StructField("start", T.LongType()),
@@ -103,35 +120,42 @@ def _restored(value: tuple) -> OpenTrip:
 
 
 class TripProcessor(StatefulProcessor):
+    """Keyed by group of vehicles; all vehicles of a group share one timer."""
+
     def __init__(self, profile: P.Profile, slice_seconds: int = SLICE_SECONDS):
         self._profile = profile
         self._slice_us = slice_seconds * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._trip = handle.getValueState("trip", _TRIP)
-        self._waiting = handle.getMapState("waiting", _SLICE_KEY, _SLICE)
+        self._trips = handle.getMapState("trip", _VEHICLE, _TRIP)
+        self._waiting = handle.getMapState("waiting", _PART_KEY, _PART)
 
     def handleInitialState(self, key: Any, initialState: pd.DataFrame, timerValues: Any) -> None:
-        """A vehicle's carried state, if its last trip is open (``_carried``): one row."""
-        values = initialState.iloc[0].to_dict()
-        trip = tuple(_value(values[f.name], f.dataType) for f in _TRIP)
-        self._trip.update(trip)
-        alarm = _restored(trip).alarm(self._profile)
-        self._handle.registerTimer(max(alarm // 1000, timerValues.getCurrentWatermarkInMs()) + 1)
+        """Carried state of the group's vehicles whose last trip is open (``_carried``): one row each."""
+        alarms = []
+        for values in initialState.drop_duplicates(P.VIN).to_dict("records"):
+            trip = tuple(_value(values[f.name], f.dataType) for f in _TRIP)
+            self._trips.updateValue((values[P.VIN],), trip)
+            alarms.append(_restored(trip).alarm(self._profile))
+        self._handle.registerTimer(max(min(alarms) // 1000, timerValues.getCurrentWatermarkInMs()) + 1)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        names = _ROW.fieldNames()
-        slices = set(self._slices())
+        part = max((p for p, _ in self._parts().values()), default=-1) + 1
         first = None
         for batch in rows:
             earliest = int(batch["t"].min())
             first = earliest if first is None else min(first, earliest)
-            for number, part in batch.groupby(batch["t"] // self._slice_us):
-                new = [_plain(r) for r in part[names].itertuples(index=False, name=None)]
-                self._put(int(number), (self._get(number) if number in slices else []) + new)
-                slices.add(int(number))
-        # Waiting rows and the open trip already have their timer; only an earlier one is new.
+            codes, vehicles = pd.factorize(batch[P.VIN])
+            found = np.empty(len(batch), _ROW)
+            for name in _ROW.names:
+                found[name] = batch[name]
+            slices = found["t"] // self._slice_us
+            for number in np.unique(slices).tolist():
+                here = slices == number
+                self._put(number, part, list(vehicles), codes[here], found[here])
+            part += 1
+        # Waiting rows and open trips already have their timer; only an earlier one is new.
         timers = list(self._handle.listTimers())
         due = max(_ceil_ms(first), timerValues.getCurrentWatermarkInMs() + 1)
         if not timers or due < min(timers):
@@ -141,69 +165,89 @@ class TripProcessor(StatefulProcessor):
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs()
         watermark = now * 1000
-        fold = VehicleFold(self._profile, self._open_trip())
-        done, later = [], []
-        for number in self._slices():
-            if number * self._slice_us > watermark:
-                later.append(number)
-                continue
-            rows = sorted(self._get(number), key=lambda r: (r[0], r[1]))
-            due = [r for r in rows if r[0] <= watermark]
-            for t, _, on, off, speed, lon, lat, mask in due:
-                fold.feed(t, on, off, speed, lon, lat, mask)
-            if len(due) < len(rows):
-                later.append(number)
-                self._put(number, rows[len(due):])
-            else:
-                done.append(number)
-        if not later:
-            self._waiting.clear()
-        else:
-            for number in done:
-                self._waiting.removeKey((number,))
-        if fold.trip is not None and watermark > fold.trip.alarm(self._profile):
-            fold.close()
-        if fold.trip is not None:
-            self._trip.update(_stored(fold.trip))
-        else:
-            self._trip.clear()
-        moments = [fold.trip.alarm(self._profile) // 1000 + 1] if fold.trip else []
-        if later:
-            moments.append(_ceil_ms(min(r[0] for r in self._get(later[0]))))
+        held = {vehicle: _restored(tuple(value)) for (vehicle,), value in self._trips.iterator()}
+        before = {vehicle: _stored(trip) for vehicle, trip in held.items()}
+        folds = {vehicle: VehicleFold(self._profile, trip) for vehicle, trip in held.items()}
+        found, moments = [], []
+        for number, (last, parts) in sorted(self._parts().items()):
+            vehicles, codes, rows = self._get(number, parts)
+            due = rows["t"] <= watermark
+            if not due.all():
+                moments.append(_ceil_ms(int(rows["t"][~due].min())))
+            if not due.any():
+                break
+            for vehicle, some in _by_vehicle(vehicles, codes[due], rows[due]):
+                fold = folds.get(vehicle)
+                if fold is None:
+                    fold = folds[vehicle] = VehicleFold(self._profile)
+                for t, _, on, off, speed, lon, lat, mask in some:
+                    fold.feed(t, on, off, speed, lon, lat, mask)
+                found += _output(vehicle, fold)
+                if len(found) >= OUT_ROWS:
+                    yield _frame(found)
+                    found = []
+            for part in parts:
+                self._waiting.removeKey((number, part))
+            if not due.all():
+                self._put(number, last + 1, vehicles, codes[~due], rows[~due])
+        for vehicle, fold in folds.items():
+            if fold.trip is not None and watermark > fold.trip.alarm(self._profile):
+                fold.close()
+                found += _output(vehicle, fold)
+            if fold.trip is not None:
+                moments.append(fold.trip.alarm(self._profile) // 1000 + 1)
+                if (trip := _stored(fold.trip)) != before.get(vehicle):
+                    self._trips.updateValue((vehicle,), trip)
+            elif vehicle in before:
+                self._trips.removeKey((vehicle,))
         if moments:
             self._handle.registerTimer(max(min(moments), now + 1))
-        found = _output(key[0], fold)
-        return iter([pd.DataFrame(found, columns=_OUT.fieldNames())] if found else ())
+        if found:
+            yield _frame(found)
 
     def close(self) -> None:
         pass
 
-    def _open_trip(self) -> OpenTrip | None:
-        return _restored(tuple(self._trip.get())) if self._trip.exists() else None
-
-    def _slices(self) -> list[int]:
-        return sorted(k[0] for k in self._waiting.keys())
-
-    def _get(self, number: int) -> list[tuple]:
-        return [tuple(r) for r in self._waiting.getValue((int(number),))[0]]
-
-    def _put(self, number: int, rows: list[tuple]) -> None:
-        self._waiting.updateValue((number,), (rows,))
+    def _parts(self) -> dict[int, tuple[int, list[int]]]:
+        """The last part and all parts of each slice that has waiting rows."""
+        parts: dict[int, list[int]] = {}
+        for number, part in self._waiting.keys():
+            parts.setdefault(number, []).append(part)
+        return {number: (max(some), sorted(some)) for number, some in parts.items()}
+
+    def _get(self, number: int, parts: list[int]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Vehicles of a slice, the number of each row's vehicle among them, and the rows."""
+        numbers: dict[str, int] = {}
+        codes, rows = [], []
+        for part in parts:
+            vehicles, counts, data = self._waiting.getValue((number, part))
+            codes.append(np.repeat([numbers.setdefault(v, len(numbers)) for v in vehicles], counts))
+            rows.append(np.frombuffer(data, _ROW))
+        return list(numbers), np.concatenate(codes), np.concatenate(rows)
+
+    def _put(self, number: int, part: int, vehicles: list[str], codes: np.ndarray, rows: np.ndarray) -> None:
+        present, counts = np.unique(codes, return_counts=True)
+        data = rows[np.argsort(codes, kind="stable")].tobytes()
+        self._waiting.updateValue((number, part), ([vehicles[c] for c in present], counts.tolist(), data))
 
     def _set_timer(self, timers: list[int], moment: int) -> None:
-        """One timer per vehicle: the next waiting row, or just after the trip's alarm."""
+        """One timer per group: the next waiting row, or just after the first alarm of its trips."""
         for timer in timers:
             self._handle.deleteTimer(timer)
         self._handle.registerTimer(moment)
 
 
-def _ceil_ms(t: int) -> int:
-    return -(-t // 1000)
+def _by_vehicle(vehicles: list[str], codes: np.ndarray, rows: np.ndarray) -> Iterator[tuple[str, list[tuple]]]:
+    """Rows of each vehicle in the order of time and tie."""
+    order = np.lexsort((rows["tie"], rows["t"], codes))
+    codes, rows = codes[order], rows[order]
+    ends = np.append(np.flatnonzero(np.diff(codes)) + 1, len(codes)).tolist()
+    for start, end in zip([0, *ends], ends):
+        yield vehicles[codes[start]], rows[start:end].tolist()
 
 
-def _plain(row: tuple) -> tuple:
-    t, tie, on, off, speed, lon, lat, mask = row
-    return int(t), int(tie), bool(on), bool(off), float(speed), float(lon), float(lat), int(mask)
+def _ceil_ms(t: int) -> int:
+    return -(-t // 1000)
 
 
 def _value(value: Any, kind: T.DataType) -> Any:
@@ -216,37 +260,52 @@ def _value(value: Any, kind: T.DataType) -> Any:
 
 
 def _output(vin: str, fold: VehicleFold) -> list[tuple]:
+    """Takes the finished trips and events out of the fold."""
     nowhere = (None,) * 4
     trips = [(vin, s, _WHOLE_TRIP, s, e, top, mean, *nowhere) for s, e, top, mean, _ in fold.trips]
     events = [(vin, trip, bit, s, e, 0.0, 0.0, *place) for trip, bit, s, e, *place in fold.events]
+    fold.trips, fold.events = [], []
     return trips + events
 
 
+def _frame(found: list[tuple]) -> pd.DataFrame:
+    """Result rows by column, which is faster than a frame made of rows; null positions are NaN here."""
+    kinds = {T.LongType(): "i8", T.IntegerType(): "i4", T.DoubleType(): "f8", T.StringType(): object}
+    return pd.DataFrame({f.name: np.array(column, kinds[f.dataType]) for f, column in zip(_OUT, zip(*found))})
+
+
+def _group(groups: int) -> str:
+    return f"CAST(pmod(xxhash64({P.VIN}), {groups}) AS INT)"
+
+
 def trip_stream(
     telemetry: DataFrame,
     profile: P.Profile = P.UNIFIED,
     delay: str = "10 minutes",
     slice_seconds: int = SLICE_SECONDS,
     carry: DataFrame | None = None,
+    groups: int = GROUPS,
 ) -> DataFrame:
     """Result rows (trips and events) of canonical streaming telemetry, in append mode.
 
     Rows later than ``delay`` behind the newest are dropped by Spark. ``carry``: state that a run left (``engine.step``);
     the stream goes on from it and should be given the rows that the run did not read. Spark takes it in with
-    the first batch of a new checkpoint only; a restart goes on from its own state.
+    the first batch of a new checkpoint only; a restart goes on from its own state. ``groups``: by how many groups of
+    vehicles state is kept; a checkpoint goes on with the number that it began with.
     """
     use_state_store(telemetry.sparkSession)
     ship_helpers()
     rows = telemetry.withWatermark(P.TIMESTAMP, delay)
+    # A null tie comes first, as in the windows.
+    keyed = add(lanes(rows, keep_time=True), {"tie": f"coalesce(tie, {NEVER})", GROUP: _group(groups)})
     found = (
-        lanes(rows, keep_time=True)
-        .groupBy(P.VIN)
+        keyed.groupBy(GROUP)
         .transformWithStateInPandas(
             TripProcessor(profile, slice_seconds),
             outputStructType=_OUT,
             outputMode="Append",
             timeMode="EventTime",
-            initialState=None if carry is None else _carried(carry).groupBy(P.VIN),
+            initialState=None if carry is None else add(_carried(carry), {GROUP: _group(groups)}).groupBy(GROUP),
         )
     )
     return _as_results(found)
@@ -288,7 +347,7 @@ def open_trips(spark: SparkSession, checkpoint: str, batch_id: int | None = None
     reader = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "trip")
     state = (reader if batch_id is None else reader.option("batchId", batch_id)).load()
     running = f"transform(arrays_zip(events, event_starts, event_lons, event_lats), e -> struct({_NAMES}[e.events] AS key, struct(timestamp_micros(e.event_starts) AS start_time, e.event_lons AS lon, e.event_lats AS lat) AS value))"
-    return state.selectExpr(f"key.{P.VIN} AS {P.VIN}", "value.*").selectExpr(
+    return state.selectExpr(f"user_map_key.{P.VIN} AS {P.VIN}", "user_map_value.*").selectExpr(
         P.VIN,
         "IF(hanging, 'HANG_OFF', 'ACTIVE') AS phase",
         "IF(speed_max > 0, 'DRIVING', 'PARKING') AS trip_type",
