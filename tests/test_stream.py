@@ -16,7 +16,7 @@ from tripweave.sinks.tables import csv_stream, file_writer, split_tables
 from tripweave.sources import streams
 from tripweave.sources.telemetry import judged, normalize, renamed
 from tripweave.streaming.bounded import BoundedRuns
-from tripweave.streaming.job import TRIGGERS, JobConfig, checkpoint_path, run_trip_job, start
+from tripweave.streaming.job import TRIGGERS, JobConfig, checkpoint_path, run_trip_job, start, state_root
 from tripweave.streaming.trips import open_trips, trip_stream
 
 SHAPE = ("trip_id", "row_type", "trip_type", "unix_micros(start_time)", "unix_micros(end_time)", "max_speed",
@@ -311,6 +311,28 @@ def test_merging_sink_keeps_one_row_for_each_key(spark):
     assert {tuple(r) for r in read_merged(spark, out, "ads_trip_summary").groupBy("job").count().collect()} == {("a", rows.count())}
 
 
+@pytest.mark.parametrize("mode", ["offline", "realtime"])
+def test_jobs_keep_narrow_rows_only(spark, mode):
+    """Neither mode keeps a batch's result rows, which are far wider than what they are made of."""
+    out, plans = scratch_dir(spark), {}
+
+    def write(rows, table, batch_id):
+        plans[table] = rows._jdf.queryExecution().withCachedData().toString()
+
+    config = JobConfig(checkpoint_root=f"{out}/checkpoints", write=write)
+    folder = files(spark, fleet(seed=5, vehicles=6, rows=40), 1, 3)
+    query = start(normalize(streams.parquet_stream(spark, folder, DDL), tie="n"), mode, config)
+    query.awaitTermination() if mode == "offline" else query.processAllAvailable()
+    query.stop()
+    assert set(plans) == {config.trips_table, config.events_table}
+    for plan in plans.values():
+        kept = [line for line in plan.splitlines() if "InMemoryRelation" in line]
+        assert kept and not any("trip_id" in line or "row_type" in line for line in kept)
+    if mode == "offline":
+        waiting = spark.read.parquet(f"{state_root(config, mode)}/lanes/batch=0").columns
+        assert "mask" in waiting and not set(P.FLAGS) & set(waiting)
+
+
 def test_parts_of_the_merging_append(spark):
     """What the warehouse writer is made of, on tables of files: rows that are there stay out, corrected ones come in."""
     rows, out = results(spark).persist(), scratch_dir(spark)

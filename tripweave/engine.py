@@ -60,9 +60,22 @@ def step(
     results share two intermediate tables (trips and events, both far smaller than the rows);
     ``keep`` persists these, for callers that write more than one result. ``release`` them then.
     """
+    return step_lanes(carry, lanes(telemetry), now, profile, with_events, hot_rows, keep)
+
+
+def step_lanes(
+    carry: DataFrame | None,
+    rows: DataFrame,
+    now: datetime | str | None = None,
+    profile: P.Profile = P.UNIFIED,
+    with_events: bool = True,
+    hot_rows: int | None = skew.HOT_ROWS,
+    keep: bool = False,
+) -> Step:
+    """``step`` for rows that ``lanes`` has reduced already."""
     now_us = _micros(now)
     heads = None if carry is None else state.heads(carry)
-    work = skew.plan(lanes(telemetry), heads, hot_rows)
+    work = skew.plan(rows, heads, hot_rows)
     measured = work.measured(profile, outlook=True)
     paired = work.paired(profile, end_open=False, now_us=now_us) if with_events else None
     kept = tuple(df.persist(StorageLevel.DISK_ONLY) for df in (measured, paired) if df is not None) if keep else ()

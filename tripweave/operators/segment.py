@@ -28,14 +28,15 @@ HEAD, ROW, TAIL = 0, 1, 2
 NEVER = "(-9223372036854775807L)"
 
 
-def lanes(telemetry: DataFrame, keep_time: bool = False) -> DataFrame:
+def lanes(telemetry: DataFrame, keep_time: bool = False, also: Sequence[str] = ()) -> DataFrame:
     """Canonical telemetry reduced to what the windows need, times in microseconds.
 
-    ``keep_time`` keeps the timestamp too, whose watermark a stream needs.
+    ``keep_time`` keeps the timestamp too, whose watermark a stream needs, ``also`` other columns.
     """
     return telemetry.selectExpr(
         P.VIN,
         *([P.TIMESTAMP] if keep_time else []),
+        *also,
         f"unix_micros({P.TIMESTAMP}) AS t",
         f"{TIE} AS tie",
         f"{POWERED_ON} AS is_on",

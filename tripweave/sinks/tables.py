@@ -61,16 +61,17 @@ def jdbc_writer(url: str, driver: str, database: str, options: Mapping[str, str]
     return write
 
 
-def split_tables(write: Writer, trips: str = "ads_trip_summary", events: str | None = "ads_trip_event_detail", job: str | None = None, rejected: str | None = None):
+def split_tables(write: Writer, trips: str = "ads_trip_summary", events: str | None = "ads_trip_event_detail", job: str | None = None, rejected: str | None = None, keep: bool = True):
     """Per-batch callback: trips to one table, events to another, rejected rows to a third if it is named.
 
     ``events=None`` writes trips only, and keeps their ``row_type``. A batch without rows of a
     kind writes nothing for it. With ``job``, rows carry that name in a column. The rows of each kind are
-    counted in one pass and logged.
+    counted in one pass and logged. ``keep=False``: the caller keeps what the rows are made of, so they are not kept again.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        if keep:
+            batch.persist()
         try:
             plain = batch.drop(CONTENT)
             parts = {trips: ("TRIP", only_trips(plain) if not events else without_row_type(only_trips(plain)))}
@@ -85,7 +86,8 @@ def split_tables(write: Writer, trips: str = "ads_trip_summary", events: str | N
                 if counts.get(kind):
                     write(rows.withColumn(JOB, F.lit(job)) if job else rows, table, batch_id)
         finally:
-            batch.unpersist()
+            if keep:
+                batch.unpersist()
 
     return on_batch
 

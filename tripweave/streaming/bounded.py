@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 from tripweave import engine
 from tripweave import profiles as P
 from tripweave.operators import skew
+from tripweave.operators.segment import lanes
 from tripweave.sources.streams import state_table
 from tripweave.sources.telemetry import CONTENT, REASON, rejected_results
 
-ROWS, CARRY, CLOCK = "rows", "carry", "clock"
+ROWS, CARRY, CLOCK = "lanes", "carry", "clock"
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
@@ -56,25 +57,26 @@ class BoundedRuns:
         if batch_id > 0:
             passed = spark.read.parquet(self.path(CLOCK, batch_id - 1)).first().passed_us
             before = state_table(spark, self.path(CARRY, batch_id - 1))
+        judged = lanes(judged, keep_time=True, also=(REASON, CONTENT))
         fresh, late = judged, F.lit(False)
         if passed is not None:
             late = F.col(REASON).isNull() & (F.unix_micros(P.TIMESTAMP) <= passed)
             waiting = spark.read.schema(judged.schema).parquet(self.path(ROWS, batch_id - 1))
             fresh = judged.filter(~late).unionByName(waiting.filter(F.col(REASON).isNull() & (F.unix_micros(P.TIMESTAMP) > passed)))
-        # Written once: what follows reads the columns that it needs of it.
+        # Written once, and only what the windows need: what follows reads it several times.
         fresh.write.mode("overwrite").parquet(self.path(ROWS, batch_id))
         rows = spark.read.schema(judged.schema).parquet(self.path(ROWS, batch_id))
-        placed, rejected = rows.filter(F.col(REASON).isNull()).drop(REASON, CONTENT), rows.filter(F.col(REASON).isNotNull())
+        placed, rejected = rows.filter(F.col(REASON).isNull()), rows.filter(F.col(REASON).isNotNull())
 
         reached = placed.agg(F.unix_micros(F.date_trunc("MILLISECOND", F.max(P.TIMESTAMP)) - F.expr(f"INTERVAL {self._delay}")).alias("us")).first().us
         passed = max((x for x in (passed, reached) if x is not None), default=None)
-        results = rejected_results(rejected)
+        results = rejected_results(rejected.withColumnsRenamed({"speed": P.SPEED, "lon": P.LON, "lat": P.LAT}))
         if passed is None:
             step = None
             carry = before if before is not None else spark.createDataFrame([], engine.schemas.CARRY)
         else:
             known = placed.filter(F.unix_micros(P.TIMESTAMP) <= passed)
-            step = engine.step(before, known, EPOCH + timedelta(microseconds=passed), self._profile, hot_rows=self._hot_rows, keep=True)
+            step = engine.step_lanes(before, known.drop(P.TIMESTAMP, REASON, CONTENT), EPOCH + timedelta(microseconds=passed), self._profile, hot_rows=self._hot_rows, keep=True)
             carry = step.carry
             results = engine.result_rows(step.trips, step.events).withColumn(CONTENT, F.lit(None).cast("string")).unionByName(results)
         try:

@@ -15,7 +15,7 @@ from tripweave.sinks.tables import Writer, split_tables
 from tripweave.sources import streams
 from tripweave.sources.telemetry import CONTENT, REASON, judged, rejected_results, renamed
 from tripweave.streaming.bounded import BoundedRuns
-from tripweave.streaming.trips import SLICE_SECONDS, trip_stream
+from tripweave.streaming.trips import SLICE_SECONDS, as_results, found_stream
 
 # Trigger of each mode: run to the end of what is there, or look every ten seconds.
 TRIGGERS = {"offline": {"availableNow": True}, "realtime": {"processingTime": "10 seconds"}}
@@ -78,16 +78,17 @@ def start(
     A bounded stream is run by the batch engine (``bounded``), a topic by keyed state. Telemetry of ``judged`` has rejected
     rows besides, which get a table of their own.
     """
-    callback = on_batch or split_tables(config.write, config.trips_table, config.events_table, mode, config.rejected_table)
+    callback = on_batch or split_tables(config.write, config.trips_table, config.events_table, mode, config.rejected_table, keep=False)
     carry = streams.state_table(telemetry.sparkSession, config.carry) if config.carry else None
     if mode == "offline":
         results, callback = telemetry, BoundedRuns(state_root(config, mode), callback, config.profile, config.delay, carry=carry)
     else:
         placed = telemetry.filter(f"{REASON} IS NULL").drop(REASON, CONTENT) if REASON in telemetry.columns else telemetry
-        results = trip_stream(placed, config.profile, config.delay, config.slice_seconds, carry)
+        results = found_stream(placed, config.profile, config.delay, config.slice_seconds, carry)
         if REASON in telemetry.columns:
-            left = rejected_results(telemetry.filter(f"{REASON} IS NOT NULL"))
-            results = results.withColumn(CONTENT, F.lit(None).cast("string")).unionByName(left)
+            left = telemetry.filter(f"{REASON} IS NOT NULL").select(P.VIN, P.TIMESTAMP, P.SPEED, P.LON, P.LAT, REASON, CONTENT)
+            results = results.unionByName(left, allowMissingColumns=True)
+        callback = _kept_narrow(callback)
     return (
         results.writeStream.foreachBatch(callback)
         .option("checkpointLocation", checkpoint_path(config, mode))
@@ -96,6 +97,23 @@ def start(
     )
 
 
+def _kept_narrow(callback: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """Keeps a batch of what the stream found as it is, far narrower than result rows, and hands result rows on."""
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            if REASON in batch.columns:
+                placed = as_results(batch.filter(f"{REASON} IS NULL")).withColumn(CONTENT, F.lit(None).cast("string"))
+                callback(placed.unionByName(rejected_results(batch.filter(f"{REASON} IS NOT NULL"))), batch_id)
+            else:
+                callback(as_results(batch), batch_id)
+        finally:
+            batch.unpersist()
+
+    return on_batch
+
+
 def run_trip_job(spark: SparkSession, mode: str, config: JobConfig) -> StreamingQuery:
     """Source, operator and sink of a mode; the caller waits for or stops the query."""
     return start(source(spark, mode, config), mode, config)

@@ -293,12 +293,24 @@ def trip_stream(
     the first batch of a new checkpoint only; a restart goes on from its own state. ``groups``: by how many groups of
     vehicles state is kept; a checkpoint goes on with the number that it began with.
     """
+    return as_results(found_stream(telemetry, profile, delay, slice_seconds, carry, groups))
+
+
+def found_stream(
+    telemetry: DataFrame,
+    profile: P.Profile = P.UNIFIED,
+    delay: str = "10 minutes",
+    slice_seconds: int = SLICE_SECONDS,
+    carry: DataFrame | None = None,
+    groups: int = GROUPS,
+) -> DataFrame:
+    """What ``trip_stream`` finds in the operator's own narrow columns, of which ``as_results`` makes result rows."""
     use_state_store(telemetry.sparkSession)
     ship_helpers()
     rows = telemetry.withWatermark(P.TIMESTAMP, delay)
     # A null tie comes first, as in the windows.
     keyed = add(lanes(rows, keep_time=True), {"tie": f"coalesce(tie, {NEVER})", GROUP: _group(groups)})
-    found = (
+    return (
         keyed.groupBy(GROUP)
         .transformWithStateInPandas(
             TripProcessor(profile, slice_seconds),
@@ -308,7 +320,6 @@ def trip_stream(
             initialState=None if carry is None else add(_carried(carry), {GROUP: _group(groups)}).groupBy(GROUP),
         )
     )
-    return _as_results(found)
 
 
 _NAMES = f"array({', '.join(repr(rule.name) for rule in P.TRACKED_EVENTS)})"
@@ -364,7 +375,7 @@ def open_trips(spark: SparkSession, checkpoint: str, batch_id: int | None = None
     )
 
 
-def _as_results(found: DataFrame) -> DataFrame:
+def as_results(found: DataFrame) -> DataFrame:
     return found.selectExpr(
         f"{trip_id(P.VIN, 'timestamp_micros(trip)')} AS trip_id",
         P.VIN,
